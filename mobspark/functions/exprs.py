@@ -51,6 +51,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(**expressions: str) -> list[Column]:
+    """SQL expressions under their names; one parse per column instead of a chain of calls."""
+    return [F.expr(text).alias(name) for name, text in expressions.items()]
+
+
 def ratio(num: str | Column, den: str | Column) -> Column:
     """Division that yields NULL for a zero denominator (ANSI mode would raise)."""
     return F.try_divide(col(num).cast("double"), col(den).cast("double"))
@@ -127,12 +132,9 @@ def purpose_flags(origin: Column, destination: Column, home: Column, work: Colum
     }
 
 
-def row_total(*cols: str | Column) -> Column:
+def row_total(*columns: str) -> Column:
     """Sum across columns, NULL counting as 0."""
-    total = F.lit(0.0)
-    for c in cols:
-        total = total + F.coalesce(col(c).cast("double"), F.lit(0.0))
-    return total
+    return F.expr(" + ".join(f"coalesce(CAST(`{c}` AS DOUBLE), 0D)" for c in columns))
 
 
 def count_if(cond: Column) -> Column:

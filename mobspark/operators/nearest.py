@@ -7,30 +7,33 @@ from pyspark.sql import functions as F
 
 from mobspark.operators.joins import attach_case_rows
 
-SPLIT = 3  # each step refines a cell into 8 x 8
-LEVELS = 3  # finest grid: 512 x 512 cells over the extent of the case's stops
-SLACK = 1.0 + 1e-9  # keeps ties alive against rounding of the distance bounds
+SPLIT = 2  # each step refines a cell into 4 x 4
+MAX_LEVELS = 6  # finest possible grid: 4096 x 4096 cells over the extent of the case's stops
+CELL_STOPS = 8  # refine until no cell holds more stop places than this
 
+# Squared distance of a position to the farthest and the nearest point of a box given by centre
+# (mx, my) and half sizes (hx, hy). SLACK keeps ties and zero distances alive against rounding.
+_FAR = "(pow(abs(x - k.mx) + k.hx, 2) + pow(abs(y - k.my) + k.hy, 2))"
+_NEAR = "(pow(greatest(abs(x - mx) - hx, 0D), 2) + pow(greatest(abs(y - my) - hy, 0D), 2))"
+_SLACK = "* 1.000000001D + 0.000001D"
 
-def _cell(value: Column, low: Column, size: Column, level: int) -> Column:
-    n = 1 << (SPLIT * level)
+
+def _cell(value: Column, low: Column, size: Column) -> Column:
+    n = 1 << (SPLIT * MAX_LEVELS)
     raw = F.floor(F.try_divide((value - low) * n, size))
     return F.coalesce(F.least(F.greatest(raw, F.lit(0)), F.lit(n - 1)), F.lit(0)).cast("int")
 
 
-def _sq(c: Column) -> Column:
-    return c * c
-
-
-def nearest_stop(homes: DataFrame, stops: DataFrame, levels: int = LEVELS) -> DataFrame:
+def nearest_stop(homes: DataFrame, stops: DataFrame) -> DataFrame:
     """Nearest stop of every distinct home position: folder, x, y, stop_id, distance.
 
-    Stops are counted into nested grid cells over their own extent. A home starts with the whole
-    extent and at each level keeps only cells that can still hold the nearest stop: a cell is dropped
-    when its box is farther than the farthest corner of some other candidate box. Distances are
-    computed only for the stops of the finest surviving cells, so neither a dense district nor a home
-    far outside the grid meets all stops. Positions and stops at the same place are compared once;
-    equal distances go to the lowest stop id.
+    Stops are put into nested grid cells over their own extent. A home starts with the whole extent
+    and at each level keeps only the child cells that can still hold the nearest stop: a cell is
+    dropped when its box is farther than the farthest corner of some other candidate box. A parent's
+    child boxes (at most 16) travel as one array, which gives the bound before they become rows.
+    Distances are computed only for the stops of the finest surviving cells, a handful each, so
+    neither a dense district nor a home far outside the grid meets all stops. Homes, and stops, at
+    the same place are compared once; equal distances go to the lowest stop id.
     """
     points = homes.where("x IS NOT NULL AND y IS NOT NULL").select("folder", "x", "y").distinct()
     places = (
@@ -42,43 +45,63 @@ def nearest_stop(homes: DataFrame, stops: DataFrame, levels: int = LEVELS) -> Da
         F.min("sx").alias("lo_x"), F.min("sy").alias("lo_y"),
         (F.max("sx") - F.min("sx")).alias("size_x"), (F.max("sy") - F.min("sy")).alias("size_y"),
     )
-    placed = attach_case_rows(places, extent, "inner")
-    for level in range(1, levels + 1):
-        placed = placed.withColumns({
-            f"cx{level}": _cell(F.col("sx"), F.col("lo_x"), F.col("size_x"), level),
-            f"cy{level}": _cell(F.col("sy"), F.col("lo_y"), F.col("size_y"), level),
-        })
-    search = points.withColumns({"cx": F.lit(0), "cy": F.lit(0), "best": F.lit(float("inf"))})
-    per_point = Window.partitionBy("folder", "x", "y")
-    fan = 1 << SPLIT
+    placed = attach_case_rows(places, extent, "inner").select(
+        "folder", _cell(F.col("sx"), F.col("lo_x"), F.col("size_x")).alias("px"),
+        _cell(F.col("sy"), F.col("lo_y"), F.col("size_y")).alias("py"), "sx", "sy", "stop_id",
+    )
+    levels = _levels_needed(placed)
+
+    # the search is heavy on computation and light on bytes: keep the configured parallelism
+    partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    search = points.repartition(partitions, "x", "y").withColumn("best", F.lit(float("inf")))
+    home = Window.partitionBy("folder", "x", "y")
     for level in range(1, levels + 1):
-        cells = placed.groupBy("folder", F.col(f"cx{level}").alias("cx"), F.col(f"cy{level}").alias("cy")).agg(
-            F.min("sx").alias("x0"), F.max("sx").alias("x1"), F.min("sy").alias("y0"), F.max("sy").alias("y1"),
-        )
-        children = (
-            search.withColumn("cx", F.explode(F.sequence(F.col("cx") * fan, F.col("cx") * fan + (fan - 1))))
-            .withColumn("cy", F.explode(F.sequence(F.col("cy") * fan, F.col("cy") * fan + (fan - 1))))
-        )
-        x, y = F.col("x"), F.col("y")
-        near = _sq(F.greatest(F.col("x0") - x, x - F.col("x1"), F.lit(0.0))) + _sq(
-            F.greatest(F.col("y0") - y, y - F.col("y1"), F.lit(0.0))
-        )
-        far = _sq(F.greatest(x - F.col("x0"), F.col("x1") - x)) + _sq(F.greatest(y - F.col("y0"), F.col("y1") - y))
+        children = _children(placed, level)
+        if level == 1:
+            joined = attach_case_rows(search, children.select("folder", "kids"), "inner")
+        else:
+            joined = search.join(children, ["folder", "cx", "cy"])
         search = (
-            children.join(cells, ["folder", "cx", "cy"])
-            .select("folder", "x", "y", "cx", "cy", "best", near.alias("near"), far.alias("far"))
-            .where("near <= best")
-            .withColumn("best", F.least(F.col("best"), F.min("far").over(per_point) * SLACK))
-            .where("near <= best")
-            .drop("near", "far")
+            joined.withColumn("best", F.expr(f"least(best, array_min(transform(kids, k -> {_FAR})) {_SLACK})"))
+            .select("folder", "x", "y", "best", F.inline("kids"))
+            .where(f"{_NEAR} <= best")
         )
-    finest = placed.select(
-        "folder", F.col(f"cx{levels}").alias("cx"), F.col(f"cy{levels}").alias("cy"), "sx", "sy", "stop_id"
-    )
+        if 1 < level < levels:  # the rows of one home come from several parents now
+            search = search.withColumn("best", F.min("best").over(home)).where(f"{_NEAR} <= best")
+        search = search.select("folder", "x", "y", "best", "cx", "cy")
+    finest = placed.select("folder", *_cells_at(levels), "sx", "sy", "stop_id")
     return (
         search.join(finest, ["folder", "cx", "cy"])
-        .withColumn("d2", _sq(F.col("x") - F.col("sx")) + _sq(F.col("y") - F.col("sy")))
+        .withColumn("d2", F.expr("(x - sx) * (x - sx) + (y - sy) * (y - sy)"))
         .groupBy("folder", "x", "y")
         .agg(F.min(F.struct("d2", "stop_id")).alias("hit"))
         .select("folder", "x", "y", F.col("hit.stop_id").alias("stop_id"), F.sqrt("hit.d2").alias("distance"))
     )
+
+
+def _cells_at(level: int) -> list[Column]:
+    drop = SPLIT * (MAX_LEVELS - level)
+    return [F.shiftright("px", drop).alias("cx"), F.shiftright("py", drop).alias("cy")]
+
+
+def _levels_needed(placed: DataFrame) -> int:
+    """Coarsest level whose fullest cell holds at most CELL_STOPS places (one number per level is collected)."""
+    levels = range(1, MAX_LEVELS + 1)
+    cells = placed.select("folder", F.explode(F.array(*[
+        F.struct(F.lit(level).alias("level"), *_cells_at(level)) for level in levels
+    ])).alias("c"))
+    fullest = cells.groupBy("folder", "c").count().groupBy("c.level").agg(F.max("count").alias("n")).collect()
+    fits = [row.level for row in fullest if row.n <= CELL_STOPS]
+    return min(fits, default=MAX_LEVELS)
+
+
+def _children(placed: DataFrame, level: int) -> DataFrame:
+    """Boxes of the occupied cells of a level, gathered by their parent cell."""
+    cells = placed.select("folder", *_cells_at(level), "sx", "sy").groupBy("folder", "cx", "cy").agg(
+        F.expr("(min(sx) + max(sx)) / 2 AS mx"), F.expr("(max(sx) - min(sx)) / 2 AS hx"),
+        F.expr("(min(sy) + max(sy)) / 2 AS my"), F.expr("(max(sy) - min(sy)) / 2 AS hy"),
+    )
+    parent = cells.withColumns({"pcx": F.shiftright("cx", SPLIT), "pcy": F.shiftright("cy", SPLIT)})
+    return parent.groupBy("folder", "pcx", "pcy").agg(
+        F.collect_list(F.struct("cx", "cy", "mx", "hx", "my", "hy")).alias("kids")
+    ).withColumnsRenamed({"pcx": "cx", "pcy": "cy"})

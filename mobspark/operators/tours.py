@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mobspark.functions.exprs import named
+
 TOUR = ["folder", "vehicle", "tour"]
 BUCKET_SECONDS = 60
 LAST_BUCKET = 1 << 30  # legs without a start time sort last
@@ -58,38 +60,28 @@ def tour_rollup(legs: DataFrame) -> DataFrame:
     first/last mean the first/last non-NULL value in leg order. The trip-level sums at the end let
     case-level ratios be taken from this frame without a second pass over the legs.
     """
-    def first(c: str):
-        return F.min_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c)
+    def first(c: str) -> str:
+        return f"min_by({c}, CASE WHEN {c} IS NOT NULL THEN seq END)"
 
-    occupied = F.col("passengers") > 0
-    pickup = F.coalesce(F.col("passengers") < 1, F.lit(False))
-    not_99 = ~F.col("service_type").eqNullSafe(99)
-    not_3 = ~F.col("init_status").eqNullSafe(-3)
-    dist = F.col("travel_distance")
-    agg = legs.groupBy(*TOUR, "sub_tour").agg(
-        F.min("start_s").alias("tour_start"),
-        F.max("end_s").alias("tour_end"),
-        F.max("passengers").alias("max_passengers"),
-        F.coalesce(F.sum("skim_travel_time"), F.lit(0.0)).alias("total_skim_travel_time"),
-        F.coalesce(F.sum("routed_travel_time"), F.lit(0.0)).alias("total_routed_travel_time"),
-        first("service_type"), first("hour"), first("origin_zone"),
-        F.max_by("destination_zone", F.when(F.col("destination_zone").isNotNull(), F.col("seq"))).alias("destination_zone"),
-        F.coalesce(F.sum(dist), F.lit(0.0)).alias("total_travel_distance"),
-        first("init_status"),
-        F.count(F.lit(1)).alias("requests_served"),
-        F.max(F.coalesce((F.col("service_type") == 99).cast("int"), F.lit(0))).alias("any_repositioning"),
-        F.sum(F.col("passengers") * dist).alias("passenger_distance"),
-        F.sum(F.when(occupied, F.col("passengers") * dist)).alias("occupied_passenger_distance"),
-        F.sum(F.when(occupied, dist)).alias("occupied_distance"),
-        F.sum(F.when(pickup & not_99, dist)).alias("pickup_distance_99"),
-        F.count(F.when(pickup & not_99, dist)).alias("pickup_legs_99"),
-        F.sum(F.when(pickup & not_3, dist)).alias("pickup_distance_3"),
-        F.count(F.when(pickup & not_3, dist)).alias("pickup_legs_3"),
-    )
+    pickup = "coalesce(passengers < 1, false)"
+    not_99, not_3 = "NOT service_type <=> 99", "NOT init_status <=> -3"
+    agg = legs.groupBy(*TOUR, "sub_tour").agg(*named(
+        tour_start="min(start_s)", tour_end="max(end_s)", max_passengers="max(passengers)",
+        total_skim_travel_time="coalesce(sum(skim_travel_time), 0D)",
+        total_routed_travel_time="coalesce(sum(routed_travel_time), 0D)",
+        service_type=first("service_type"), hour=first("hour"), origin_zone=first("origin_zone"),
+        destination_zone=first("destination_zone").replace("min_by", "max_by"),
+        total_travel_distance="coalesce(sum(travel_distance), 0D)", init_status=first("init_status"),
+        requests_served="count(1)", any_repositioning="max(CASE WHEN service_type = 99 THEN 1 ELSE 0 END)",
+        passenger_distance="sum(passengers * travel_distance)",
+        occupied_passenger_distance="sum(CASE WHEN passengers > 0 THEN passengers * travel_distance END)",
+        occupied_distance="sum(CASE WHEN passengers > 0 THEN travel_distance END)",
+        pickup_distance_99=f"sum(CASE WHEN {pickup} AND {not_99} THEN travel_distance END)",
+        pickup_legs_99=f"count(CASE WHEN {pickup} AND {not_99} THEN travel_distance END)",
+        pickup_distance_3=f"sum(CASE WHEN {pickup} AND {not_3} THEN travel_distance END)",
+        pickup_legs_3=f"count(CASE WHEN {pickup} AND {not_3} THEN travel_distance END)",
+    ))
     return agg.withColumns({
-        "pooled_tour": F.col("requests_served") > 1,
-        "final_tour_id": F.concat(
-            F.col("vehicle").cast("string"), F.lit("_tour_"), F.col("tour").cast("string"),
-            F.lit("_sub_"), F.col("sub_tour").cast("string"),
-        ),
+        "pooled_tour": F.expr("requests_served > 1"),
+        "final_tour_id": F.expr("concat(vehicle, '_tour_', tour, '_sub_', sub_tour)"),
     })

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mobspark.functions.exprs import REPOSITIONING, count_if, sum_if
+from mobspark.functions.exprs import named
 from mobspark.operators.joins import left_join_spreading_nulls
 
 Tables = Mapping[str, DataFrame]
@@ -44,33 +44,24 @@ def trips_by_request(t: Tables) -> DataFrame:
     the rest is pruned. Column meaning, by raw passengers p: n_/d_ counts and metres for pool (p>1),
     solo (p=1), empty (p<1), ``zero`` (p=0) and ``pos`` (p>0).
     """
-    p, d = F.col("passengers"), F.col("travel_distance")
-    seconds = F.col("end_s") - F.col("start_s")
-    sums = t["tnc_trip"].groupBy("folder", "request").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count("tnc_trip_id_int").alias("n_trips"),
-        F.count(p).alias("n_p"),
-        F.sum(d).alias("dist"),
-        F.sum(seconds).alias("seconds"),
-        F.sum(p).alias("pax"),
-        F.max(p).alias("max_p"),
-        F.sum(p * d).alias("pax_dist"),
-        count_if(p > 1).alias("n_pool"), sum_if(p > 1, d).alias("d_pool"),
-        count_if(p == 1).alias("n_solo"), sum_if(p == 1, d).alias("d_solo"),
-        count_if(p < 1).alias("n_empt"), sum_if(p < 1, d).alias("d_empt"),
-        sum_if(p == 0, d).alias("d_zero"),
-        count_if(p > 0).alias("n_pos"), sum_if(p > 0, p).alias("pax_pos"), sum_if(p > 0, d).alias("d_pos"),
-        sum_if(p > 0, p * d).alias("pax_dist_pos"), sum_if(p > 0, seconds).alias("sec_pos"),
-    )
+    sums = t["tnc_trip"].selectExpr(
+        "folder", "request", "tnc_trip_id_int AS id", "passengers AS p", "travel_distance AS d", "end_s - start_s AS s"
+    ).groupBy("folder", "request").agg(*named(
+        n_rows="count(1)", n_trips="count(id)", n_p="count(p)", dist="sum(d)", seconds="sum(s)", pax="sum(p)", max_p="max(p)",
+        pax_dist="sum(p * d)", n_pool="count_if(p > 1)", d_pool="sum(CASE WHEN p > 1 THEN d END)",
+        n_solo="count_if(p = 1)", d_solo="sum(CASE WHEN p = 1 THEN d END)",
+        n_empt="count_if(p < 1)", d_empt="sum(CASE WHEN p < 1 THEN d END)", d_zero="sum(CASE WHEN p = 0 THEN d END)",
+        n_pos="count_if(p > 0)", pax_pos="sum(CASE WHEN p > 0 THEN p END)", d_pos="sum(CASE WHEN p > 0 THEN d END)",
+        pax_dist_pos="sum(CASE WHEN p > 0 THEN p * d END)", sec_pos="sum(CASE WHEN p > 0 THEN s END)",
+    ))
     kinds = t["tnc_request"].select("folder", F.col("tnc_request_id").alias("request"), "service_type")
     joined = sums.join(kinds, ["folder", "request"], "left")
-    return joined.withColumn("repo", F.coalesce(F.col("service_type") == REPOSITIONING, F.lit(False)))
+    return joined.withColumn("repo", F.expr("coalesce(service_type = 99, false)"))
 
 
-def unless_repo(c: str, if_repo: Column | None = None) -> Column:
-    """A per-request sum, replaced for repositioning requests (whose passengers count as 0)."""
-    base = F.when(~F.col("repo"), F.col(c))
-    return base if if_repo is None else base.otherwise(if_repo)
+def unless_repo(c: str, if_repo: str = "NULL") -> str:
+    """SQL of a per-request sum, replaced for repositioning requests (whose passengers count as 0)."""
+    return f"CASE WHEN repo THEN {if_repo} ELSE {c} END"
 
 
 def times_multiplier(df: DataFrame, params: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mobspark.functions.exprs import METRES_PER_MILE, MILES_PER_KM, age_class, level, ratio
+from mobspark.functions.exprs import METRES_PER_MILE, MILES_PER_KM, age_class, level, named, ratio
 from mobspark.operators.joins import one_row_per_case
 from mobspark.plans.common import Tables, trips_by_request, unless_repo
 from mobspark.plans.ridehail import priced_requests
@@ -43,7 +43,7 @@ def demo_financial_case_data(t: Tables, params: DataFrame, mode: str = "first")
     )
     requests = t["tnc_request"].where("service_type <> 99").groupBy("folder").agg(F.count(F.lit(1)).alias("all_requests"))
     revenue = trips_by_request(t).groupBy("folder").agg(
-        F.sum(unless_repo("sec_pos")).alias("secs"), F.sum(unless_repo("d_pos")).alias("metres")
+        *named(secs=f"sum({unless_repo('sec_pos')})", metres=f"sum({unless_repo('d_pos')})")
     )
     cases = one_row_per_case([
         params.select("folder", F.col("trip_multiplier").alias("m"), F.col("fleet_size").alias("fleet")), requests, revenue

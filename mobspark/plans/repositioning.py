@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mobspark.functions.exprs import METRES_PER_MILE, ratio, time_bucket
+from mobspark.functions.exprs import METRES_PER_MILE, named, ratio
 from mobspark.operators.asof import next_service_trip
 from mobspark.operators.joins import attach_case_rows, left_join_spreading_nulls, one_row_per_case
 from mobspark.operators.tours import add_sub_tours, tour_rollup
@@ -15,21 +15,29 @@ from mobspark.plans.ridehail import request_summary
 PERIOD_S = 900
 
 
-def service_trips(t: Tables, period_s: int = PERIOD_S) -> DataFrame:
-    """Vehicle trips of known tours with minutes, miles, hour, period and their request's zones and type."""
-    requests = t["tnc_request"].select("folder", "tnc_request_id", "service_type", "origin_zone", "destination_zone")
-    trips = t["tnc_trip"].where("vehicle IS NOT NULL AND tour IS NOT NULL").select(
+def vehicle_trips(t: Tables, period_s: int = PERIOD_S) -> DataFrame:
+    """Vehicle trips of known tours with minutes, miles, hour and period."""
+    return t["tnc_trip"].where("vehicle IS NOT NULL AND tour IS NOT NULL").selectExpr(
         "folder", "vehicle", "tour", "tnc_trip_id_int", "start_s", "end_s", "passengers", "init_status", "request",
-        (F.col("skim_travel_time") / 60).alias("skim_travel_time"), (F.col("routed_travel_time") / 60).alias("routed_travel_time"),
-        (F.col("travel_distance") / METRES_PER_MILE).alias("travel_distance"),
-        time_bucket("start_s", 3600).alias("hour"), time_bucket("start_s", period_s).alias("repositioning_period"),
+        "skim_travel_time / 60 AS skim_travel_time", "routed_travel_time / 60 AS routed_travel_time",
+        f"travel_distance / {METRES_PER_MILE}D AS travel_distance", "CAST(floor(start_s / 3600) AS INT) AS hour",
+        f"CAST(floor(start_s / {period_s}) AS INT) AS repositioning_period",
     )
+
+
+def with_request(trips: DataFrame, t: Tables) -> DataFrame:
+    """Trips with their request's zones and service type, where there is one."""
+    requests = t["tnc_request"].select("folder", "tnc_request_id", "service_type", "origin_zone", "destination_zone")
     return left_join_spreading_nulls(trips, requests, "request", "tnc_request_id", "tnc_trip_id_int")
 
 
+def _tours(t: Tables) -> DataFrame:
+    return tour_rollup(with_request(add_sub_tours(vehicle_trips(t)), t))
+
+
 def tours(t: Tables) -> DataFrame:
     """One row per sub-tour. Its request ids are the rows of ``tour_requests``, counted in requests_served."""
-    return tour_rollup(add_sub_tours(service_trips(t))).select(
+    return _tours(t).select(
         "folder", "vehicle", "tour", "sub_tour", "final_tour_id", "tour_start", "tour_end", "max_passengers",
         "total_skim_travel_time", "total_routed_travel_time", "service_type", "hour", "origin_zone", "destination_zone",
         "total_travel_distance", "init_status", "requests_served", "pooled_tour",
@@ -61,7 +69,7 @@ def _split(trips: DataFrame, t: Tables) -> tuple[DataFrame, Column, Column]:
 
 def next_service_trips(t: Tables, horizon_s: int = 3600) -> DataFrame:
     """Each repositioning trip with the vehicle's next service trip within the horizon."""
-    trips, probe, service = _split(service_trips(t), t)
+    trips, probe, service = _split(with_request(vehicle_trips(t), t), t)
     return next_service_trip(trips, probe, service, horizon_s).select(
         "folder", "vehicle", "tnc_trip_id_int", "start_s", "hour", "destination_zone", "next_trip", "next_origin_zone"
     )
@@ -83,44 +91,38 @@ def repositioning_success_rate(t: Tables, params: DataFrame) -> DataFrame:
         F.sum("num_repositioned").alias("repositioned"), F.sum("num_successful").alias("successful")
     )
     time, skim, dist = "total_routed_travel_time", "total_skim_travel_time", "total_travel_distance"
-    kind, status, pooled = F.col("service_type"), F.col("init_status"), F.col("pooled_tour")
     groups = {
-        "repo99": kind == 99, "repo3": status == -3, "pooled": pooled,
-        "solo99": ~pooled & ~kind.eqNullSafe(99), "solo3": ~pooled & ~status.eqNullSafe(-3),
+        "repo99": "service_type = 99", "repo3": "init_status = -3", "pooled": "pooled_tour",
+        "solo99": "NOT pooled_tour AND NOT service_type <=> 99", "solo3": "NOT pooled_tour AND NOT init_status <=> -3",
     }
-    means = [
-        F.avg(F.when(cond, F.col(c))).alias(f"{g}_{c}") for g, cond in groups.items() for c in (time, skim, dist)
-    ]
-    daily = tour_rollup(add_sub_tours(service_trips(t))).groupBy("folder").agg(
-        *means, F.max("any_repositioning").alias("typed"), F.sum(time).alias("total_travel_time"), F.sum(dist).alias(dist),
-        F.sum(F.when(F.col("max_passengers") == 0, F.col(dist))).alias("empty_distance"),
-        F.count(F.when(pooled, 1)).alias("pooled_tour_count"), F.sum("passenger_distance").alias("pd"),
-        F.sum("occupied_passenger_distance").alias("opd"), F.sum("occupied_distance").alias("od"),
-        *[F.sum(f"pickup_{w}_{r}").alias(f"pickup_{w}_{r}") for w in ("distance", "legs") for r in ("99", "3")],
-    )
-    wide = one_row_per_case([hourly, daily, request_summary(t, params)]).where("typed IS NOT NULL")
-
-    def by_rule(a: Column | str, b: Column | str) -> Column:
-        return F.when(F.col("typed") == 1, F.col(a) if isinstance(a, str) else a).otherwise(F.col(b) if isinstance(b, str) else b)
-
-    def none_is_zero(c: str) -> Column:
-        return F.coalesce(F.col(c), F.lit(0))
-
-    summary = [c for c in request_summary(t, params).columns if c != "folder"]
-    return wide.select(
-        "folder", none_is_zero("repositioned").alias("num_repositioned"), none_is_zero("successful").alias("num_successful"),
-        F.coalesce(ratio("successful", "repositioned"), F.lit(0.0)).alias("success_rate"),
-        by_rule(f"repo99_{time}", f"repo3_{time}").alias("average_routed_ttime_repo"),
-        by_rule(f"repo99_{skim}", f"repo3_{skim}").alias("average_skim_ttime_repo"),
-        by_rule(f"repo99_{dist}", f"repo3_{dist}").alias("average_travel_distance_repo"),
-        F.col(f"pooled_{time}").alias("average_routed_ttime_pooled"), F.col(f"pooled_{skim}").alias("average_skim_ttime_pooled"),
-        F.col(f"pooled_{dist}").alias("average_travel_distance_pooled"),
-        by_rule(f"solo99_{time}", f"solo3_{time}").alias("average_routed_ttime_solo"),
-        by_rule(f"solo99_{skim}", f"solo3_{skim}").alias("average_skim_ttime_solo"),
-        by_rule(f"solo99_{dist}", f"solo3_{dist}").alias("average_travel_distance_solo"),
-        "total_travel_time", dist, F.coalesce("empty_distance", F.lit(0.0)).alias("total_empty_vehicle_travel_distance"),
-        "pooled_tour_count", ratio("pd", dist).alias("average_vehicle_occupancy"),
-        ratio("opd", "od").alias("average_revenue_vehicle_occupancy"),
-        by_rule(ratio("pickup_distance_99", "pickup_legs_99"), ratio("pickup_distance_3", "pickup_legs_3")).alias("average_pickup_segment_distance"),
-        *summary,
-    )
+    means = {f"{g}_{c}": f"avg(CASE WHEN {cond} THEN {c} END)" for g, cond in groups.items() for c in (time, skim, dist)}
+    pickups = [f"pickup_{w}_{r}" for w in ("distance", "legs") for r in ("99", "3")]
+    daily = _tours(t).groupBy("folder").agg(*named(
+        **means, typed="max(any_repositioning)", total_travel_time=f"sum({time})", total_travel_distance=f"sum({dist})",
+        empty_distance=f"sum(CASE WHEN max_passengers = 0 THEN {dist} END)", pooled_tour_count="count_if(pooled_tour)",
+        pd="sum(passenger_distance)", opd="sum(occupied_passenger_distance)", od="sum(occupied_distance)",
+        **{c: f"sum({c})" for c in pickups},
+    ))
+    summary = request_summary(t, params)
+    wide = one_row_per_case([hourly, daily, summary]).where("typed IS NOT NULL")
+
+    def by_rule(with_type: str, without: str) -> str:
+        return f"CASE WHEN typed = 1 THEN {with_type} ELSE {without} END"
+
+    return wide.select("folder", *named(
+        num_repositioned="coalesce(repositioned, 0L)", num_successful="coalesce(successful, 0L)",
+        success_rate="coalesce(try_divide(successful, repositioned), 0D)",
+        average_routed_ttime_repo=by_rule(f"repo99_{time}", f"repo3_{time}"),
+        average_skim_ttime_repo=by_rule(f"repo99_{skim}", f"repo3_{skim}"),
+        average_travel_distance_repo=by_rule(f"repo99_{dist}", f"repo3_{dist}"),
+        average_routed_ttime_pooled=f"pooled_{time}", average_skim_ttime_pooled=f"pooled_{skim}",
+        average_travel_distance_pooled=f"pooled_{dist}",
+        average_routed_ttime_solo=by_rule(f"solo99_{time}", f"solo3_{time}"),
+        average_skim_ttime_solo=by_rule(f"solo99_{skim}", f"solo3_{skim}"),
+        average_travel_distance_solo=by_rule(f"solo99_{dist}", f"solo3_{dist}"),
+        total_travel_time="total_travel_time", total_travel_distance=dist,
+        total_empty_vehicle_travel_distance="coalesce(empty_distance, 0D)", pooled_tour_count="pooled_tour_count",
+        average_vehicle_occupancy=f"try_divide(pd, {dist})", average_revenue_vehicle_occupancy="try_divide(opd, od)",
+        average_pickup_segment_distance=by_rule(
+            "try_divide(pickup_distance_99, pickup_legs_99)", "try_divide(pickup_distance_3, pickup_legs_3)"),
+    ), *[c for c in summary.columns if c != "folder"])

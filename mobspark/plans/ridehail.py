@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import (
-    METRES_PER_MILE, MILES_PER_KM, age_class, age_level, count_if, distance_bin, income_level, is_repositioning, ratio,
-    sum_if,
+    METRES_PER_MILE, MILES_PER_KM, age_class, age_level, count_if, distance_bin, income_level, is_repositioning, named,
+    ratio, sum_if,
 )
 from mobspark.operators.asof import skim_lookup
 from mobspark.operators.joins import attach_case_rows, one_row_per_case
@@ -33,58 +33,48 @@ def _per_case(params: DataFrame, *frames: DataFrame) -> DataFrame:
 
 def pr_avo(t: Tables, params: DataFrame) -> DataFrame:
     """Ride-hail trips and miles that are pooled, solo or empty, per case."""
-    r = trips_by_request(t)
-    sums = r.groupBy("folder").agg(
-        F.sum(unless_repo("n_pool")).alias("n_pool"), F.sum(unless_repo("d_pool")).alias("d_pool"),
-        F.sum(unless_repo("n_solo")).alias("n_solo"), F.sum(unless_repo("d_solo")).alias("d_solo"),
-        F.sum(unless_repo("n_empt", F.col("n_rows"))).alias("n_empt"),
-        F.sum(unless_repo("d_empt", F.col("dist"))).alias("d_empt"),
-    )
-    m = F.col("m")
-    out = []
+    sums = trips_by_request(t).groupBy("folder").agg(*named(
+        n_pool=f"sum({unless_repo('n_pool')})", d_pool=f"sum({unless_repo('d_pool')})",
+        n_solo=f"sum({unless_repo('n_solo')})", d_solo=f"sum({unless_repo('d_solo')})",
+        n_empt=f"sum({unless_repo('n_empt', 'n_rows')})", d_empt=f"sum({unless_repo('d_empt', 'dist')})",
+    ))
+    out = {}
     for c in ("pool", "solo", "empt"):
-        out += [(_zero(f"n_{c}") * m).alias(f"cnt_{c}"), (F.col(f"d_{c}") / METRES_PER_MILE * m).alias(f"dist_{c}")]
-    return _per_case(params, sums).select("folder", *out)
+        out |= {f"cnt_{c}": f"coalesce(n_{c}, 0) * m", f"dist_{c}": f"d_{c} / {METRES_PER_MILE}D * m"}
+    return _per_case(params, sums).select("folder", *named(**out))
 
 
 def fare_sensitivity_results(t: Tables, params: DataFrame) -> DataFrame:
     """Service level, vehicle use and occupancy of the ride-hail fleet, per case."""
-    fleet = t["tnc_statistics"].groupBy("folder").agg(F.count(F.lit(1)).alias("fleet"), F.avg("tot_dropoffs").alias("avg_trips"))
-    assigned = F.col("assigned_vehicle").isNotNull()
-    service, repo = F.col("service_type") != 99, F.col("service_type") == 99
-    requests = t["tnc_request"].groupBy("folder").agg(
-        F.avg(F.when(assigned & service, F.col("pickup_time") - F.col("request_time"))).alias("wait"),
-        F.avg(F.when(assigned & service, F.col("dropoff_time") - F.col("request_time"))).alias("ttime"),
-        count_if(assigned & service).alias("served"), count_if(assigned & repo).alias("repo_served"),
-        count_if(~assigned & service).alias("unserved"), F.count(F.lit(1)).alias("all_requests"),
-    )
-    trips = trips_by_request(t).groupBy("folder").agg(
-        F.sum(unless_repo("d_zero", F.col("dist"))).alias("evm"), F.sum("dist").alias("vm"),
-        F.sum(unless_repo("pax_dist", F.lit(0.0))).alias("pd"), F.sum(unless_repo("pax_dist_pos")).alias("pd_pos"),
-        F.sum(unless_repo("d_pos")).alias("dd_pos"), F.sum("seconds").alias("secs"),
-        F.sum(unless_repo("pax", F.lit(0))).alias("pax"),
-        F.sum(F.when(F.col("n_pos") > 0, unless_repo("pax_pos", F.lit(0)))).alias("pax_if_raw"),
-        F.count("request").alias("trip_requests"),
-    )
+    fleet = t["tnc_statistics"].groupBy("folder").agg(*named(fleet="count(1)", avg_trips="avg(tot_dropoffs)"))
+    served = "assigned_vehicle IS NOT NULL AND service_type <> 99"
+    requests = t["tnc_request"].groupBy("folder").agg(*named(
+        wait=f"avg(CASE WHEN {served} THEN pickup_time - request_time END)",
+        ttime=f"avg(CASE WHEN {served} THEN dropoff_time - request_time END)", served=f"count_if({served})",
+        repo_served="count_if(assigned_vehicle IS NOT NULL AND service_type = 99)",
+        unserved="count_if(assigned_vehicle IS NULL AND service_type <> 99)", all_requests="count(1)",
+    ))
+    trips = trips_by_request(t).groupBy("folder").agg(*named(
+        evm=f"sum({unless_repo('d_zero', 'dist')})", vm="sum(dist)", pd=f"sum({unless_repo('pax_dist', '0D')})",
+        pd_pos=f"sum({unless_repo('pax_dist_pos')})", dd_pos=f"sum({unless_repo('d_pos')})", secs="sum(seconds)",
+        pax=f"sum({unless_repo('pax', '0L')})", pax_if_raw=f"sum(CASE WHEN n_pos > 0 THEN {unless_repo('pax_pos', '0L')} END)",
+        trip_requests="count(request)",
+    ))
     sov = t["trip"].where("mode = 0").groupBy("folder").agg(
-        F.sum("travel_distance").alias("sov_m"), F.sum(F.col("end_s") - F.col("start_s")).alias("sov_s")
-    )
-    m = F.col("m")
-    base = _per_case(params, fleet, requests, trips, sov).select(
-        "folder", (_zero("fleet") * m).alias("fleet_size"), "avg_trips",
-        (F.col("wait") / 60).alias("wait_min"), (F.col("ttime") / 60).alias("ttime_min"),
-        (_zero("served") * m).alias("requests_served"), (_zero("repo_served") * m).alias("repo_requests_served"),
-        (F.col("evm") / METRES_PER_MILE * m).alias("evmt"), (F.col("vm") / METRES_PER_MILE * m).alias("sav_vmt"),
-        ratio("pd", "vm").alias("AVO"), ratio("pd_pos", "dd_pos").alias("rAVO"), (F.col("secs") / 3600 * m).alias("sav_vht"),
-        (_zero("unserved") * m).alias("unserved_requests"),
-        (F.col("sov_m") / METRES_PER_MILE * m).alias("sov_vmt"), (F.col("sov_s") / 3600 * m).alias("sov_vht"),
-        ratio("pax", "all_requests").alias("trip_avo"), ratio("pax_if_raw", "trip_requests").alias("trip_ravo"),
+        *named(sov_m="sum(travel_distance)", sov_s="sum(end_s - start_s)")
     )
-    return base.withColumns({
-        "perc_evmt": ratio("evmt", "sav_vmt"),
-        "vmt_per_r": ratio("sav_vmt", "requests_served"),
-        "vht_per_r": ratio(F.col("sav_vht") * 60, "requests_served"),
-    })
+    base = _per_case(params, fleet, requests, trips, sov).select("folder", *named(
+        fleet_size="coalesce(fleet, 0) * m", avg_trips="avg_trips", wait_min="wait / 60", ttime_min="ttime / 60",
+        requests_served="coalesce(served, 0) * m", repo_requests_served="coalesce(repo_served, 0) * m",
+        evmt=f"evm / {METRES_PER_MILE}D * m", sav_vmt=f"vm / {METRES_PER_MILE}D * m", AVO="try_divide(pd, vm)",
+        rAVO="try_divide(pd_pos, dd_pos)", sav_vht="secs / 3600 * m", unserved_requests="coalesce(unserved, 0) * m",
+        sov_vmt=f"sov_m / {METRES_PER_MILE}D * m", sov_vht="sov_s / 3600 * m", trip_avo="try_divide(pax, all_requests)",
+        trip_ravo="try_divide(pax_if_raw, trip_requests)",
+    ))
+    return base.select("*", *named(
+        perc_evmt="try_divide(evmt, sav_vmt)", vmt_per_r="try_divide(sav_vmt, requests_served)",
+        vht_per_r="try_divide(sav_vht * 60, requests_served)",
+    ))
 
 
 def distance_tnc_dist(t: Tables, params: DataFrame, half_units: bool = False) -> DataFrame:
@@ -166,29 +156,25 @@ def vehicle_ownership_stats(t: Tables) -> DataFrame:
 
 def tnc_results_discount(t: Tables, params: DataFrame) -> DataFrame:
     """Pooling, fares, occupancy, empty share and rejection rate, per case."""
-    service = F.col("service_type") != 99
-    pooled, assigned = F.col("pooled_service"), F.col("assigned_vehicle").isNotNull()
-    requests = t["tnc_request"].groupBy("folder").agg(
-        count_if(service).alias("n"), sum_if(service, 1 - pooled).alias("solo"), sum_if(service, pooled).alias("pool"),
-        F.sum("fare").alias("s_fare"), sum_if(pooled == 1, "discount").alias("s_disc"),
-        count_if((F.col("service_type") == 99) & assigned).alias("repo"), count_if(service & ~assigned).alias("rejected"),
-    )
-    served = F.col("service_type") != 99
-    trips = trips_by_request(t).groupBy("folder").agg(
-        F.sum(unless_repo("pax", F.lit(0))).alias("pax"), F.sum(unless_repo("n_p", F.col("n_rows"))).alias("n_pax"),
-        sum_if(served, "pax_pos").alias("pax_pos"), sum_if(served, "n_pos").alias("n_pos"), F.sum("dist").alias("dist"),
-        F.sum(unless_repo("d_zero", F.col("dist"))).alias("empty"),
-        sum_if(served, "n_pool").alias("n_pool"), sum_if(served, "n_rows").alias("n_rows"),
-    )
-    m = F.col("m")
-    return _per_case(params, requests, trips).select(
-        "folder", ratio("solo", "n").alias("solo_perc"), ratio("pool", "n").alias("pooled_perc"), (F.col("s_fare") * m).alias("fare"),
-        ratio("pax", "n_pax").alias("AVO"), ratio("pax_pos", "n_pos").alias("rAVO"),
-        (F.col("dist") / 1000 * MILES_PER_KM).alias("vmt"), ratio("empty", "dist").alias("evmt_perc"),
-        ratio("n_pool", "n_rows").alias("pool_per"), (F.col("s_disc") * m).alias("pooled_discount"),
-        (_zero("n") * m).alias("requests"), (_zero("repo") * m).alias("repo_requests"),
-        ratio("rejected", "n").alias("rejection_rate"),
-    )
+    service = "service_type <> 99"
+    requests = t["tnc_request"].groupBy("folder").agg(*named(
+        n=f"count_if({service})", solo=f"sum(CASE WHEN {service} THEN 1 - pooled_service END)",
+        pool=f"sum(CASE WHEN {service} THEN pooled_service END)", s_fare="sum(fare)",
+        s_disc="sum(CASE WHEN pooled_service = 1 THEN discount END)",
+        repo="count_if(service_type = 99 AND assigned_vehicle IS NOT NULL)",
+        rejected=f"count_if({service} AND assigned_vehicle IS NULL)",
+    ))
+    trips = trips_by_request(t).groupBy("folder").agg(*named(
+        pax=f"sum({unless_repo('pax', '0L')})", n_pax=f"sum({unless_repo('n_p', 'n_rows')})", dist="sum(dist)",
+        empty=f"sum({unless_repo('d_zero', 'dist')})",
+        **{c: f"sum(CASE WHEN {service} THEN {c} END)" for c in ("pax_pos", "n_pos", "n_pool", "n_rows")},
+    ))
+    return _per_case(params, requests, trips).select("folder", *named(
+        solo_perc="try_divide(solo, n)", pooled_perc="try_divide(pool, n)", fare="s_fare * m", AVO="try_divide(pax, n_pax)",
+        rAVO="try_divide(pax_pos, n_pos)", vmt=f"dist / 1000 * {MILES_PER_KM}D", evmt_perc="try_divide(empty, dist)",
+        pool_per="try_divide(n_pool, n_rows)", pooled_discount="s_disc * m", requests="coalesce(n, 0) * m",
+        repo_requests="coalesce(repo, 0) * m", rejection_rate="try_divide(rejected, n)",
+    ))
 
 
 def tnc_stat_summary_helper(t: Tables, params: DataFrame) -> DataFrame:
@@ -311,33 +297,32 @@ def tnc_skim_demo(t: Tables, params: DataFrame, mode: str = "first") -> DataFram
 
 def request_summary(t: Tables, params: DataFrame) -> DataFrame:
     """Eighteen request measures per case."""
-    service = F.col("service_type") != 99
-    assigned, pooled = F.col("assigned_vehicle").isNotNull(), F.col("pooled_service")
-    ride = F.col("dropoff_time") - F.col("pickup_time")
-    delay = (ride - F.col("estimated_od_travel_time")) / 60
-    repo = F.col("service_type") == 99
-    sums = t["tnc_request"].groupBy("folder").agg(
-        count_if(service).alias("n"), sum_if(service, 1 - pooled).alias("solo"), sum_if(service, pooled).alias("pool"),
-        F.sum("fare").alias("fare"), sum_if(service, "fare").alias("s_fare"), F.sum("discount").alias("disc"),
-        sum_if(service, "discount").alias("s_disc"), count_if(repo & assigned).alias("n_repo_assigned"),
-        count_if(service & (pooled == 1) & assigned).alias("n_pool"), count_if(service & (pooled == 0) & assigned).alias("n_solo"),
-        count_if(service & ~assigned).alias("n_rejected"),
-        F.avg(F.when(service, F.col("pickup_time") - F.col("request_time"))).alias("wait"), sum_if(service, ride).alias("ride"),
-        sum_if(repo, ride).alias("ride_repo"), count_if(repo).alias("n_repo"),
-        sum_if(service & (pooled == 1), delay).alias("d_pool"), count_if(service & (pooled == 1)).alias("all_pool"),
-        sum_if(service & (pooled == 0), delay).alias("d_solo"), count_if(service & (pooled == 0)).alias("all_solo"),
-    )
-    m = F.col("m")
-    return _per_case(params, sums).select(
-        "folder", ratio("solo", "n").alias("solo_perc"), ratio("pool", "n").alias("pooled_perc"),
-        (F.col("fare") * m).alias("total_fare"), ratio("s_fare", "n").alias("average_fare"),
-        (F.col("disc") * m).alias("total_discount"), ratio("s_disc", "n").alias("average_discount"),
-        (_zero("n") * m).alias("requests"), (_zero("n_repo_assigned") * m).alias("repo_requests"),
-        (_zero("n_pool") * m).alias("pooled_requests"), (_zero("n_solo") * m).alias("solo_requests"),
-        (_zero("n_rejected") * m).alias("rejected_requests"), (F.col("wait") / 60).alias("average_wait_time_min"),
-        ratio("n_rejected", "n").alias("rejection_rate"), ratio("disc", "fare").alias("average_discount_rate"),
-        ratio(F.col("ride") / 60, "n").alias("average_person_ttime_min"),
-        ratio(F.col("ride_repo") / 60, "n_repo").alias("average_repo_ttime_min"),
-        ratio("d_pool", "all_pool").alias("average_pooled_delay_time_min"),
-        ratio("d_solo", "all_solo").alias("average_solo_delay_time_min"),
-    )
+    service, assigned = "service_type <> 99", "assigned_vehicle IS NOT NULL"
+    ride = "dropoff_time - pickup_time"
+    delay = f"({ride} - estimated_od_travel_time) / 60"
+    sums = t["tnc_request"].groupBy("folder").agg(*named(
+        n=f"count_if({service})", solo=f"sum(CASE WHEN {service} THEN 1 - pooled_service END)",
+        pool=f"sum(CASE WHEN {service} THEN pooled_service END)", fare="sum(fare)",
+        s_fare=f"sum(CASE WHEN {service} THEN fare END)", disc="sum(discount)",
+        s_disc=f"sum(CASE WHEN {service} THEN discount END)", n_repo_assigned=f"count_if(service_type = 99 AND {assigned})",
+        n_pool=f"count_if({service} AND pooled_service = 1 AND {assigned})",
+        n_solo=f"count_if({service} AND pooled_service = 0 AND {assigned})",
+        n_rejected=f"count_if({service} AND NOT {assigned})",
+        wait=f"avg(CASE WHEN {service} THEN pickup_time - request_time END)",
+        ride=f"sum(CASE WHEN {service} THEN {ride} END)", ride_repo=f"sum(CASE WHEN service_type = 99 THEN {ride} END)",
+        n_repo="count_if(service_type = 99)",
+        d_pool=f"sum(CASE WHEN {service} AND pooled_service = 1 THEN {delay} END)",
+        all_pool=f"count_if({service} AND pooled_service = 1)",
+        d_solo=f"sum(CASE WHEN {service} AND pooled_service = 0 THEN {delay} END)",
+        all_solo=f"count_if({service} AND pooled_service = 0)",
+    ))
+    return _per_case(params, sums).select("folder", *named(
+        solo_perc="try_divide(solo, n)", pooled_perc="try_divide(pool, n)", total_fare="fare * m",
+        average_fare="try_divide(s_fare, n)", total_discount="disc * m", average_discount="try_divide(s_disc, n)",
+        requests="coalesce(n, 0) * m", repo_requests="coalesce(n_repo_assigned, 0) * m",
+        pooled_requests="coalesce(n_pool, 0) * m", solo_requests="coalesce(n_solo, 0) * m",
+        rejected_requests="coalesce(n_rejected, 0) * m", average_wait_time_min="wait / 60",
+        rejection_rate="try_divide(n_rejected, n)", average_discount_rate="try_divide(disc, fare)",
+        average_person_ttime_min="try_divide(ride / 60, n)", average_repo_ttime_min="try_divide(ride_repo / 60, n_repo)",
+        average_pooled_delay_time_min="try_divide(d_pool, all_pool)", average_solo_delay_time_min="try_divide(d_solo, all_solo)",
+    ))
