@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from mobspark.functions import naming, stats  # noqa: E402
-from mobspark.operators import asof, nearest, shape, tours  # noqa: E402
+from mobspark.operators import asof, compare, nearest, shape, tours  # noqa: E402
 from mobspark.plans import demographics as demo  # noqa: E402
 from mobspark.plans import finance, modes, repair, repositioning, ridehail, significance, transit  # noqa: E402
 from mobspark.sources import catalog, scenario  # noqa: E402
@@ -109,18 +109,15 @@ def _melt_pivot(r: _Run) -> DataFrame:
 
 
 def _baseline_shift(r: _Run) -> DataFrame:
-    from mobspark.operators.compare import baseline_join, shift
-
     totals = r.cased(r.t["trip"].groupBy("folder").agg(F.sum("travel_distance").alias("metres"), F.count(F.lit(1)).alias("trips")))
-    pairs = baseline_join(totals, ["City", "Fleet Size"], "Strategy", BASELINE, ["metres", "trips"], prefix="base ")
-    return pairs.select("folder", "City", "Fleet Size", "Strategy", shift("metres", "base metres").alias("metres shift"),
-                        shift("trips", "base trips").alias("trips shift"))
+    pairs = compare.with_baseline(totals, ["City", "Fleet Size"], "Strategy", BASELINE, ["metres", "trips"], prefix="base ")
+    return pairs.where(~F.col("Strategy").isin(*BASELINE)).select(
+        "folder", "City", "Fleet Size", "Strategy", compare.shift("metres", "base metres").alias("metres shift"),
+        compare.shift("trips", "base trips").alias("trips shift"))
 
 
 def _ttest_from_stats(r: _Run) -> DataFrame:
     """t statistic and p-value of each nation's order prices per status against status 'F'."""
-    from mobspark.functions.stats import pooled_t
-
     orders = r.t.raw("orders").join(
         r.t.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey"
     )
@@ -128,7 +125,7 @@ def _ttest_from_stats(r: _Run) -> DataFrame:
         F.avg("o_totalprice").alias("m"), F.stddev_samp("o_totalprice").alias("sd"), F.count(F.lit(1)).alias("n")
     )
     base = s.where("o_orderstatus = 'F'").select("c_nationkey", *[F.col(c).alias(f"b_{c}") for c in ("m", "sd", "n")])
-    t, df = pooled_t(F.col("b_m"), F.col("b_sd"), F.col("b_n"), F.col("m"), F.col("sd"), F.col("n"))
+    t, df = stats.pooled_t(F.col("b_m"), F.col("b_sd"), F.col("b_n"), F.col("m"), F.col("sd"), F.col("n"))
     pairs = s.where("o_orderstatus <> 'F'").join(base, "c_nationkey").select(
         "c_nationkey", "o_orderstatus", t.alias("t_statistic"), df.alias("df")
     )

@@ -22,43 +22,32 @@ def next_service_trip(
     service start in its own bucket first and otherwise takes the first service start of the vehicle's
     next bucket that has one. Only one summary row per vehicle and bucket is ordered per vehicle.
     """
-    micros = F.round(F.col("start_s") * MICROS).cast("bigint")
-    rows = trips.where("vehicle IS NOT NULL AND start_s IS NOT NULL").withColumns({
-        "_us": micros,
-        "_bucket": F.expr(f"CAST(floor(round(start_s * {MICROS}) / {bucket_s * MICROS}.0D) AS BIGINT)"),
-        "_probe": F.coalesce(probe, F.lit(False)),
-        "_service": F.coalesce(service, F.lit(False)),
-    })
-    key = ["folder", "vehicle", "_bucket"]
-
-    # equal starts collapse to the lowest trip id before any window sees them
-    services = (
-        rows.where("_service")
-        .groupBy(*key, "_us")
-        .agg(F.min("tnc_trip_id_int").alias("_id"), F.min_by("origin_zone", "tnc_trip_id_int").alias("_zone"))
-        .withColumn("_next", F.struct("_us", F.col("_id").alias("id"), F.col("_zone").alias("zone")))
-        .drop("_id", "_zone")
+    step = bucket_s * MICROS
+    rows = (
+        trips.where("vehicle IS NOT NULL AND start_s IS NOT NULL")
+        .withColumns({"_probe": F.coalesce(probe, F.lit(False)), "_service": F.coalesce(service, F.lit(False))})
+        .where("_probe OR _service")
+        .withColumn("_us", F.expr(f"CAST(round(start_s * {MICROS}) AS BIGINT)"))
+        .withColumns({
+            "_bucket": F.expr(f"CAST(floor(_us / {step}.0D) AS BIGINT)"),
+            "_self": F.expr(
+                "CASE WHEN _service THEN named_struct('us', _us, 'id', tnc_trip_id_int, 'zone', origin_zone) END"),
+        })
     )
-    probes = rows.where("_probe").drop("_probe", "_service")
-
+    key = ["folder", "vehicle", "_bucket"]
     later = Window.partitionBy(*key).orderBy(F.col("_us").desc()).rangeBetween(Window.unboundedPreceding, -1)
-    events = probes.withColumn("_is_probe", F.lit(True)).unionByName(services, allowMissingColumns=True)
-    in_bucket = events.withColumn("_found", F.min("_next").over(later)).where("_is_probe").drop("_is_probe", "_next")
+    in_bucket = rows.withColumn("_found", F.min("_self").over(later)).where("_probe")
 
-    heads = services.groupBy(*key).agg(F.min("_next").alias("_head"))
-    marks = probes.select(*key).distinct().unionByName(heads, allowMissingColumns=True)
-    buckets = marks.groupBy(*key).agg(F.min("_head").alias("_head"))
-    following = Window.partitionBy("folder", "vehicle").orderBy(F.col("_bucket").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
+    heads = rows.groupBy(*key).agg(F.min("_self").alias("_head"))
+    following = (
+        Window.partitionBy("folder", "vehicle").orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     )
-    onward = buckets.select(*key, F.last("_head", ignorenulls=True).over(following).alias("_onward"))
-
-    best = F.coalesce("_found", "_onward")
-    hit = F.when(best["_us"] - F.col("_us") <= F.lit(horizon_s * MICROS), best)
+    onward = heads.select(*key, F.last("_head", ignorenulls=True).over(following).alias("_onward"))
+    hit = f"CASE WHEN coalesce(_found, _onward).us - _us <= {horizon_s * MICROS} THEN coalesce(_found, _onward) END"
     return (
         in_bucket.join(onward, key, "left")
-        .withColumns({"next_trip": hit["id"], "next_origin_zone": hit["zone"]})
-        .drop("_us", "_bucket", "_found", "_onward")
+        .withColumns({"next_trip": F.expr(f"({hit}).id"), "next_origin_zone": F.expr(f"({hit}).zone")})
+        .drop("_probe", "_service", "_us", "_bucket", "_self", "_found", "_onward")
     )
 
 

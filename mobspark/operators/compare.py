@@ -1,46 +1,60 @@
-"""Comparison of treatment cases with baseline cases."""
+"""Comparison of treatment cases with baseline cases.
+
+Inputs are report tables with a few rows per case that are expensive to compute, so the baseline's
+values are brought beside each row with a window over one evaluation of the input, not a self-join.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mobspark.functions.exprs import ratio
+from mobspark.functions.exprs import col, ratio
 from mobspark.functions.stats import pooled_t
 
 
-def baseline_join(df: DataFrame, on: Sequence[str], strategy: str, baseline: Sequence[str], columns: Sequence[str],
+def first_match(where: Column, on: Sequence[str], columns: Sequence[str], order: str = "folder") -> Column:
+    """The given columns of the group's first row (by ``order``) that satisfies ``where``, as a struct."""
+    row = F.struct(F.col(order).alias("_order"), *[F.col(f"`{c}`").alias(c) for c in columns])
+    return F.min(F.when(where, row)).over(Window.partitionBy(*on))
+
+
+def with_baseline(df: DataFrame, on: Sequence[str], strategy: str, baseline: Sequence[str], columns: Sequence[str],
                   treatment: Sequence[str] | None = None, prefix: str = "heuristic ") -> DataFrame:
-    """Treatment rows with the matching baseline row's ``columns`` beside them (prefixed)."""
+    """Treatment and baseline rows; the former carry their group's baseline ``columns`` (prefixed).
+
+    ``treatment=None`` takes every strategy that is not the baseline. A group with several baseline
+    cases uses the first by name.
+    """
     label = F.col(strategy)
-    base = df.where(label.isin(*baseline)).select(*on, *[F.col(c).alias(prefix + c) for c in columns])
-    chosen = df.where(label.isin(*treatment)) if treatment else df.where(~label.isin(*baseline))
-    return chosen.join(base, list(on), "left")
+    is_base = label.isin(*baseline)
+    chosen = label.isin(*baseline, *treatment) if treatment else label.isNotNull()
+    paired = df.where(chosen).withColumn("_base", first_match(is_base, on, columns))
+    return paired.withColumns(
+        {prefix + c: F.when(~is_base, F.col("_base").getField(c)) for c in columns}
+    ).drop("_base")
 
 
 def shift(new: str | Column, old: str | Column) -> Column:
     """Relative change (new - old) / old."""
-    n = F.col(new) if isinstance(new, str) else new
-    o = F.col(old) if isinstance(old, str) else old
-    return ratio(n - o, o)
+    return ratio(col(new) - col(old), old)
 
 
-def ttest_from_stats(stats: DataFrame, base: DataFrame, on: Sequence[str], value_from: Mapping[str, str]) -> DataFrame:
-    """Pair each case's metric row with its base row: base_case, folder, metric, t_statistic, df, value.
+def ttest_from_stats(stats: DataFrame, is_base: Column, on: Sequence[str], value_from: Mapping[str, str]) -> DataFrame:
+    """Pair each case's metric row with its group's base row: base_case, folder, metric, t-statistic, df, value.
 
     ``value_from`` names the column reported as ``value`` per metric (Mean or Sum). Metrics that carry
-    no mean keep a NULL statistic.
+    no mean keep a NULL statistic. Groups without a base row are left out.
     """
-    names = {c: f"_b_{c}" for c in ("folder", "Mean", "StdDev", "SampleSize")}
-    base_rows = base.select(*on, "Metric", *[F.col(c).alias(a) for c, a in names.items()])
-    pairs = stats.join(base_rows, [*on, "Metric"]).where(F.col("folder") != F.col("_b_folder"))
-    t, dof = pooled_t(F.col("_b_Mean"), F.col("_b_StdDev"), F.col("_b_SampleSize"),
+    base = first_match(is_base, [*on, "Metric"], ["Mean", "StdDev", "SampleSize"])
+    pairs = stats.where(F.col("Metric").isin(*value_from)).withColumn("_b", base).where("_b IS NOT NULL AND folder <> _b._order")
+    t, dof = pooled_t(F.col("_b.Mean"), F.col("_b.StdDev"), F.col("_b.SampleSize"),
                       F.col("Mean"), F.col("StdDev"), F.col("SampleSize"))
     means = [m for m, c in value_from.items() if c == "Mean"]
     value = F.when(F.col("Metric").isin(*means), F.col("Mean")).otherwise(F.col("Sum"))
-    return pairs.where(F.col("Metric").isin(*value_from)).select(
-        *on, F.col("_b_folder").alias("base_case"), "folder", F.col("Metric").alias("metric"),
+    return pairs.select(
+        *on, F.col("_b._order").alias("base_case"), "folder", F.col("Metric").alias("metric"),
         t.alias("t-statistic"), dof.alias("df"), value.alias("value"),
     )

@@ -39,20 +39,19 @@ def describe_long(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], wh
 
 def capped_histogram(df: DataFrame, keys: Sequence[str], value: str, cap: int = 5, steps: int = 10) -> DataFrame:
     """Counts per bin of width 1/steps, zero-filled from 0 to ``cap``; larger values fall in ``<cap>.0+``."""
-    step = F.rint(F.col(value) * steps).cast("int")
-    label = F.concat((F.col("_step") / F.lit(steps)).cast("int").cast("string"), F.lit("."), (F.col("_step") % steps).cast("string"))
-    binned = df.where(F.col(value).isNotNull()).select(
-        *keys, F.when(F.col(value) > cap, F.lit(None)).otherwise(step).alias("_step")
+    over = cap * steps + 1  # number of the overflow bin
+    step = F.when(F.col(value) > cap, F.lit(over)).otherwise(F.rint(F.col(value) * steps).cast("int"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, step.alias("_step")).agg(F.count(F.lit(1)).alias("n"))
+    # a group has at most cap * steps + 2 bins, so its counts fit one map
+    bins = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_step", "n"))).alias("_bins"))
+    return (
+        bins.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(over))))
+        .withColumn("Count", F.coalesce(F.try_element_at("_bins", F.col("_step")), F.lit(0).cast("bigint")))
+        .where(f"_step < {over} OR Count > 0")
+        .withColumn(value, F.expr(
+            f"CASE WHEN _step = {over} THEN '{cap}.0+' ELSE concat(_step div {steps}, '.', _step % {steps}) END"))
+        .select(*keys, value, "Count")
     )
-    counted = binned.groupBy(*keys, "_step").agg(F.count(F.lit(1)).alias("Count"))
-    zeros = (
-        counted.select(*keys).distinct()
-        .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(cap * steps))))
-        .withColumn("Count", F.lit(0).cast("bigint"))
-    )
-    merged = counted.unionByName(zeros)
-    bin_label = F.coalesce(label, F.lit(f"{cap}.0+"))
-    return merged.withColumn(value, bin_label).groupBy(*keys, value).agg(F.sum("Count").alias("Count"))
 
 
 def pivot_expected(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], amount: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import (
@@ -105,11 +105,13 @@ def zone_income_check(elder: DataFrame, columns: Sequence[str] = FOLDER_COLUMNS)
 
 def mode_data(elder: DataFrame, columns: Sequence[str] = FOLDER_COLUMNS) -> DataFrame:
     """Senior travel by zone, mode and type with averages per trip and the zone's income quartile."""
-    travel = zone_data(elder).where("mode <> 'FAIL_REROUTE'").withColumns({
+    by_zone = Window.partitionBy(*columns, "zone")  # a zone's rows are one per mode, type and case: few
+    income = ratio(F.sum("hh_inc_total").over(by_zone), F.sum("household_count").over(by_zone))
+    return zone_data(elder).withColumn("avg_hh_inc", income).where("mode <> 'FAIL_REROUTE'").withColumns({
         "average travel distance": ratio("total_travel_distance_miles", "trip_count"),
         "average travel time": ratio("total_ttime_mins", "trip_count"),
+        "HH_Inc_Quartile": income_quartile("avg_hh_inc"),
     })
-    return travel.join(zone_income_check(elder, columns), [*columns, "zone"], "left")
 
 
 def _senior_travel(elder: DataFrame) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import METRES_PER_MILE, age_class, mode_name, purpose_flags, ratio, row_total
-from mobspark.operators.compare import baseline_join, shift
+from mobspark.operators.compare import shift, with_baseline
 from mobspark.operators.shape import pivot_expected
 from mobspark.plans.common import Tables, residents, times_multiplier
 
@@ -130,38 +130,32 @@ def mode_combo_shift(
     shares = ["Bus Mass Share", "Rideshare Replaceable Bus Share", "SOV Share", "Rideshare Share"]
     kept = [f"Rideshare Replaceable Bus {noun}", f"Total {noun}", *shares]
     old = "heuristic "
-    treated = baseline_join(combo, case_columns, "Strategy", baseline, [*classes, vehicular, *kept], treatment, old)
+    rows = with_baseline(combo, case_columns, "Strategy", baseline, [*classes, vehicular, *kept], treatment, old)
+    by_strategy = Window.partitionBy(*strategy_columns)
+    # the strategy's mean covers every case of the strategy, chosen for comparison or not
+    rows = rows.withColumns({f"mean {c}": F.avg(c).over(by_strategy) for c in (*classes, vehicular)})
 
-    new_sum = F.col("Positive") + F.col("Neutral") + F.col("Negative")
-    old_sum = F.col(f"{old}Positive") + F.col(f"{old}Neutral") + F.col(f"{old}Negative")
+    new_sum = F.expr("Positive + Neutral + Negative")
+    old_sum = F.expr(f"`{old}Positive` + `{old}Neutral` + `{old}Negative`")
 
     def gain(share: str) -> Column:
-        return F.col(share) - F.col(old + share)
-
-    treated = (
-        treated.withColumns({f"{c} Shift Heur": shift(c, old + c) for c in classes})
-        .withColumns({
-            "Net Overall Shift Heur": shift(new_sum, old_sum),
-            "Net Positive Shift Heur": F.col("Positive Shift Heur") - F.col("Negative Shift Heur"),
-            f"{vehicular_shift} Heur": shift(vehicular, old + vehicular),
-            f"High Capacity Bus {trip_word} Share Increase": gain("Bus Mass Share"),
-            f"TNC Replaceable Bus {trip_word} Share Increase": gain("Rideshare Replaceable Bus Share"),
-            "SOV Share Increase": gain("SOV Share"),
-            "TNC Share Increase": gain("Rideshare Share"),
-        })
-        .withColumn("Net TNC Increase vs SOV", F.col("TNC Share Increase") + F.col("SOV Share Increase"))
-        .drop(*[old + c for c in (*classes, vehicular)])
-    )
-    both = treated.unionByName(combo.where(F.col("Strategy").isin(*baseline)), allowMissingColumns=True)
-    means = combo.groupBy(*strategy_columns).agg(*[F.avg(c).alias(f"mean {c}") for c in (*classes, vehicular)])
-    out = (
-        both.join(means, list(strategy_columns), "left")
-        .withColumns({
-            **{f"{c} Shift Avg": shift(c, f"mean {c}") for c in classes},
-            f"{vehicular_shift} Avg": shift(vehicular, f"mean {vehicular}"),
-        })
-        .withColumn("Net Positive Shift Avg", F.col("Positive Shift Avg") - F.col("Negative Shift Avg"))
-    )
+        return F.expr(f"`{share}` - `{old}{share}`")
+
+    out = rows.withColumns({
+        **{f"{c} Shift Heur": shift(c, old + c) for c in classes},
+        **{f"{c} Shift Avg": shift(c, f"mean {c}") for c in classes},
+        "Net Overall Shift Heur": shift(new_sum, old_sum),
+        f"{vehicular_shift} Heur": shift(vehicular, old + vehicular),
+        f"{vehicular_shift} Avg": shift(vehicular, f"mean {vehicular}"),
+        f"High Capacity Bus {trip_word} Share Increase": gain("Bus Mass Share"),
+        f"TNC Replaceable Bus {trip_word} Share Increase": gain("Rideshare Replaceable Bus Share"),
+        "SOV Share Increase": gain("SOV Share"),
+        "TNC Share Increase": gain("Rideshare Share"),
+    }).withColumns({
+        "Net Positive Shift Heur": F.expr("`Positive Shift Heur` - `Negative Shift Heur`"),
+        "Net Positive Shift Avg": F.expr("`Positive Shift Avg` - `Negative Shift Avg`"),
+        "Net TNC Increase vs SOV": F.expr("`TNC Share Increase` + `SOV Share Increase`"),
+    })
     return out.select(
         "folder", "Bus AVO", "Bus Mass", "Bus Pool", "Bus Solo", "Bus Empty", "City", "Fleet Size", "Strategy", "Iteration",
         "Bus Total", "Rideshare Pool", "Rideshare Solo", "Rideshare Empty", "Rideshare Total", "SOV", "RAIL", "BICYCLE", "WALK",

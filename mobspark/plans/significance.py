@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import ratio, relabel, starred, starred_percent, stars
@@ -33,10 +33,9 @@ def ttest_pairs(summary: DataFrame, base_cases: Sequence[str] | None = None, bas
     rows = summary.withColumns({"city": F.substring("folder", 1, 3), "fleet_size": F.get(F.split("folder", "_"), 1)})
     on = ["city"] if base_cases is not None else ["city", "fleet_size"]
     is_base = F.col("folder").isin(*base_cases) if base_cases is not None else F.col("folder").rlike(base_suffix)
-    bases = rows.where(is_base)
-    chosen = bases.groupBy(*on).agg(F.min("folder").alias("folder"))
-    cases = rows if base_cases is not None else rows.where(~is_base)
-    return ttest_from_stats(cases, bases.join(chosen, [*on, "folder"], "left_semi"), on, VALUE_FROM)
+    pairs = ttest_from_stats(rows, is_base, on, VALUE_FROM)
+    # with a suffix every base case is a reference only; named base cases are compared with each other
+    return pairs if base_cases is not None else pairs.where(~F.col("folder").rlike(base_suffix))
 
 
 def tnc_ttests(summary: DataFrame, base_cases: Sequence[str] | None = None, base_suffix: str | None = None) -> DataFrame:
@@ -55,9 +54,10 @@ def with_significance(ttests: DataFrame) -> DataFrame:
 
 
 def _with_other(labelled: DataFrame, metric: str, other: str, alias: str) -> DataFrame:
-    mine = labelled.where(F.col("metric") == metric)
-    theirs = labelled.where(F.col("metric") == other).select("base_case", "folder", F.col("value").alias(alias))
-    return mine.join(theirs, ["base_case", "folder"], "left")
+    """Rows of one metric with another metric's value of the same case beside them."""
+    same_case = Window.partitionBy("base_case", "folder")
+    value = F.max(F.when(F.col("metric") == other, F.col("value"))).over(same_case)
+    return labelled.where(F.col("metric").isin(metric, other)).withColumn(alias, value).where(F.col("metric") == metric)
 
 
 def discount_percent(labelled: DataFrame) -> DataFrame:
