@@ -16,14 +16,16 @@ INITIAL = "abm_init_iteration"
 def list_run_dirs(spark: SparkSession, root: str) -> DataFrame:
     """Iteration directories below ``root/<case>/``: case_name, dir_name, finished.
 
-    Files are listed by Spark; only paths are read, never contents.
+    Paths come from Spark's file index (which the driver holds in any case): a scan would leave out
+    the markers, which are empty files. Contents are never read.
     """
-    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).inputFiles()
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
     parts = F.split(F.substring_index("path", root.rstrip("/") + "/", -1), "/")
     return (
-        paths.select(F.get(parts, 0).alias("case_name"), F.get(parts, 1).alias("dir_name"),
-                     (F.size(parts) == 3).alias("direct"), F.element_at(parts, -1).alias("file"))
-        .where("dir_name IS NOT NULL")
+        listed.select(F.get(parts, 0).alias("case_name"), F.get(parts, 1).alias("dir_name"),
+                      (F.size(parts) == 3).alias("direct"), F.element_at(parts, -1).alias("file"), F.size(parts).alias("depth"))
+        .where("depth >= 3")
         .groupBy("case_name", "dir_name")
         .agg(F.max(F.col("direct") & (F.col("file") == "finished")).alias("finished"))
     )
