@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,11 +38,14 @@ def repaired_trips(t: Tables) -> DataFrame:
     return flagged.withColumn("passengers", F.when(fix, F.lit(0)).otherwise(F.col("passengers")).cast("bigint")).drop("_repo")
 
 
-def repaired_tables(t: Tables) -> dict[str, DataFrame]:
-    """The same tables with both repairs applied; cases without any request drop out of the vehicle tables."""
-    out = dict(t)
-    out["tnc_request"], out["tnc_trip"] = repaired_requests(t), repaired_trips(t)
-    return out
+def repaired_tables(t: Tables) -> Tables:
+    """The same tables with both repairs applied."""
+    return ChainMap({"tnc_request": repaired_requests(t), "tnc_trip": repaired_trips(t)}, t)
+
+
+def cases_with_requests(t: Tables) -> DataFrame:
+    """Folders with at least one ride-hail request."""
+    return t["tnc_request"].select("folder").distinct()
 
 
 def repair_check(t: Tables) -> DataFrame:

@@ -6,10 +6,11 @@ in braces). Helper reports are built first and are visible to later reports unde
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from mobspark.plans import demographics, finance, repositioning, ridehail, modes, transit
 from mobspark.plans.common import Tables
@@ -37,8 +38,9 @@ class Registry:
 
         def build(t: Tables, params: DataFrame) -> DataFrame:
             frames = {n: t[n] for n in wanted}
-            return SparkSession.active().sql(statement, case_params=params, **frames) if "{case_params}" in statement \
-                else SparkSession.active().sql(statement, **frames)
+            if "{case_params}" in statement:
+                frames["case_params"] = params
+            return params.sparkSession.sql(statement, **frames)
 
         self.register(name, build, helper)
 
@@ -48,10 +50,10 @@ class Registry:
     def build(self, t: Tables, params: DataFrame, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
         """Lazy DataFrames of the chosen reports, helpers first."""
         chosen = [self._reports[n] for n in (names if names is not None else self._reports)]
-        available, out = dict(t), {}
+        out: dict[str, DataFrame] = {}
+        available = ChainMap(out, t)
         for report in sorted(chosen, key=lambda r: not r.helper):
             out[report.name] = report.build(available, params)
-            available[report.name] = out[report.name]
         return out
 
 

@@ -30,6 +30,10 @@ class ReportStore:
             .partitionBy("folder").parquet(self.path(key))
         )
 
+    def replace(self, key: str, df: DataFrame) -> None:
+        """Replace the whole table, unpartitioned (cross-case tables are small)."""
+        df.write.mode("overwrite").parquet(self.path(key))
+
     def read(self, key: str) -> DataFrame:
         df = self.spark.read.parquet(self.path(key))
         return df.withColumn("folder", F.col("folder").cast("string")) if "folder" in df.columns else df
