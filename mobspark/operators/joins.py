@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 64
-CASE_ROWS_BROADCAST = 100_000
+CASE_ROWS_BROADCAST = 20_000
 
 
 def left_join_spreading_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str, row_id: str) -> DataFrame:
@@ -28,11 +28,14 @@ def left_join_spreading_nulls(left: DataFrame, right: DataFrame, left_key: str,
 def attach_case_rows(fact: DataFrame, case_rows: DataFrame, how: str = "left", limit: int = CASE_ROWS_BROADCAST) -> DataFrame:
     """Join one-row-per-case constants onto a fact table by ``folder``.
 
-    The small side is broadcast only after its row count was checked; beyond the limit the fact
-    rows are salted within each case so that no case lands in a single task.
+    At most ``limit`` + 1 rows are fetched. If that is all of them they are broadcast, computed only
+    once however costly the frame behind them is; otherwise the fact rows are salted within each case
+    so that no case lands in a single task.
     """
-    if case_rows.limit(limit + 1).count() <= limit:
-        return fact.join(F.broadcast(case_rows), "folder", how)
+    rows = case_rows.limit(limit + 1).collect()
+    if len(rows) <= limit:
+        small = fact.sparkSession.createDataFrame(rows, case_rows.schema)
+        return fact.join(F.broadcast(small), "folder", how)
     spread = F.pmod(F.xxhash64(*[c for c, kind in fact.dtypes if not kind.startswith("map")]), F.lit(NULL_SPREAD))
     salted_fact = fact.withColumn("_salt", spread.cast("int"))
     copies = case_rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(NULL_SPREAD - 1))))

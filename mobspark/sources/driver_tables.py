@@ -47,15 +47,14 @@ class DriverTables(dict):
 
 
 def _case_params(t: DriverTables) -> DataFrame:
-    rows = [
-        (f, m, FLEET_SIZE, PER_MINUTE, PER_MILE, BASE_FARE, "default" if "_nr_" in f else "auction", POOLING_DISCOUNT)
-        for f, m in CASES
-    ]
-    return t.spark.createDataFrame(
-        rows,
-        "folder string, trip_multiplier double, fleet_size bigint, per_minute double, per_mile double, "
-        "base_fare double, assignment_strategy string, pooling_discount double",
+    rows = ", ".join(
+        f"('{f}', {m}D, {FLEET_SIZE}L, {PER_MINUTE}D, {PER_MILE}D, {BASE_FARE}D, "
+        f"'{'default' if '_nr_' in f else 'auction'}', {POOLING_DISCOUNT}D)" for f, m in CASES
+    )
+    columns = (
+        "folder, trip_multiplier, fleet_size, per_minute, per_mile, base_fare, assignment_strategy, pooling_discount"
     )
+    return t.spark.sql(f"SELECT * FROM VALUES {rows} AS t({columns})")
 
 
 def _location(t: DriverTables) -> DataFrame:
