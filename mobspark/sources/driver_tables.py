@@ -149,9 +149,12 @@ def _tnc_request(t: DriverTables) -> DataFrame:
 
 def _tnc_trip(t: DriverTables) -> DataFrame:
     requests = t["tnc_request"].select("folder", "tnc_request_id")
+    # microseconds since the epoch, whatever the session time zone
+    zoned = dict(t.raw("events").dtypes)["ts"] == "timestamp"
+    micros = "unix_micros(ts)" if zoned else "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
     events = t.raw("events").select(
         "event_id", "user_id",
-        F.expr("(CAST(unix_micros(CAST(ts AS TIMESTAMP)) AS DOUBLE)/1000000 - 1704067200)/30 AS start_s"),
+        F.expr(f"(CAST({micros} AS DOUBLE)/1000000 - 1704067200)/30 AS start_s"),
         F.expr("CAST(floor(event_id/2.0D) AS BIGINT) AS tnc_request_id"),
     )
     return events.join(requests, "tnc_request_id").selectExpr(

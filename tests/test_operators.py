@@ -187,3 +187,37 @@ def test_baseline_values_stand_beside_treatments(frame):
     got = compare.with_baseline(d, ["c"], "s", ["base"], ["v"], ["new"], "b ")
     assert {r.folder: r["b v"] for r in got.collect()} == {"a1": None, "a0": None, "a2": 4.0, "b2": None}
     assert "a3" in {r.folder for r in compare.with_baseline(d, ["c"], "s", ["base"], ["v"]).collect()}
+
+
+# ---- skew -------------------------------------------------------------------------------------------
+
+def test_a_dominant_traveller_is_split_by_the_adaptive_join(spark, frame):
+    """Row-level joins on a real key keep a plan shape in which the skew join may split the hot key."""
+    from mobspark.plans import modes
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    trips = spark.range(60_000).repartition(12).selectExpr(
+        "'f' AS folder", "id AS trip_id", "CASE WHEN id % 3 = 0 THEN 1 ELSE id % 500 END AS person", "id % 50 AS origin", "id % 40 AS destination",
+        "id % 10 AS mode", "0D AS start_s", "100D AS end_s", "CAST(id AS DOUBLE) AS travel_distance", "0 AS has_artificial_trip")
+    people = spark.range(500).selectExpr(
+        "'f' AS folder", "id AS person", "id AS household", "id % 90 AS age", "id % 40 AS work_location_id", "0D AS income", "0L AS education",
+        "0 AS gender", "0L AS race", "false AS disability", "0L AS marital_status")
+    homes = spark.range(500).selectExpr("'f' AS folder", "id AS household", "id % 50 AS location", "0D AS income", "1L AS vehicles", "1L AS persons", "1L AS workers")
+    places = spark.range(50).selectExpr("'f' AS folder", "id AS location", "id AS zone", "0D AS x", "0D AS y")
+    params = frame("folder string, trip_multiplier double", ("f", 1.0))
+    tables = {"trip": trips, "person": people, "household": homes, "location": places}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = modes.mode_distribution_counts(tables, params)
+        total = sum(r.total for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert total == 60_000 and "skew=true" in plan
