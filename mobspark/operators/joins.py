@@ -32,8 +32,8 @@ def attach_case_rows(fact: DataFrame, case_rows: DataFrame, how: str = "left", l
     once however costly the frame behind them is; otherwise the fact rows are salted within each case
     so that no case lands in a single task.
     """
-    rows = case_rows.limit(limit + 1).collect()
-    if len(rows) <= limit:
+    rows = case_rows.limit(limit + 1).toArrow()
+    if rows.num_rows <= limit:
         small = fact.sparkSession.createDataFrame(rows, case_rows.schema)
         return fact.join(F.broadcast(small), "folder", how)
     spread = F.pmod(F.xxhash64(*[c for c, kind in fact.dtypes if not kind.startswith("map")]), F.lit(NULL_SPREAD))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import named
-from mobspark.operators.joins import left_join_spreading_nulls
+from mobspark.operators.joins import attach_case_rows, left_join_spreading_nulls
 
 Tables = Mapping[str, DataFrame]
 
@@ -66,5 +66,5 @@ def unless_repo(c: str, if_repo: str = "NULL") -> str:
 
 def times_multiplier(df: DataFrame, params: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Scale already aggregated columns by the case's trip multiplier."""
-    scaled = df.join(params.select("folder", "trip_multiplier"), "folder")
+    scaled = attach_case_rows(df, params.select("folder", "trip_multiplier"), "inner")
     return scaled.withColumns({c: F.col(c) * F.col("trip_multiplier") for c in columns}).drop("trip_multiplier")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import METRES_PER_MILE, count_if, ratio, sum_if
-from mobspark.operators.joins import one_row_per_case
+from mobspark.operators.joins import attach_case_rows, one_row_per_case
 from mobspark.operators.shape import capped_histogram
 from mobspark.plans.common import Tables, times_multiplier
 
@@ -65,7 +65,7 @@ def bus_avo(t: Tables, params: DataFrame) -> DataFrame:
     by_load = t["transit_vehicle_links"].groupBy("folder", load.alias("load")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("value_length").alias("length")
     )
-    scaled = by_load.join(params.select("folder", "trip_multiplier"), "folder")
+    scaled = attach_case_rows(by_load, params.select("folder", "trip_multiplier"), "inner")
     size = F.col("load") * F.col("trip_multiplier")
     classes = {
         "mass": size > 4, "pool": (size > 1) & (size <= 4), "solo": size == 1, "empt": size < 1,
