@@ -286,10 +286,23 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[_Run], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: _rounded(build(_Run(spark, sf_dir)))
 
-    return {name: bind(build) for name, build in _QUERIES.items()}
+    return {name: bind(build) for name, build in _QUERIES.items()} | _llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     from checks.oracle import statements
 
-    return statements()
+    return statements() | _llm()[1]
+
+
+def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators and their pipeline, where those are installed."""
+    try:
+        import corpus_pipeline
+        from mobspark.llm import registered
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "mobspark.llm"):
+            raise
+        return {}, {}
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return registered.queries() | {"pipeline": corpus_pipeline.run}, registered.oracle_sql() | pipeline_sql
