@@ -97,6 +97,14 @@ def drop_written(df: DataFrame | None) -> None:
         delete_folder(df.sparkSession, path)
 
 
+def broadcast_if_small(df: DataFrame, most_mb: int, source: DataFrame | None = None) -> DataFrame:
+    """Hint to broadcast a table if the files of ``source`` (by default itself), a written table that it is a projection
+    of, are checked to hold at most ``most_mb``; beyond it Spark shuffles."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path((df if source is None else source)._mobspark_path)
+    files = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    return F.broadcast(df) if files.getContentSummary(path).getLength() <= most_mb << 20 else df
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 4, is 2 (null ids: false)."""
     rest = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4

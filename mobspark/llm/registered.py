@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mobspark.llm import bpe, simhash, token_files
+from mobspark.llm import bpe, langid, lines, mixing, simhash, suffixes, token_files, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": lines.op1_line_dedup,
+        "op2_suffix_dedup": suffixes.op2_suffix_dedup,
+        "op3_language_id": langid.op3_language_id,
+        "op4_target_mixing": mixing.op4_target_mixing,
         "op6_simhash_near_duplicates": simhash.op6_simhash_near_duplicates,
+        "op8_toxicity": toxicity.op8_toxicity,
         "op9_bpe_encoding": bpe.op9_bpe_encoding,
         "op10_token_files": token_files.op10_token_files,
     }
