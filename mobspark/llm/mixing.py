@@ -252,6 +252,7 @@ def mixed(documents: DataFrame, labels: DataFrame, targets: dict[str, float]) ->
     made = common.written(posteriors(rows, model), "mixing")
     out, _ = fit_rates(made, weights, max_rate=1.0)
     taken = common.written(out.where(copies() >= 1).select("doc_id", "text_hash").distinct(), "mixing-taken")
-    same = F.col("doc_id").eqNullSafe(F.col("taken_id")) & (F.xxhash64("text") == F.col("taken_hash"))
     right = taken.select(F.col("doc_id").alias("taken_id"), F.col("text_hash").alias("taken_hash"))
-    return documents.join(common.broadcast_if_small(right, 32, taken), same, "left_semi")
+    packed = documents.select(F.struct(*documents.columns).alias("row"))
+    same = F.col("row")["doc_id"].eqNullSafe(F.col("taken_id")) & (F.xxhash64(F.col("row")["text"]) == F.col("taken_hash"))
+    return packed.join(common.broadcast_if_small(right, 32, taken), same, "left_semi").select("row.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mobspark.llm import bpe, langid, lines, mixing, simhash, suffixes, token_files, toxicity
+from mobspark.llm import ann, bpe, langid, lines, mixing, simhash, suffixes, token_files, topk, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,7 +15,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_suffix_dedup": suffixes.op2_suffix_dedup,
         "op3_language_id": langid.op3_language_id,
         "op4_target_mixing": mixing.op4_target_mixing,
+        "op5_multi_index_search": ann.op5_multi_index_search,
         "op6_simhash_near_duplicates": simhash.op6_simhash_near_duplicates,
+        "op7_threshold_topk": topk.op7_threshold_topk,
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_bpe_encoding": bpe.op9_bpe_encoding,
         "op10_token_files": token_files.op10_token_files,

@@ -161,12 +161,13 @@ def train(
     return fit(found.column("bag").to_pylist(), found.column("label").to_numpy().astype(int), features, (counts.get(0, 0), counts.get(1, 0)))
 
 
-def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``df`` with toxicity (0 to 1) and offending (begin, end, score of its offending sentences)."""
+def score(df: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("toxicity", "offending")) -> DataFrame:
+    """``df`` with toxicity (0 to 1) and offending (begin, end, score of its offending sentences), under ``names``; columns
+    of these names are replaced."""
     spark = df.sparkSession
     common.ship_package(spark)
     shared = spark.sparkContext.broadcast(model)  # FEATURES numbers
-    source = df.drop("toxicity", "offending")
+    source = df.drop(*names)
     spans = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,10 +177,10 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             told = [[{"begin": a, "end": b, "score": float(p)} for a, b, p in x[1]] for x in found]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x[0] for x in found], pa.float64()), pa.array(told, spans)],
-                names=[*batch.schema.names, "toxicity", "offending"])
+                names=[*batch.schema.names, *names])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
-    return source.mapInArrow(run, f"{kind}, toxicity double, offending array<struct<begin: int, end: int, score: double>>")
+    return source.mapInArrow(run, f"{kind}, {names[0]} double, {names[1]} array<struct<begin: int, end: int, score: double>>")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,5 +196,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reject_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is below the threshold, with their own columns."""
     model = train(documents, labels)
-    kept = score(documents.withColumn("toxicity_text", F.col("text")), model, "toxicity_text")
-    return kept.where(F.col("toxicity") < THRESHOLD).select(*documents.columns)
+    names = ("_toxicity_of_text", "_offending_sentences")
+    return score(documents, model, names=names).where(F.col(names[0]) < THRESHOLD).select(*documents.columns)
