@@ -27,9 +27,9 @@ from mobspark.llm.word_features import WORD, WordHasher, choose
 #: Bounds of the classifier: labelled rows of each domain that it is fitted on, and word features that it keeps.
 ROWS_PER_DOMAIN = 3000
 FEATURES = 300
-STEPS, STEP, DECAY = 300, 0.1, 1e-4
+STEPS, STEP, DECAY = 150, 0.1, 1e-4
 #: The fit ends when every domain is this close to its target, or when a step gains this share of the first error.
-CLOSE, GAIN = 1e-5, 1e-7
+CLOSE, GAIN = 1e-4, 1e-5
 #: Steps whose sums are kept in the rate's expression; then the rates are written down.
 HISTORY = 24
 TARGETS = {"high": 0.85, "low": 0.10, "toxic": 0.05}
