@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mobspark.llm import bpe, common, lines, mixing, simhash, toxicity
 
 #: Target weights of the mix; documents that look toxic after all have none.
-TARGETS = {"high": 0.9, "low": 0.1}
+TARGETS = {"high": 0.95, "low": 0.05}
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
