@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobspark.llm import common
-from mobspark.llm.word_features import WORD, WordHasher, choose
+from mobspark.llm.word_features import WORD, WordHasher, choose, presence
 
 #: Bounds of the classifier: labelled rows of each domain that it is fitted on, and word features that it keeps.
 ROWS_PER_DOMAIN = 3000
@@ -65,16 +65,14 @@ class Model:
         return p / p.sum(axis=1, keepdims=True)
 
 
-def fit(docs: np.ndarray, buckets: np.ndarray, shapes: np.ndarray, labels: np.ndarray, domains: list[str], counts: np.ndarray,
-        features: int = FEATURES) -> Model:
-    """docs, buckets: one entry for each bucket that a document has; counts: documents of each domain before sampling."""
-    kept = choose(docs, buckets, labels, features)
+def fit(docs: np.ndarray, columns: np.ndarray, shapes: np.ndarray, labels: np.ndarray, domains: list[str], counts: np.ndarray,
+        kept: np.ndarray) -> Model:
+    """docs, columns: one entry for each of the buckets ``kept`` that a document has; counts: documents of each domain
+    before sampling."""
     column = {int(b): i for i, b in enumerate(kept)}
     middle, spread = shapes.mean(axis=0), np.maximum(shapes.std(axis=0), 1e-6)
     x = np.zeros((len(labels), len(kept) + shapes.shape[1] + 1), np.float32)
-    at = np.searchsorted(kept, buckets)
-    known = (at < len(kept)) & (kept[np.minimum(at, max(len(kept) - 1, 0))] == buckets) if len(kept) else np.zeros(len(buckets), bool)
-    x[docs[known], at[known]] = 1
+    x[docs, columns] = 1
     x[:, len(kept):-1] = (shapes - middle) / spread
     x[:, -1] = 1
     y = np.eye(len(domains))[labels]
@@ -115,16 +113,20 @@ def train(documents: DataFrame, labels: DataFrame, rows_per_domain: int = ROWS_P
                 pa.array([shape(t, w) for t, w in zip(texts, words, strict=True)], pa.list_(pa.float64())),
             ], names=["domain", "buckets", "shape"])
 
-    found = rows.mapInArrow(run, "domain string, buckets array<int>, shape array<double>").toArrow()
-    if not found.num_rows:
+    sample = common.written(rows.mapInArrow(run, "domain string, buckets array<int>, shape array<double>"), "mixing-sample")
+    per_class, table = presence(sample, "domain", "buckets", domains)
+    if not per_class.sum():
         return None
+    kept = choose(per_class, table, features)
+    wanted = F.array(*[F.lit(int(b)) for b in kept]) if len(kept) else F.array().cast("array<int>")
+    found = sample.select("domain", F.array_intersect("buckets", wanted).alias("buckets"), "shape").toArrow()
+    common.drop_written(sample)
     at = {d: i for i, d in enumerate(domains)}
-    label = np.array([at[d] for d in found.column("domain").to_pylist()])
     lists = found.column("buckets").combine_chunks()
     sizes = np.asarray(lists.value_lengths())
     return fit(
-        np.repeat(np.arange(len(sizes)), sizes), np.asarray(lists.flatten()).astype(np.int64), np.array(found.column("shape").to_pylist()),
-        label, domains, np.array([counts[d] for d in domains], float), features)
+        np.repeat(np.arange(len(sizes)), sizes), np.searchsorted(kept, np.asarray(lists.flatten())), np.array(found.column("shape").to_pylist()),
+        np.array([at[d] for d in found.column("domain").to_pylist()]), domains, np.array([counts[d] for d in domains], float), kept)
 
 
 def posteriors(df: DataFrame, model: Model | None) -> DataFrame:

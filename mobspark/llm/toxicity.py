@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobspark.llm import common
-from mobspark.llm.word_features import REMEMBERED_WORDS, WORD, WordHasher, choose
+from mobspark.llm.word_features import REMEMBERED_WORDS, WORD, WordHasher, choose, presence
 
 #: Bounds of the model: labelled rows of each class that it is fitted on, and features that it keeps.
 ROWS_PER_CLASS = 4000
@@ -101,39 +101,29 @@ class Scorer:
         return 1 - exp(log_clean + plain * log1p(-min(self.plain, 1 - 1e-12))), out
 
 
-def fit(bags: list[list[list[int]]], labels: np.ndarray, features: int = FEATURES, counts: tuple[float, float] | None = None) -> Model:
-    """bags: buckets of each sentence of each document; labels: 0 or 1 of each document; counts: documents of either
-    label before sampling, by which the sampled ones are weighted."""
-    flat = [(d, b) for d, bag in enumerate(bags) for b in {b for s in bag for b in s}]
-    if not flat or len(set(labels.tolist())) < 2:
-        return Model({}, -60.0)
-    pairs = np.array(flat)
-    kept = choose(pairs[:, 0], pairs[:, 1], labels, features)
-    column = {int(b): i for i, b in enumerate(kept)}
-    sentence_doc, rows, columns = [], [], []
-    for d, bag in enumerate(bags):
-        for s in bag:
-            own = [column[b] for b in s if b in column]
-            rows += [len(sentence_doc)] * len(own)
-            columns += own
-            sentence_doc.append(d)
-    doc, row, col = np.array(sentence_doc), np.array(rows, np.int64), np.array(columns, np.int64)
-    n, k = len(bags), len(kept)
+def fit(labels: np.ndarray, plain: np.ndarray, hits: list[list[list[int]]], kept: np.ndarray, counts: tuple[float, float]) -> Model:
+    """Weights of the buckets ``kept``. Of each document: its label, the number of its sentences without any of those
+    buckets, and for its other sentences the numbers (in kept) of the ones they have. counts: documents of either label
+    before sampling, by which the sampled ones are weighted."""
+    sizes = np.array([len(s) for own in hits for s in own], np.int64)
+    doc = np.repeat(np.arange(len(hits)), [len(own) for own in hits])
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    col = np.array([c for own in hits for s in own for c in s], np.int64)
+    n, k = len(hits), len(kept)
     y = labels.astype(float)
-    own = np.bincount(labels, minlength=2)
-    share = np.array(counts or own, float) / own
+    share = np.array(counts, float) / np.maximum(np.bincount(labels, minlength=2), 1)
     weight = share[labels] / share[labels].sum()
     w, m, v = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
     w[k] = FIRST_BIAS
     for step in range(1, STEPS + 1):
         z = w[k] + np.bincount(row, w[col], len(doc))
         p = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-        log_clean = np.bincount(doc, -np.logaddexp(0, z), n)
-        clean = np.exp(log_clean)
+        p_plain = 1 / (1 + np.exp(-w[k]))
+        clean = np.exp(np.bincount(doc, -np.logaddexp(0, z), n) - plain * np.logaddexp(0, w[k]))
         # derivative of the log-likelihood by z of a sentence
         lift = weight * np.where(y == 1, clean / np.maximum(1 - clean, 1e-9), -1.0)
         g_z = lift[doc] * p
-        g = np.r_[np.bincount(col, g_z[row], k), g_z.sum()] - DECAY * np.r_[w[:k], 0]
+        g = np.r_[np.bincount(col, g_z[row], k), g_z.sum() + (lift * plain).sum() * p_plain] - DECAY * np.r_[w[:k], 0]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w += STEP * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return Model({int(b): float(x) for b, x in zip(kept, w[:k], strict=True) if x}, float(w[k]))
@@ -143,22 +133,43 @@ def train(
     documents: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id",
     rows_per_class: int = ROWS_PER_CLASS, features: int = FEATURES,
 ) -> Model:
-    """Fit on a bounded sample of the documents that ``labels`` covers. Sentences become buckets on the executors."""
+    """Fit on a bounded sample of the documents that ``labels`` covers. Sentences become buckets, and buckets are counted,
+    on the executors; the driver gets which of the chosen ones each sentence has."""
     common.ship_package(documents.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("label"))
     counts = dict(known.groupBy("label").count().collect())
     chosen = common.bounded_sample(known, "label", rows_per_class, key)
     rows = documents.select(key, F.col(text).alias("text")).join(chosen, key).select("text", "label")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
-            bags = [[sorted(hasher.buckets(words)) for words in sentences(t.as_py())] for t in batch.column(0)]
+            found = [[sorted(hasher.buckets(words)) for words in sentences(t.as_py())] for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.list_(pa.list_(pa.int32()))), batch.column(1).cast(pa.int32())], names=["bag", "label"])
+
+    sample = common.written(rows.mapInArrow(bags, "bag array<array<int>>, label int"), "toxicity-sample")
+    per_class, table = presence(sample.select("label", F.array_distinct(F.flatten("bag")).alias("b")), "label", "b", [0, 1])
+    if not per_class.all():
+        return Model({}, -60.0)
+    kept = choose(per_class, table, features)
+    column = {int(b): i for i, b in enumerate(kept)}
+
+    def chosen_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plain, hits = [], []
+            for bag in batch.column(0):
+                own = [[column[b] for b in s if b in column] for s in bag.as_py()]
+                hits.append([s for s in own if s])
+                plain.append(len(own) - len(hits[-1]))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(bags, pa.list_(pa.list_(pa.int32()))), batch.column(1).cast(pa.int32())], names=["bag", "label"])
+                [batch.column(1), pa.array(plain, pa.int32()), pa.array(hits, pa.list_(pa.list_(pa.int32())))], names=["label", "plain", "hits"])
 
-    found = rows.mapInArrow(run, "bag array<array<int>>, label int").toArrow()
-    return fit(found.column("bag").to_pylist(), found.column("label").to_numpy().astype(int), features, (counts.get(0, 0), counts.get(1, 0)))
+    found = sample.mapInArrow(chosen_only, "label int, plain int, hits array<array<int>>").toArrow()
+    common.drop_written(sample)
+    return fit(
+        found.column("label").to_numpy().astype(int), found.column("plain").to_numpy().astype(float), found.column("hits").to_pylist(), kept,
+        (counts.get(0, 0), counts.get(1, 0)))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", names: tuple[str, str] = ("toxicity", "offending")) -> DataFrame:

@@ -6,6 +6,8 @@ import re
 import zlib
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BUCKETS = 1 << 18
 PREFIX = 5
@@ -34,23 +36,27 @@ class WordHasher:
         return {b for w in set(words) for b in self(w)}
 
 
-def choose(docs: np.ndarray, buckets: np.ndarray, labels: np.ndarray, most: int, least_docs: int = 5) -> np.ndarray:
-    """The buckets, at most ``most``, whose presence depends most on the label (chi-square over documents).
+def presence(rows: DataFrame, label: str, buckets: str, classes: list) -> tuple[np.ndarray, np.ndarray]:
+    """Documents of each class, and of each class and bucket; counted by Spark, BUCKETS x classes numbers come back."""
+    at = {c: i for i, c in enumerate(classes)}
+    documents, table = np.zeros(len(classes)), np.zeros((len(classes), BUCKETS))
+    for c, n in rows.groupBy(label).count().collect():
+        documents[at[c]] = n
+    counts = rows.select(F.col(label).alias("label"), F.explode(buckets).alias("bucket")).groupBy("label", "bucket").count().toArrow()
+    for batch in counts.to_batches():
+        row = [at[c] for c in batch.column(0).to_pylist()]
+        table[row, np.asarray(batch.column(1))] = np.asarray(batch.column(2))
+    return documents, table
 
-    docs, buckets: one entry for each bucket that a document has; labels: class number of each document.
-    """
-    classes = int(labels.max(initial=0)) + 1
-    table = np.zeros((classes, BUCKETS))
-    for c in range(classes):
-        own = labels[docs] == c
-        table[c] = np.bincount(buckets[own], minlength=BUCKETS)
-    per_class = np.bincount(labels, minlength=classes).astype(float)
-    n, total = per_class.sum(), table.sum(axis=0)
+
+def choose(documents: np.ndarray, table: np.ndarray, most: int, least_docs: int = 5) -> np.ndarray:
+    """The buckets, at most ``most``, whose presence depends most on the class (chi-square over documents)."""
+    n, total = documents.sum(), table.sum(axis=0)
     score = np.zeros(BUCKETS)
-    for c in range(classes):
-        expected = np.maximum(total * per_class[c] / max(n, 1), 1e-9)
-        missing = np.maximum((n - total) * per_class[c] / max(n, 1), 1e-9)
-        score += (table[c] - expected) ** 2 * (1 / expected + 1 / missing)
+    for own, size in zip(table, documents, strict=True):
+        expected = np.maximum(total * size / max(n, 1), 1e-9)
+        missing = np.maximum((n - total) * size / max(n, 1), 1e-9)
+        score += (own - expected) ** 2 * (1 / expected + 1 / missing)
     score[total < least_docs] = 0
     best = np.lexsort((np.arange(BUCKETS), -score))[:most]
     return np.sort(best[score[best] > 0])
