@@ -21,7 +21,7 @@ stand in order of the texts' hashes; rows that are equal in both are one documen
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,8 +87,11 @@ def window_runs(data: np.ndarray, valid: np.ndarray, length: int) -> tuple[np.nd
     return begin, more, at - begin, grams[at].view(np.int64), content.view(np.int64)
 
 
-def document_runs(docs: list[tuple[int, bytes]], length: int) -> Iterator[list[np.ndarray]]:
-    """(bucket, content, doc_no, run) columns of all runs. Small documents are hashed together, large ones in parts.
+def document_runs(docs: Iterable[tuple[int, bytes]], length: int) -> Iterator[list[np.ndarray]]:
+    """(bucket, content, doc_no, run, known) columns of all runs. Small documents are hashed together, large ones in parts.
+
+    Of runs with equal bytes in one chunk all but the first are known to be repeated; they get a bucket at random, so that
+    what is frequent meets in its bucket only once for each chunk.
 
     run packs the place: begin << 16 | (windows - 1) << 8 | (anchor - begin).
     """
@@ -104,7 +107,12 @@ def document_runs(docs: list[tuple[int, bytes]], length: int) -> Iterator[list[n
         begin, more, off, bucket, content = window_runs(data, np.arange(windows) <= last, length)
         part = np.searchsorted(first, begin, side="right") - 1
         place = begin - first[part] + np.array([x[1] for x in held])[part]
-        return [bucket, content, np.array([x[0] for x in held])[part], place << 16 | more << 8 | off]
+        doc, run = np.array([x[0] for x in held])[part], place << 16 | more << 8 | off
+        order = np.lexsort((run, doc, content, bucket))
+        known = np.zeros(len(run), bool)
+        known[order[1:]] = (bucket[order[1:]] == bucket[order[:-1]]) & (content[order[1:]] == content[order[:-1]])
+        scattered = mixed(doc.astype(np.uint64) * FACTORS[0] + run.astype(np.uint64)).view(np.int64)
+        return [np.where(known, scattered, bucket), content, doc, run, known]
 
     for doc, raw in docs:
         for a in range(0, len(raw) - length + 1, CHUNK):
@@ -242,9 +250,9 @@ def runs(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             texts = ((n, t.encode("utf-8", "replace")) for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             for columns in document_runs(texts, length):
-                yield _batch(RUN, columns)
+                yield _batch(f"{RUN}, known boolean", columns)
 
-    return docs.select("doc_no", "text").mapInArrow(run, RUN)
+    return docs.select("doc_no", "text").mapInArrow(run, f"{RUN}, known boolean")
 
 
 def sifted(found: DataFrame) -> DataFrame:
@@ -260,7 +268,13 @@ def sifted(found: DataFrame) -> DataFrame:
         before = None  # the last row
         lead, several = None, False  # the first row of its bucket; the bucket showed several contents
         for batch in batches:
-            rows = np.stack([np.asarray(c) for c in batch.columns], axis=1)
+            known = np.asarray(batch.column(4).cast(pa.int8())) == 1
+            rows = np.stack([np.asarray(c) for c in batch.columns[:4]], axis=1)
+            if known.any():
+                yield _batch(kinds, [*rows[known].T, np.ones(int(known.sum()), bool)])
+                rows = rows[~known]
+            if not len(rows):
+                continue
             goes_on = before is not None
             if goes_on:
                 rows = np.concatenate([before[None], rows])
