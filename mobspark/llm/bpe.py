@@ -134,9 +134,25 @@ def merge_words(v: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarr
     return symbols[order].astype(np.int32), np.searchsorted(word[order], np.arange(len(words) + 1))
 
 
+def words_of(chunk: str) -> list[str]:
+    """The chunk's words by the tokenizer's pattern; letters with or without a space before them are one word."""
+    if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
+        return [chunk]
+    return _words().findall(chunk)
+
+
+@lru_cache(maxsize=1)
+def _words():
+    import regex
+
+    return regex.compile(WORD_PATTERN)
+
+
 class ChunkEncoder:
     """Texts to ids; ``encode_chunks`` is asked for chunks that are not remembered."""
 
+    remembered = REMEMBERED_CHUNKS
+
     def __init__(self, special: dict[str, int]):
         self.memory: dict[object, bytes] = {}
         self.special = {("special", s): np.int32(i).tobytes() for s, i in special.items()}
@@ -162,7 +178,7 @@ class ChunkEncoder:
         """Ids of each text as little-endian 32-bit integers."""
         cut = [self.chunks(t) if t else [] for t in texts]
         seen = set().union(*cut)
-        if len(self.memory) > REMEMBERED_CHUNKS:
+        if len(self.memory) > self.remembered:
             self.memory = {}
         if not self.memory:
             self.memory.update(self.special)
@@ -175,15 +191,12 @@ class ChunkEncoder:
 
 class MergeEncoder(ChunkEncoder):
     def __init__(self, path: str):
-        import regex
-
         self.vocabulary = vocabulary(path)
-        self.words = regex.compile(WORD_PATTERN)
         super().__init__(self.vocabulary.special)
 
     def encode_chunks(self, chunks: list[str]) -> Iterable[bytes]:
         words: dict[str, int] = {}
-        of_chunk = [[words.setdefault(w, len(words)) for w in self.words.findall(c)] for c in chunks]
+        of_chunk = [[words.setdefault(w, len(words)) for w in words_of(c)] for c in chunks]
         ids, starts = merge_words(self.vocabulary, [w.encode("utf-8", "replace") for w in words])
         raw, begin = ids.tobytes(), (4 * starts).tolist()
         for own in of_chunk:

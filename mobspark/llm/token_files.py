@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobspark.llm import common
-from mobspark.llm.bpe import ChunkEncoder, default_tokenizer, groups, vocabulary
+from mobspark.llm.bpe import ChunkEncoder, byte_characters, default_tokenizer, groups, vocabulary, words_of
 
 #: Ids in a shard, after which the next document opens a new one.
 SHARD_IDS = 8_000_000
@@ -42,23 +42,23 @@ MANIFEST = "partition int, shard int, path string, width int, first_null boolean
 
 
 class LibraryEncoder(ChunkEncoder):
-    """Chunks that are not remembered go to the tokenizers library."""
+    """Words of chunks that are not remembered go to the BPE model of the tokenizers library, in the characters that
+    stand for their bytes."""
 
-    def __init__(self, path: str):
-        import os
+    remembered = 800_000
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.model = Tokenizer.from_file(path).model
+        self.shown = dict(enumerate(byte_characters()))
         super().__init__(vocabulary(path).special)
 
     def encode_chunks(self, chunks: list[str]) -> Iterator[bytes]:
-        for a in range(0, len(chunks), 4096):
-            for e in self.tokenizer.encode_batch_fast(chunks[a:a + 4096], add_special_tokens=False):
-                yield np.array(e.ids, np.int32).tobytes()
+        tokenize, shown = self.model.tokenize, self.shown
+        for c in chunks:
+            ids = [t.id for w in words_of(c) for t in tokenize(w.encode("utf-8", "replace").decode("latin-1").translate(shown))]
+            yield np.array(ids, np.int32).tobytes()
 
 
 @lru_cache(maxsize=2)
