@@ -78,6 +78,12 @@ def _skim_lookup(r: _Run) -> DataFrame:
     return asof.skim_lookup(requests, r.t["skim"]).drop("request_time")
 
 
+def _dq_guard(r: _Run) -> DataFrame:
+    """The guard on the tables as they come, and on the repaired ones."""
+    raw, repaired = repair.repair_check(r.t), repair.repair_check(repair.repaired_tables(r.t))
+    return raw.withColumn("tables", F.lit("raw")).unionByName(repaired.withColumn("tables", F.lit("repaired")))
+
+
 def _sub_tours(r: _Run) -> DataFrame:
     return tours.add_sub_tours(r.t["tnc_trip"]).select("folder", "tnc_trip_id_int", "vehicle", "tour", "sub_tour")
 
@@ -150,6 +156,7 @@ _QUERIES: dict[str, Callable[[_Run], DataFrame]] = {
     # sources and catalogue
     "latest_iteration": lambda r: catalog.latest_iteration(r.t["run_dirs"]),
     "latest_iteration_any": lambda r: catalog.latest_iteration(r.t["run_dirs"], finished_only=False),
+    "case_folders": lambda r: scenario.case_folders(catalog.latest_iteration(r.t["run_dirs"])),
     "missing_cases": _missing_cases,
     "pending_cases": _pending_cases,
     "case_params": lambda r: scenario.case_params(r.t["model_files"]),
@@ -181,7 +188,7 @@ _QUERIES: dict[str, Callable[[_Run], DataFrame]] = {
         "folder", "tnc_trip_id_int", "request", "vehicle", "passengers"),
     "conditional_update_requests": lambda r: repair.repaired_requests(r.t).select(
         "folder", "tnc_request_id", "service_type", "party_size"),
-    "dq_guard": lambda r: repair.repair_check(r.t),
+    "dq_guard": lambda r: _dq_guard(r),
     # per-case reports
     "transit_trip_max_load_helper": lambda r: transit.transit_trip_max_load_helper(r.t, r.params),
     "transit_trip_max_load": lambda r: transit.transit_trip_max_load(r.t, r.params),

@@ -79,12 +79,11 @@ SELECT f.folder, l_orderkey AS object_id, CAST(floor(l_quantity) AS INTEGER) % 4
 FROM lineitem JOIN case_dim f ON l_orderkey % 4 = f.case_id"""
 
 VIEWS["transit_trips"] = """
-SELECT f.folder, o_orderkey AS trip_id, o_custkey % 100 AS pattern_id FROM orders JOIN case_dim f ON o_orderkey % 4 = f.case_id
-WHERE o_orderkey % 10 <> 0"""
+SELECT f.folder, CASE WHEN o_orderkey % 10 = 0 THEN -o_orderkey ELSE o_orderkey END AS trip_id, o_custkey % 100 AS pattern_id
+FROM orders JOIN case_dim f ON o_orderkey % 4 = f.case_id"""
 
 VIEWS["transit_patterns"] = """
-SELECT f.folder, c_custkey AS pattern_id, CAST(c_nationkey AS BIGINT) AS route_id FROM customer CROSS JOIN case_dim f
-WHERE c_custkey < 90"""
+SELECT f.folder, c_custkey + 10 AS pattern_id, CAST(c_nationkey AS BIGINT) AS route_id FROM customer CROSS JOIN case_dim f"""
 
 VIEWS["transit_stops"] = """
 SELECT f.folder, s_suppkey AS stop_id, CAST((s_suppkey*7907)%20011 AS DOUBLE) AS x, CAST((s_suppkey*6151)%20021 AS DOUBLE) AS y

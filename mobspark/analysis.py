@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable, Iterable, Mapping
 from typing import Any
 
@@ -12,7 +13,7 @@ from mobspark.plans.common import Tables
 from mobspark.plans.dashboard import dashboard_tables
 from mobspark.plans.repair import cases_with_requests, repaired_tables, require_repaired
 from mobspark.registry import Registry, default_registry
-from mobspark.sources.store import ReportStore
+from mobspark.sources.store import ReportStore, write_csv
 
 
 class _OnlyCases(dict):
@@ -29,24 +30,29 @@ class _OnlyCases(dict):
 
 def run_reports(
     tables: Tables, params: DataFrame, store: ReportStore, names: Iterable[str] | None = None,
-    registry: Registry | None = None, force: bool = False,
+    registry: Registry | None = None, force: bool = False, csv_root: str | None = None,
 ) -> Mapping[str, DataFrame]:
     """Compute and store the chosen reports for every case not stored yet; return the stored tables.
 
     Cases without ride-hail requests are left out. Passengers on repositioning rows are cleared and
-    the result is checked before any report runs.
+    the result is checked before any report runs. Helper reports are stored first, and later reports
+    read them by name. With ``csv_root`` every report is also written there as CSV, sorted by case.
     """
     registry = registry or default_registry()
-    require_repaired(tables)
     repaired = repaired_tables(tables)
+    require_repaired(repaired)
+    done: dict[str, DataFrame] = {}
     cases = attach_case_rows(params, cases_with_requests(tables), "left_semi")
 
     def compute(name: str) -> Callable[[DataFrame], DataFrame]:
         return lambda todo: registry.build(
-            _OnlyCases(repaired, todo), attach_case_rows(params, todo, "left_semi"), [name])[name]
+            _OnlyCases(ChainMap(done, repaired), todo), attach_case_rows(params, todo, "left_semi"), [name])[name]
 
-    chosen = list(names) if names is not None else registry.names()
-    return {name: store.refresh(name, cases, compute(name), force) for name in chosen}
+    for name in registry.ordered(names):
+        done[name] = store.refresh(name, cases, compute(name), force)
+        if csv_root is not None:
+            write_csv(done[name], f"{csv_root.rstrip('/')}/{name}", [c for c in ("folder",) if c in done[name].columns])
+    return done
 
 
 def run_dashboard(reports: Mapping[str, DataFrame], zones: DataFrame, store: ReportStore, **options: Any) -> Mapping[str, DataFrame]:

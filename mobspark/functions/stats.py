@@ -29,6 +29,9 @@ def pooled_t(mean1: Column, sd1: Column, n1: Column, mean2: Column, sd2: Column,
     return F.try_divide(mean1 - mean2, error), df
 
 
+NORMAL_DF = 1e6  # degrees of freedom beyond which the normal form is used
+
+
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Continued fraction of the incomplete beta function (modified Lentz)."""
     tiny = 1e-300
@@ -48,8 +51,9 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
             step = c * d
             h = h * step
         if np.all(np.abs(step - 1.0) < 1e-15):
-            break
-    return h
+            return h
+    # what did not converge is no value
+    return np.where(np.abs(step - 1.0) < 1e-15, h, np.nan)
 
 
 def _log_beta_half(a: float) -> float:
@@ -64,6 +68,15 @@ def two_sided_p(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     t, df = np.asarray(t, dtype=float), np.asarray(df, dtype=float)
     out = np.full(t.shape, np.nan)
     ok = np.isfinite(t) & (df > 0)
+    if not ok.any():
+        return out
+    many = ok & (df > NORMAL_DF)
+    if many.any():
+        # so many degrees of freedom that the transform to a normal variable is exact to the last digits
+        nu = df[many]
+        z = (8 * nu + 1) / (8 * nu + 3) * np.sqrt(nu * np.log1p(t[many] ** 2 / nu))
+        out[many] = [math.erfc(x / math.sqrt(2)) for x in z]
+    ok &= ~many
     if not ok.any():
         return out
     tt, nu = t[ok] ** 2, df[ok]

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 64
-CASE_ROWS_BROADCAST = 20_000
 
 
 def left_join_spreading_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str, row_id: str) -> DataFrame:
@@ -18,28 +16,21 @@ def left_join_spreading_nulls(left: DataFrame, right: DataFrame, left_key: str,
     for real keys on both sides, so matches are unchanged; NULL rows get a salt from ``row_id``.
     Dominant real keys are left to the adaptive skew join, which splits the left side.
     """
-    salt = F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(row_id), F.lit(NULL_SPREAD))).otherwise(F.lit(0)).cast("int")
+    spread = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salt = F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(row_id), F.lit(spread))).otherwise(F.lit(0)).cast("int")
     # pmod(.., 1) is always 0 but is not folded, so the salt stays part of the shuffle key
     salted_right = right.withColumnRenamed(right_key, "_key").withColumn("_salt", F.pmod(F.hash("_key"), F.lit(1)))
     salted_left = left.withColumn("_key", F.col(left_key)).withColumn("_salt", salt)
     return salted_left.join(salted_right, ["folder", "_key", "_salt"], "left").drop("_key", "_salt")
 
 
-def attach_case_rows(fact: DataFrame, case_rows: DataFrame, how: str = "left", limit: int = CASE_ROWS_BROADCAST) -> DataFrame:
+def attach_case_rows(fact: DataFrame, case_rows: DataFrame, how: str = "left") -> DataFrame:
     """Join one-row-per-case constants onto a fact table by ``folder``.
 
-    At most ``limit`` + 1 rows are fetched. If that is all of them they are broadcast, computed only
-    once however costly the frame behind them is; otherwise the fact rows are salted within each case
-    so that no case lands in a single task.
+    A plain join: nothing runs while the plan is made, the adaptive execution broadcasts the constants if they turn out
+    small, and splits the fact rows of a dominant case otherwise.
     """
-    rows = case_rows.limit(limit + 1).toArrow()
-    if rows.num_rows <= limit:
-        small = fact.sparkSession.createDataFrame(rows, case_rows.schema)
-        return fact.join(F.broadcast(small), "folder", how)
-    spread = F.pmod(F.xxhash64(*[c for c, kind in fact.dtypes if not kind.startswith("map")]), F.lit(NULL_SPREAD))
-    salted_fact = fact.withColumn("_salt", spread.cast("int"))
-    copies = case_rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(NULL_SPREAD - 1))))
-    return salted_fact.join(copies, ["folder", "_salt"], how).drop("_salt")
+    return fact.join(case_rows, "folder", how)
 
 
 def one_row_per_case(frames: Sequence[DataFrame]) -> DataFrame:

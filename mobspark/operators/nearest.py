@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 
 from mobspark.operators.joins import attach_case_rows
 
-SPLIT = 2  # each step refines a cell into 4 x 4
-MAX_LEVELS = 6  # finest possible grid: 4096 x 4096 cells over the extent of the case's stops
-CELL_STOPS = 8  # refine until no cell holds more stop places than this
+LEVELS = 4  # steps from the whole case to single stop places, whatever their number
 
 # Squared distance of a position to the farthest and the nearest point of a box given by centre
 # (mx, my) and half sizes (hx, hy). SLACK keeps ties and zero distances alive against rounding.
@@ -18,22 +16,17 @@ _NEAR = "(pow(greatest(abs(x - mx) - hx, 0D), 2) + pow(greatest(abs(y - my) - hy
 _SLACK = "* 1.000000001D + 0.000001D"
 
 
-def _cell(value: Column, low: Column, size: Column) -> Column:
-    n = 1 << (SPLIT * MAX_LEVELS)
-    raw = F.floor(F.try_divide((value - low) * n, size))
-    return F.coalesce(F.least(F.greatest(raw, F.lit(0)), F.lit(n - 1)), F.lit(0)).cast("int")
-
-
 def nearest_stop(homes: DataFrame, stops: DataFrame) -> DataFrame:
     """Nearest stop of every distinct home position: folder, x, y, stop_id, distance.
 
-    Stops are put into nested grid cells over their own extent. A home starts with the whole extent
-    and at each level keeps only the child cells that can still hold the nearest stop: a cell is
-    dropped when its box is farther than the farthest corner of some other candidate box. A parent's
-    child boxes (at most 16) travel as one array, which gives the bound before they become rows.
-    Distances are computed only for the stops of the finest surviving cells, a handful each, so
-    neither a dense district nor a home far outside the grid meets all stops. Homes, and stops, at
-    the same place are compared once; equal distances go to the lowest stop id.
+    Stops are put into nested cells of a grid over the ranks of their coordinates, so cells are as fine
+    as the stops are dense, a stray stop takes up no room, and at the last level every cell is one place.
+    A home starts with the whole case and at each level keeps only the child cells that can still hold
+    the nearest stop: a cell is dropped when its box (in true coordinates) is farther than the farthest
+    corner of some other candidate box. A parent's child boxes travel as one array, which gives the
+    bound before they become rows; with n stops it has at most n to the power 2 / LEVELS of them. Neither
+    a dense district nor a home far outside meets all stops. Homes, and stops, at the same place are
+    compared once; equal distances go to the lowest stop id.
     """
     points = homes.where("x IS NOT NULL AND y IS NOT NULL").select("folder", "x", "y").distinct()
     places = (
@@ -41,21 +34,18 @@ def nearest_stop(homes: DataFrame, stops: DataFrame) -> DataFrame:
         .groupBy("folder", F.col("x").alias("sx"), F.col("y").alias("sy"))
         .agg(F.min("stop_id").alias("stop_id"))
     )
-    extent = places.groupBy("folder").agg(
-        F.min("sx").alias("lo_x"), F.min("sy").alias("lo_y"),
-        (F.max("sx") - F.min("sx")).alias("size_x"), (F.max("sy") - F.min("sy")).alias("size_y"),
-    )
-    placed = attach_case_rows(places, extent, "inner").select(
-        "folder", _cell(F.col("sx"), F.col("lo_x"), F.col("size_x")).alias("px"),
-        _cell(F.col("sy"), F.col("lo_y"), F.col("size_y")).alias("py"), "sx", "sy", "stop_id",
-    )
-    levels = _levels_needed(placed)
+    ranks = places.withColumns({
+        f"r{c}": F.dense_rank().over(Window.partitionBy("folder").orderBy(f"s{c}")) - 1 for c in ("x", "y")
+    })
+    most = F.max(F.greatest("rx", "ry")).over(Window.partitionBy("folder"))
+    # bits of the largest rank; at level l the first l / LEVELS of them name the cell
+    placed = ranks.withColumn("bits", F.length(F.bin(most.cast("bigint"))))
 
     # the search is heavy on computation and light on bytes: keep the configured parallelism
     partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     search = points.repartition(partitions, "x", "y").withColumn("best", F.lit(float("inf")))
     home = Window.partitionBy("folder", "x", "y")
-    for level in range(1, levels + 1):
+    for level in range(1, LEVELS + 1):
         children = _children(placed, level)
         if level == 1:
             joined = attach_case_rows(search, children.select("folder", "kids"), "inner")
@@ -66,10 +56,10 @@ def nearest_stop(homes: DataFrame, stops: DataFrame) -> DataFrame:
             .select("folder", "x", "y", "best", F.inline("kids"))
             .where(f"{_NEAR} <= best")
         )
-        if 1 < level < levels:  # the rows of one home come from several parents now
+        if 1 < level < LEVELS:  # the rows of one home come from several parents now
             search = search.withColumn("best", F.min("best").over(home)).where(f"{_NEAR} <= best")
         search = search.select("folder", "x", "y", "best", "cx", "cy")
-    finest = placed.select("folder", *_cells_at(levels), "sx", "sy", "stop_id")
+    finest = placed.select("folder", *_cells_at(LEVELS), "sx", "sy", "stop_id")
     return (
         search.join(finest, ["folder", "cx", "cy"])
         .withColumn("d2", F.expr("(x - sx) * (x - sx) + (y - sy) * (y - sy)"))
@@ -79,29 +69,18 @@ def nearest_stop(homes: DataFrame, stops: DataFrame) -> DataFrame:
     )
 
 
-def _cells_at(level: int) -> list[Column]:
-    drop = SPLIT * (MAX_LEVELS - level)
-    return [F.shiftright("px", drop).alias("cx"), F.shiftright("py", drop).alias("cy")]
-
-
-def _levels_needed(placed: DataFrame) -> int:
-    """Coarsest level whose fullest cell holds at most CELL_STOPS places (one number per level is collected)."""
-    levels = range(1, MAX_LEVELS + 1)
-    cells = placed.select("folder", F.explode(F.array(*[
-        F.struct(F.lit(level).alias("level"), *_cells_at(level)) for level in levels
-    ])).alias("c"))
-    fullest = cells.groupBy("folder", "c").count().groupBy("c.level").agg(F.max("count").alias("n")).collect()
-    fits = [row.level for row in fullest if row.n <= CELL_STOPS]
-    return min(fits, default=MAX_LEVELS)
+def _cells_at(level: int, names: tuple[str, str] = ("cx", "cy")) -> list[Column]:
+    drop = f"bits - CAST(ceil(bits * {level} / {LEVELS}) AS INT)"
+    return [F.expr(f"shiftright(r{c}, {drop})").alias(name) for c, name in zip(("x", "y"), names)]
 
 
 def _children(placed: DataFrame, level: int) -> DataFrame:
     """Boxes of the occupied cells of a level, gathered by their parent cell."""
-    cells = placed.select("folder", *_cells_at(level), "sx", "sy").groupBy("folder", "cx", "cy").agg(
+    parents = ("pcx", "pcy")
+    cells = placed.select("folder", *_cells_at(level), *_cells_at(level - 1, parents), "sx", "sy").groupBy("folder", *parents, "cx", "cy").agg(
         F.expr("(min(sx) + max(sx)) / 2 AS mx"), F.expr("(max(sx) - min(sx)) / 2 AS hx"),
         F.expr("(min(sy) + max(sy)) / 2 AS my"), F.expr("(max(sy) - min(sy)) / 2 AS hy"),
     )
-    parent = cells.withColumns({"pcx": F.shiftright("cx", SPLIT), "pcy": F.shiftright("cy", SPLIT)})
-    return parent.groupBy("folder", "pcx", "pcy").agg(
+    return cells.groupBy("folder", *parents).agg(
         F.collect_list(F.struct("cx", "cy", "mx", "hx", "my", "hy")).alias("kids")
     ).withColumnsRenamed({"pcx": "cx", "pcy": "cy"})

@@ -38,18 +38,18 @@ def describe_long(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], wh
 
 
 def capped_histogram(df: DataFrame, keys: Sequence[str], value: str, cap: int = 5, steps: int = 10) -> DataFrame:
-    """Counts per bin of width 1/steps, zero-filled from 0 to ``cap``; larger values fall in ``<cap>.0+``."""
+    """Counts per bin of width 1/steps, zero-filled from 0 to ``cap``; larger values fall in ``<cap>.0+``, and values below
+    0 in bins of their own."""
     over = cap * steps + 1  # number of the overflow bin
     step = F.when(F.col(value) > cap, F.lit(over)).otherwise(F.rint(F.col(value) * steps).cast("int"))
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, step.alias("_step")).agg(F.count(F.lit(1)).alias("n"))
-    # a group has at most cap * steps + 2 bins, so its counts fit one map
-    bins = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_step", "n"))).alias("_bins"))
+    # from 0 up every bin gets a row for each key, counted or not; bins below 0 only come from the data
+    expected = counted.select(*keys).distinct().withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(over - 1))))
+    every = counted.unionByName(expected.withColumn("n", F.lit(0).cast("bigint")))
     return (
-        bins.withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(over))))
-        .withColumn("Count", F.coalesce(F.try_element_at("_bins", F.col("_step")), F.lit(0).cast("bigint")))
-        .where(f"_step < {over} OR Count > 0")
+        every.groupBy(*keys, "_step").agg(F.sum("n").alias("Count"))
         .withColumn(value, F.expr(
-            f"CASE WHEN _step = {over} THEN '{cap}.0+' ELSE concat(_step div {steps}, '.', _step % {steps}) END"))
+            f"CASE WHEN _step = {over} THEN '{cap}.0+' ELSE concat(CASE WHEN _step < 0 THEN '-' ELSE '' END, abs(_step) div {steps}, '.', abs(_step) % {steps}) END"))
         .select(*keys, value, "Count")
     )
 

@@ -49,15 +49,15 @@ def cases_with_requests(t: Tables) -> DataFrame:
 
 
 def repair_check(t: Tables) -> DataFrame:
-    """Largest party size and passenger count left on repositioning rows, for every case with requests.
+    """Largest party size and passenger count on repositioning rows of the given tables, for every case with requests.
 
-    ``ok`` is False only where the repair applies and something is left; an empty maximum passes.
+    ``ok`` is False only where the repair applies and something is there; an empty maximum passes.
     """
-    requests = repaired_requests(t)
+    requests = t["tnc_request"]
     parties = requests.groupBy("folder").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.when(is_repositioning("service_type"), F.col("party_size"))).alias("max_party")
     )
-    by_request = repaired_trips(t).groupBy("folder", "request").agg(F.max("passengers").alias("max_pass"))
+    by_request = t["tnc_trip"].groupBy("folder", "request").agg(F.max("passengers").alias("max_pass"))
     repo = requests.where("service_type = 99").select("folder", F.col("tnc_request_id").alias("request"))
     passengers = by_request.join(repo, ["folder", "request"]).groupBy("folder").agg(F.max("max_pass").alias("max_pass"))
     left = F.greatest(F.coalesce("max_party", F.lit(0)), F.coalesce("max_pass", F.lit(0)))
@@ -67,7 +67,8 @@ def repair_check(t: Tables) -> DataFrame:
 
 
 def require_repaired(t: Tables) -> None:
-    """Raise if the repair left passengers or party members on repositioning rows of some case."""
-    bad = repair_check(t).where("NOT ok").select("folder").limit(20).collect()
-    if bad:
-        raise ValueError("repositioning rows still carry passengers in: " + ", ".join(r.folder for r in bad))
+    """Raise if the tables, as the reports will read them, have passengers or party members on repositioning rows."""
+    bad = repair_check(t).where("NOT ok").select("folder")
+    total, first = bad.agg(F.count(F.lit(1)), F.min("folder")).first()
+    if total:
+        raise ValueError(f"repositioning rows still carry passengers in {total} cases, of which the first is {first}")

@@ -47,6 +47,10 @@ class Registry:
     def names(self) -> list[str]:
         return list(self._reports)
 
+    def ordered(self, names: Iterable[str] | None = None) -> list[str]:
+        """The chosen reports, helpers first."""
+        return sorted(names if names is not None else self._reports, key=lambda n: not self._reports[n].helper)
+
     def build(self, t: Tables, params: DataFrame, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
         """Lazy DataFrames of the chosen reports, helpers first."""
         chosen = [self._reports[n] for n in (names if names is not None else self._reports)]

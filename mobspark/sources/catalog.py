@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,21 +15,21 @@ INITIAL = "abm_init_iteration"
 
 
 def list_run_dirs(spark: SparkSession, root: str) -> DataFrame:
-    """Iteration directories below ``root/<case>/``: case_name, dir_name, finished.
+    """Iteration directories ``root/<case>/<directory>``: case_name, dir_name, finished.
 
-    Paths come from Spark's file index (which the driver holds in any case): a scan would leave out
-    the markers, which are empty files. Contents are never read.
+    Only these two levels and the markers in them are listed, never the result files below; what comes back is a row
+    for each directory.
     """
-    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).inputFiles()
-    listed = spark.createDataFrame([(p,) for p in paths], "path string")
-    parts = F.split(F.substring_index("path", root.rstrip("/") + "/", -1), "/")
-    return (
-        listed.select(F.get(parts, 0).alias("case_name"), F.get(parts, 1).alias("dir_name"),
-                      (F.size(parts) == 3).alias("direct"), F.element_at(parts, -1).alias("file"), F.size(parts).alias("depth"))
-        .where("depth >= 3")
-        .groupBy("case_name", "dir_name")
-        .agg(F.max(F.col("direct") & (F.col("file") == "finished")).alias("finished"))
-    )
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    below = root.rstrip("/")
+    finished = {s.getPath().getParent().toString() for s in files.globStatus(path(f"{below}/*/*/finished")) or []}
+    rows = []
+    for status in files.globStatus(path(f"{below}/*/*")) or []:
+        if status.isDirectory():
+            place = status.getPath()
+            rows.append((place.getParent().getName(), place.getName(), place.toString() in finished))
+    return spark.createDataFrame(rows, "case_name string, dir_name string, finished boolean")
 
 
 def latest_iteration(run_dirs: DataFrame, finished_only: bool = True) -> DataFrame:
@@ -52,6 +53,18 @@ def latest_iteration(run_dirs: DataFrame, finished_only: bool = True) -> DataFra
     )
 
 
+@contextmanager
+def text_partitions(spark: SparkSession) -> Iterator[None]:
+    """While a table is opened, partition values stay the text they are (``007``, ``0.20``, ``1e5``)."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_case_tables(spark: SparkSession, root: str, tables: Sequence[str], schemas: Mapping[str, object] | None = None,
                      folders: Sequence[str] | None = None, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Tables stored as ``root/<table>/folder=<case>/``; a case subset prunes partitions."""
@@ -62,7 +75,8 @@ def read_case_tables(spark: SparkSession, root: str, tables: Sequence[str], sche
             reader = reader.option("header", "true")
         if schemas and name in schemas:
             reader = reader.schema(schemas[name])
-        df = reader.load(f"{root}/{name}").withColumn("folder", F.col("folder").cast("string"))
+        with text_partitions(spark):
+            df = reader.load(f"{root}/{name}")
         out[name] = df if folders is None else df.where(F.col("folder").isin(*folders))
     return out
 

@@ -188,17 +188,19 @@ def _transit_vehicle_links(t: DriverTables) -> DataFrame:
 
 
 def _transit_trips(t: DriverTables) -> DataFrame:
-    return t.raw("orders").where("o_orderkey % 10 <> 0").select(
+    # every tenth trip has an id that no vehicle refers to, so that there are vehicles without a trip
+    return t.raw("orders").select(
         _folder_of("o_orderkey").alias("folder"),
-        F.col("o_orderkey").alias("trip_id"),
+        F.expr("CASE WHEN o_orderkey % 10 = 0 THEN -o_orderkey ELSE o_orderkey END AS trip_id"),
         F.expr("o_custkey % 100 AS pattern_id"),
     )
 
 
 def _transit_patterns(t: DriverTables) -> DataFrame:
-    return t.raw("customer").where("c_custkey < 90").select(
+    # trips refer to the patterns 0 to 99; those below 10 are missing
+    return t.raw("customer").select(
         _every_folder().alias("folder"),
-        F.col("c_custkey").alias("pattern_id"),
+        (F.col("c_custkey") + 10).alias("pattern_id"),
         F.col("c_nationkey").cast("bigint").alias("route_id"),
     )
 
@@ -213,12 +215,12 @@ def _transit_stops(t: DriverTables) -> DataFrame:
 
 
 def _skim(t: DriverTables) -> DataFrame:
-    """Dense zone x zone x period matrix; ``p_size`` runs from 1 to 50, destinations are kept if they exist."""
-    zones = t.raw("part").select(F.col("p_size").cast("bigint").alias("origin_zone")).distinct()
-    existing = zones.withColumnRenamed("origin_zone", "destination_zone")
+    """Dense zone x zone x period matrix over the zones (sizes of parts), which are few at every scale."""
+    zones = t.raw("part").select(F.col("p_size").cast("bigint").alias("zone")).distinct()
     return (
-        zones.withColumn("destination_zone", F.explode(F.expr("sequence(1L, 50L)")))
-        .join(existing, "destination_zone", "left_semi")
+        zones.agg(F.collect_set("zone").alias("zones"))
+        .select("zones", F.explode("zones").alias("origin_zone"))
+        .select("origin_zone", F.explode("zones").alias("destination_zone"))
         .withColumn("period", F.explode(F.array(*[F.lit(p) for p in PERIODS])))
         .select(
             _every_folder().alias("folder"), "period", "origin_zone", "destination_zone",

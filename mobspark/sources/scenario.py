@@ -16,18 +16,37 @@ POOLING_FILE = "PoolingModel.json"
 DEFAULT_INTERVAL_S = 900
 
 
-def read_model_files(spark: SparkSession, root: str, file_names: Sequence[str]) -> DataFrame:
-    """Whole-file text of the named JSON files anywhere below ``root/<case>/``."""
-    return (
+def read_model_files(spark: SparkSession, root: str, file_names: Sequence[str], newest: DataFrame | None = None) -> DataFrame:
+    """Whole-file text of the named JSON files below ``root/<case>/``.
+
+    With ``newest`` (case_name, dir_name; see ``catalog.latest_iteration``) only the files of that iteration directory
+    and those of the case directory itself are read, so parameters never mix iterations; cases without such a directory
+    have none. Without it every case may have one iteration directory only.
+    """
+    parts = F.split(F.substring_index("file_path", root.rstrip("/") + "/", -1), "/")
+    files = (
         spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json")
         .text(root, wholetext=True)
         .select("value", "_metadata.file_path", "_metadata.file_name")
         .where(F.col("file_name").isin(*file_names))
         .select(
-            F.get(F.split(F.substring_index("file_path", root.rstrip("/") + "/", -1), "/"), 0).alias("case_name"),
+            F.get(parts, 0).alias("case_name"), F.when(F.size(parts) > 2, F.get(parts, 1)).alias("_dir"),
             "file_name", F.col("value").alias("content"),
         )
     )
+    if newest is not None:
+        files = files.join(newest.select("case_name", "dir_name"), "case_name").where("_dir IS NULL OR _dir = dir_name")
+    return files.select("case_name", "file_name", "content")
+
+
+def case_folders(newest: DataFrame) -> DataFrame:
+    """The label ``<case>_<iteration>`` that tables and reports know a case by: case_name, dir_name, folder."""
+    return newest.select("case_name", "dir_name", F.concat_ws("_", "case_name", F.col("iteration").cast("string")).alias("folder"))
+
+
+def params_by_folder(params: DataFrame, newest: DataFrame) -> DataFrame:
+    """Parameters under the labels of their cases' newest iterations."""
+    return params.join(case_folders(newest).select("case_name", "folder"), "case_name").drop("case_name")
 
 
 def json_value(content: str | Column, path: Sequence[str]) -> Column:

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from mobspark.sources.catalog import pending_cases
+from mobspark.sources.catalog import pending_cases, text_partitions
 
 
 class ReportStore:
@@ -21,45 +20,79 @@ class ReportStore:
         return f"{self.root}/{key}"
 
     def write(self, key: str, df: DataFrame) -> None:
-        """Replace the cases present in ``df``; other stored cases stay."""
+        """Replace the cases present in ``df``; other stored cases stay.
+
+        Rows are dealt out by case first, in parts of the advisory size, so that the number of files follows from the
+        number of cases and the amount of data, not from the number of tasks.
+        """
         if "folder" not in df.columns:
             df.write.mode("overwrite").parquet(self.path(key))
             return
         (
-            df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            df.hint("rebalance", "folder").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy("folder").parquet(self.path(key))
         )
 
+    def finished(self, key: str) -> DataFrame | None:
+        """Cases whose report is stored, with rows or without any."""
+        return self._open(f"{self.root}/_finished/{key}")
+
+    def _finish(self, key: str, cases: DataFrame) -> None:
+        cases.select("folder").distinct().write.mode("append").parquet(f"{self.root}/_finished/{key}")
+
+    def _drop(self, key: str, cases: DataFrame) -> None:
+        """Remove the partitions of cases that are computed anew: they may have no rows now."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        unescape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        stored = {unescape(s.getPath().getName()[len("folder="):]): s.getPath()
+                  for s in files.globStatus(path(f"{self.path(key)}/folder=*")) or []}
+        for (folder,) in cases.select("folder").distinct().collect() if stored else []:
+            if folder in stored:
+                files.delete(stored[folder], True)
+
     def replace(self, key: str, df: DataFrame) -> None:
         """Replace the whole table, unpartitioned (cross-case tables are small)."""
         df.write.mode("overwrite").parquet(self.path(key))
 
-    def read(self, key: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(key))
-        return df.withColumn("folder", F.col("folder").cast("string")) if "folder" in df.columns else df
-
-    def read_or_none(self, key: str) -> DataFrame | None:
+    def _open(self, path: str) -> DataFrame | None:
         try:
-            return self.read(key)
+            with text_partitions(self.spark):
+                return self.spark.read.parquet(path)
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e):
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
                 return None
             raise
 
+    def read(self, key: str) -> DataFrame:
+        with text_partitions(self.spark):
+            return self.spark.read.parquet(self.path(key))
+
+    def read_or_none(self, key: str) -> DataFrame | None:
+        return self._open(self.path(key))
+
     def refresh(self, key: str, cases: DataFrame, compute: Callable[[DataFrame], DataFrame], force: bool = False) -> DataFrame:
-        """Compute only the cases not stored yet (all of them if forced), append, and return the table.
+        """Compute only the cases not finished yet (all of them if forced), store them, and return the table.
 
-        ``compute`` gets a DataFrame of the folders to do and returns the report for them.
+        ``compute`` gets a DataFrame of the folders to do and returns the report for them. A case without rows counts as
+        finished too; a case that is computed anew loses its old rows.
         """
-        stored = None if force else self.read_or_none(key)
-        todo = cases.select("folder").distinct() if stored is None else pending_cases(cases, stored)
+        done = self.finished(key)
+        todo = cases.select("folder").distinct() if force or done is None else pending_cases(cases, done)
+        empty = None
         if not todo.isEmpty():
-            self.write(key, compute(todo))
-        return self.read(key)
-
-
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", "true").csv(path)
+            report = compute(todo)
+            empty = self.spark.createDataFrame([], report.schema)
+            self._drop(key, todo)
+            self.write(key, report)
+            self._finish(key, todo)
+        stored = self._open(self.path(key))
+        return stored if stored is not None else (compute(todo).limit(0) if empty is None else empty)
+
+
+def write_csv(df: DataFrame, path: str, order: Sequence[str] = ()) -> None:
+    """CSV files; with ``order`` the rows are sorted over all files."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

@@ -93,3 +93,12 @@ def test_t_from_summary_statistics(frame):
     closed = 1 - sine * (1 + c2 / 2 + 3 * c2**2 / 8 + 5 * c2**3 / 16 + 35 * c2**4 / 128)
     assert rows[0].t == pytest.approx(3**0.5) and rows[0].df == 10 and rows[0].p == pytest.approx(closed, abs=1e-9)
     assert rows[1].t is None and rows[1].p is None and rows[2].t is None
+
+
+def test_p_values_with_very_many_degrees_of_freedom():
+    import numpy as np
+
+    from mobspark.functions.stats import two_sided_p
+
+    got = two_sided_p(np.array([1.96, 1.96, 1.96]), np.array([9.9e5, 1e10, 1e12]))
+    assert abs(got[2] - 0.04999579029644) < 1e-12 and abs(got[1] - got[2]) < 1e-9 and abs(got[0] - got[1]) < 1e-6

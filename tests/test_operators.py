@@ -34,11 +34,10 @@ def test_null_keys_are_salted_in_the_shuffle(spark, frame):
     assert any("hashpartitioning" in line and "_salt" in line for line in plan.splitlines())
 
 
-@pytest.mark.parametrize("limit", [10, 1])
-def test_case_rows_attach_the_same_way_beyond_the_limit(frame, limit):
+def test_case_rows_attach(frame):
     fact = frame("folder string, v bigint", *[("abc"[i % 3], i) for i in range(90)])
     case = frame("folder string, m double", ("a", 2.0), ("b", 4.0))
-    got = joins.attach_case_rows(fact, case, "left", limit)
+    got = joins.attach_case_rows(fact, case, "left")
     assert rows(got.select("folder", "v", "m")) == rows(fact.join(case, "folder", "left").select("folder", "v", "m"))
 
 
@@ -221,3 +220,38 @@ def test_a_dominant_traveller_is_split_by_the_adaptive_join(spark, frame):
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     assert total == 60_000 and "skew=true" in plan
+
+
+def test_histogram_counts_values_below_zero(frame):
+    df = frame("folder string, v double", ("a", -1.0), ("a", -0.3), ("a", 1.0), ("a", None))
+    got = {r.v: r.Count for r in shape.capped_histogram(df, ["folder"], "v").collect()}
+    assert got["-1.0"] == 1 and got["-0.3"] == 1 and got["1.0"] == 1 and got["0.0"] == 0 and sum(got.values()) == 3
+
+
+def test_nearest_with_a_stray_stop(frame):
+    import random
+
+    rnd = random.Random(3)
+    stops = [("a", i, rnd.random() * 100, rnd.random() * 100) for i in range(400)] + [("a", 400, 1e9, 1e9), ("b", 1, 5.0, 5.0)]
+    homes = [("a", rnd.random() * 100, rnd.random() * 100) for _ in range(60)] + [("b", 0.0, 0.0)]
+    got = nearest.nearest_stop(frame("folder string, x double, y double", *homes), frame("folder string, stop_id bigint, x double, y double", *stops))
+    for r in got.collect():
+        want = min(((x - r.x) ** 2 + (y - r.y) ** 2, i) for f, i, x, y in stops if f == r.folder)
+        assert r.stop_id == want[1]
+    assert got.count() == len(homes)
+
+
+def test_building_plans_starts_no_job(spark, frame):
+    import __spark_entry__ as entry
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning-only", "plans")
+    try:
+        for name in ("closest_stops", "nearest_stop", "requests_sum", "repositioning_success_rate", "mode_dist_combo_proactive", "skim_lookup"):
+            entry.queries()[name](spark, "/root/testdata/sf0.001")
+        # reading a Parquet schema is Spark's own job; the plans add none, so nothing but those shows
+        jobs = tracker.getJobIdsForGroup("planning-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [tracker.getStageInfo(s) for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    assert all(s is None or s.name.startswith("parquet at") for s in stages)

@@ -156,10 +156,14 @@ def test_repair_skips_cases_without_repositioning_strategy(tables):
     t = tables(tnc_request=as_case(rows, "gsc_300_jar_7") + as_case(rows, "gsc_300_nr_7"), tnc_trip=as_case(trips, "gsc_300_jar_7") + as_case(trips, "gsc_300_nr_7"))
     fixed = {(r.folder, r.tnc_trip_id_int): r.passengers for r in repair.repaired_trips(t).collect()}
     assert fixed["gsc_300_jar_7", 1] == 0 and fixed["gsc_300_jar_7", 2] == 3 and fixed["gsc_300_jar_7", 3] == 3 and fixed["gsc_300_nr_7", 1] == 3
-    check = {r.folder: r for r in repair.repair_check(t).collect()}
+    raw = {r.folder: r for r in repair.repair_check(t).collect()}
+    assert not raw["gsc_300_jar_7"].ok and raw["gsc_300_jar_7"].max_pass == 3 and raw["gsc_300_nr_7"].ok
+    with pytest.raises(ValueError, match="1 cases"):
+        repair.require_repaired(t)
+    check = {r.folder: r for r in repair.repair_check(repair.repaired_tables(t)).collect()}
     assert check["gsc_300_jar_7"].ok and check["gsc_300_jar_7"].max_party == 0
     assert check["gsc_300_nr_7"].ok and not check["gsc_300_nr_7"].repaired and check["gsc_300_nr_7"].max_pass == 3
-    repair.require_repaired(t)
+    repair.require_repaired(repair.repaired_tables(t))
 
 
 def test_repair_check_without_repositioning_rows(tables):

@@ -103,3 +103,54 @@ def test_case_tables_formats(spark, frame, tmp_path, name):
     frame("folder string, v bigint", ("a", 1)).write.partitionBy("folder").format(name).option("header", "true").save(str(tmp_path / "zone"))
     got = catalog.read_case_tables(spark, str(tmp_path), ["zone"], {"zone": "v bigint, folder string"}, fmt=name)["zone"]
     assert [(r.folder, r.v) for r in got.collect()] == [("a", 1)]
+
+
+def test_case_names_stay_text(spark, frame, tmp_path):
+    names = ["007", "08", "0.20", "1e5", "2024-01-01"]
+    df = frame("folder string, v bigint", *[(n, i) for i, n in enumerate(names)])
+    df.write.partitionBy("folder").parquet(str(tmp_path / "trip"))
+    read = catalog.read_case_tables(spark, str(tmp_path), ["trip"])["trip"]
+    assert sorted(r.folder for r in read.collect()) == sorted(names)
+    report = store.ReportStore(spark, str(tmp_path / "store"))
+    report.write("r", df)
+    assert sorted(r.folder for r in report.read("r").collect()) == sorted(names)
+    assert report.refresh("r2", df.select("folder"), lambda todo: df.join(todo, "folder")).count() == len(names)
+    assert catalog.pending_cases(df.select("folder"), report.finished("r2")).count() == 0
+
+
+def test_cases_without_rows_are_computed_once_and_stale_rows_go(spark, frame, tmp_path):
+    cases = frame("folder string", ("a",), ("b",))
+    calls, data = [], {"a": 1}
+
+    def compute(todo):
+        calls.append(sorted(r.folder for r in todo.collect()))
+        return frame("folder string, v bigint", *data.items()).join(todo, "folder")
+
+    report = store.ReportStore(spark, str(tmp_path))
+    for _ in range(3):
+        assert [tuple(r) for r in report.refresh("r", cases, compute).select("folder", "v").collect()] == [("a", 1)]
+    assert calls == [["a", "b"]]
+    data = {"b": 2}
+    assert [tuple(r) for r in report.refresh("r", cases, compute, force=True).select("folder", "v").collect()] == [("b", 2)]
+    data = {}
+    data["x"] = 0
+    assert report.refresh("r", cases, compute, force=True).count() == 0
+
+
+def test_parameters_of_the_newest_finished_iteration(spark, tmp_path):
+    def write(path, content):
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps(content))
+
+    for k, (factor, fleet) in enumerate([(0.25, 100), (0.5, 200), (1.0, 900)], 1):
+        below = tmp_path / "gsc_1" / f"gsc_1_iteration_{k}"
+        write(below / "model_files" / "scenario_abm.modified.json", {"Population synthesizer controls": {"traffic_scale_factor": factor}})
+        write(below / "model_files" / "SAEVFleetModel_optimization.json", {"Operator_1": {"Fleet_Base": {"TNC_FLEET_SIZE": fleet}}})
+        if k < 3:
+            touch(below / "finished")
+    write(tmp_path / "gsc_1" / "PoolingModel.json", {"TNC_Pooling_Model": {"CU_DEFAULT_POOLING_DISCOUNT": 0.3}})
+    newest = catalog.latest_iteration(catalog.list_run_dirs(spark, str(tmp_path)))
+    names = [*scenario.SCENARIO_FILES, *scenario.FLEET_FILES, scenario.POOLING_FILE]
+    files = scenario.read_model_files(spark, str(tmp_path), names, newest)
+    got = scenario.params_by_folder(scenario.all_params(files), newest).collect()
+    assert [(r.folder, r.trip_multiplier, r.fleet_size, r.pooling_discount) for r in got] == [("gsc_1_2", 2.0, 200, 0.3)]
