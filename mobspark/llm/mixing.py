@@ -28,8 +28,9 @@ from mobspark.llm.word_features import WORD, WordHasher, choose, presence
 ROWS_PER_DOMAIN = 3000
 FEATURES = 300
 STEPS, STEP, DECAY = 150, 0.1, 1e-4
-#: The fit ends when every domain is this close to its target, or when a step gains this share of the first error.
-CLOSE, GAIN = 1e-4, 1e-5
+#: The fit ends when every domain is this close to its target, or when a step lessens the squared error by this share only
+#: (as when targets are out of reach).
+CLOSE, GAIN = 1e-4, 0.01
 #: Steps whose sums are kept in the rate's expression; then the rates are written down.
 HISTORY = 24
 TARGETS = {"high": 0.85, "low": 0.10, "toxic": 0.05}
@@ -204,14 +205,13 @@ def fit_rates(df: DataFrame, weights: np.ndarray, total_tokens: float | None = N
             return start
         return F.aggregate(F.array(*[F.array(*[F.lit(float(x)) for x in g]) for g in history]), start, step)
 
-    first, last = None, None
+    last = None
     while True:
         sums = current.select("n_tokens", "posterior", rate().alias("r")).agg(
             *[F.sum(F.col("n_tokens") * F.col("posterior")[i] * F.col("r")) for i in range(k)]).first()
         miss = np.array([x or 0.0 for x in sums]) - target
         error = float((miss**2 / scale).sum())
-        first = error if first is None else first
-        if np.all(np.abs(miss) <= CLOSE * np.maximum(target, CLOSE * total_tokens)) or (last is not None and last - error <= GAIN * first):
+        if np.all(np.abs(miss) <= CLOSE * np.maximum(target, CLOSE * total_tokens)) or (last is not None and last - error <= GAIN * last):
             break
         last = error
         history.append(miss / scale)
