@@ -1,5 +1,7 @@
 """The driver contract, side by side with the oracle on the smallest data, and cross-report invariants."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,7 +35,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle(oracles):
-    assert set(entry.queries()) == set(oracles)
+    # operators of training-data preparation, where installed, bring SQL where it can express them and tests elsewhere
+    own = {name for name in entry.queries() if not re.match(r"op\d+_|pipeline$", name)}
+    assert own <= set(oracles) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
