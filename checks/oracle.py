@@ -253,25 +253,29 @@ R["pr_avo"] = "SELECT d.folder, " + ", ".join(
     for n, c in (("pool", "> 1"), ("solo", "= 1"), ("empt", "< 1"))
 ) + " FROM case_dim d"
 R["fare_sensitivity_results"] = f"""
-WITH t1 AS (SELECT folder, count(*) AS fleet, avg(tot_dropoffs) AS avg_trips FROM tnc_statistics GROUP BY folder),
- t2 AS (SELECT folder, avg(pickup_time - request_time)/60 AS wait_min, avg(dropoff_time - request_time)/60 AS ttime_min, count(*) AS served
-  FROM tnc_request WHERE assigned_vehicle IS NOT NULL AND service_type <> 99 GROUP BY folder),
- t2b AS (SELECT folder, count(*) AS repo FROM tnc_request WHERE assigned_vehicle IS NOT NULL AND service_type = 99 GROUP BY folder),
- t3 AS (SELECT folder, sum(travel_distance)/{M} AS evmt FROM h_trips WHERE eff = 0 GROUP BY folder),
- t4 AS (SELECT folder, sum(travel_distance)/{M} AS vmt, sum(end_s - start_s)/3600 AS vht, count(DISTINCT request) AS reqs FROM tnc_trip GROUP BY folder),
- t5 AS (SELECT folder, sum(travel_distance * eff) * 1.0 / sum(travel_distance) AS avo, sum(eff) AS pax FROM h_trips GROUP BY folder),
- t8 AS (SELECT folder, sum(travel_distance * eff) * 1.0 / sum(travel_distance) AS ravo FROM h_trips WHERE eff > 0 GROUP BY folder),
- t7 AS (SELECT folder, count(DISTINCT tnc_request_id) AS unserved FROM tnc_request WHERE assigned_vehicle IS NULL AND service_type <> 99 GROUP BY folder),
- t9 AS (SELECT folder, sum(travel_distance)/{M} AS sov_vmt, sum(end_s - start_s)/3600 AS sov_vht FROM trip WHERE mode = 0 GROUP BY folder),
- t10 AS (SELECT folder, count(*) AS n FROM tnc_request GROUP BY folder),
- t11 AS (SELECT folder, sum(eff) AS pax FROM h_trips WHERE passengers > 0 GROUP BY folder)
-SELECT d.folder, coalesce(fleet, 0)*m AS fleet_size, avg_trips, wait_min, ttime_min, coalesce(served, 0)*m AS requests_served, coalesce(repo, 0)*m AS repo_requests_served,
- t3.evmt*m AS evmt, vmt*m AS sav_vmt, avo AS "AVO", ravo AS "rAVO", vht*m AS sav_vht, coalesce(unserved, 0)*m AS unserved_requests,
- t9.sov_vmt*m AS sov_vmt, t9.sov_vht*m AS sov_vht, t5.pax::DOUBLE / nullif(n, 0) AS trip_avo, t11.pax::DOUBLE / nullif(reqs, 0) AS trip_ravo,
- t3.evmt / nullif(vmt, 0) AS perc_evmt, vmt*m / nullif(served*m, 0) AS vmt_per_r, vht*m*60 / nullif(served*m, 0) AS vht_per_r
-FROM (SELECT folder, trip_multiplier AS m FROM case_dim) d LEFT JOIN t1 USING (folder) LEFT JOIN t2 USING (folder) LEFT JOIN t2b USING (folder) LEFT JOIN t3 USING (folder)
- LEFT JOIN t4 USING (folder) LEFT JOIN t5 USING (folder) LEFT JOIN t8 USING (folder) LEFT JOIN t7 USING (folder) LEFT JOIN t9 USING (folder)
- LEFT JOIN t10 USING (folder) LEFT JOIN t11 USING (folder)"""
+WITH fleet AS (SELECT folder, count(*) AS vehicles, avg(tot_dropoffs) AS avg_trips FROM tnc_statistics GROUP BY folder),
+ asked AS (
+  SELECT folder, count(*) AS all_requests, count(*) FILTER (is_served) AS served, avg(pickup_time - request_time) FILTER (is_served) AS wait_s,
+   avg(dropoff_time - request_time) FILTER (is_served) AS ride_s, count(*) FILTER (has_vehicle AND is_empty_move) AS empty_moves,
+   count(DISTINCT tnc_request_id) FILTER (NOT has_vehicle AND NOT is_empty_move) AS refused
+  FROM (SELECT *, has_vehicle AND NOT is_empty_move AS is_served
+        FROM (SELECT *, assigned_vehicle IS NOT NULL AS has_vehicle, service_type = 99 AS is_empty_move FROM tnc_request)) GROUP BY folder),
+ driven AS (
+  SELECT folder, sum(travel_distance) AS metres, sum(travel_distance) FILTER (eff = 0) AS empty_metres, sum(end_s - start_s) AS seconds,
+   sum(travel_distance * eff) AS person_metres, sum(travel_distance * eff) FILTER (eff > 0) AS carried_metres,
+   sum(travel_distance) FILTER (eff > 0) AS metres_with_people, sum(eff) AS people, sum(eff) FILTER (passengers > 0) AS people_noted,
+   count(DISTINCT request) AS requests_driven FROM h_trips GROUP BY folder),
+ cars AS (SELECT folder, sum(travel_distance) AS car_metres, sum(end_s - start_s) AS car_seconds FROM trip WHERE mode = 0 GROUP BY folder),
+ wide AS (
+  SELECT *, trip_multiplier AS k FROM case_dim LEFT JOIN fleet USING (folder) LEFT JOIN asked USING (folder) LEFT JOIN driven USING (folder)
+   LEFT JOIN cars USING (folder))
+SELECT folder, k * coalesce(vehicles, 0) AS fleet_size, avg_trips, wait_s / 60 AS wait_min, ride_s / 60 AS ttime_min,
+ k * coalesce(served, 0) AS requests_served, k * coalesce(empty_moves, 0) AS repo_requests_served, k * coalesce(refused, 0) AS unserved_requests,
+ k * empty_metres / {M} AS evmt, k * metres / {M} AS sav_vmt, k * seconds / 3600 AS sav_vht, k * car_metres / {M} AS sov_vmt,
+ k * car_seconds / 3600 AS sov_vht, person_metres::DOUBLE / nullif(metres, 0) AS "AVO", carried_metres::DOUBLE / nullif(metres_with_people, 0) AS "rAVO",
+ people::DOUBLE / nullif(all_requests, 0) AS trip_avo, people_noted::DOUBLE / nullif(requests_driven, 0) AS trip_ravo,
+ empty_metres::DOUBLE / nullif(metres, 0) AS perc_evmt, metres / {M} / nullif(served, 0) AS vmt_per_r, seconds / 60 / nullif(served, 0) AS vht_per_r
+FROM wide"""
 R["distance_tnc_dist"] = """
 SELECT folder, CAST(trunc(distance * 2) AS BIGINT) // 2 AS binned_dist, count(*) * trip_multiplier AS num_trips, min(service_type) AS service_type
 FROM tnc_request JOIN case_dim USING (folder) WHERE assigned_vehicle IS NOT NULL GROUP BY folder, 2, trip_multiplier"""
@@ -299,18 +303,21 @@ FROM person c LEFT JOIN household d ON c.folder = d.folder AND c.household = d.h
 LEFT JOIN zone z ON e.folder = z.folder AND e.zone = z.zone
 GROUP BY c.folder, d.persons, d.workers, c.education, c.gender, c.race, z.zone, z.area_type, {INC_LVL}, {AGE_LVL}"""
 R["tnc_results_discount"] = """
-WITH q AS (SELECT folder, sum(CASE WHEN service_type <> 99 THEN 1 - pooled_service END)*1.0/nullif(count(CASE WHEN service_type <> 99 THEN 1 END), 0) AS solo_perc,
-  sum(CASE WHEN service_type <> 99 THEN pooled_service END)*1.0/nullif(count(CASE WHEN service_type <> 99 THEN 1 END), 0) AS pooled_perc,
-  sum(fare) AS fare, sum(CASE WHEN pooled_service = 1 THEN discount END) AS pooled_discount, count(CASE WHEN service_type <> 99 THEN 1 END) AS requests,
-  count(CASE WHEN service_type = 99 AND assigned_vehicle IS NOT NULL THEN 1 END) AS repo_requests,
-  count(CASE WHEN service_type <> 99 AND assigned_vehicle IS NULL THEN 1 END)::DOUBLE / nullif(count(CASE WHEN service_type <> 99 THEN 1 END), 0) AS rejection_rate
-  FROM tnc_request GROUP BY folder),
- t AS (SELECT folder, avg(eff) AS avo, avg(CASE WHEN passengers > 0 AND service_type <> 99 THEN passengers END) AS ravo, sum(travel_distance)/1000*0.621371 AS vmt,
-  sum(CASE WHEN passengers = 0 OR service_type = 99 THEN travel_distance END) / nullif(sum(travel_distance), 0) AS evmt_perc,
-  count(CASE WHEN passengers > 1 AND service_type <> 99 THEN 1 END)::DOUBLE / nullif(count(CASE WHEN service_type <> 99 THEN 1 END), 0) AS pool_per FROM h_trips GROUP BY folder)
-SELECT d.folder, solo_perc::DOUBLE AS solo_perc, pooled_perc::DOUBLE AS pooled_perc, fare*trip_multiplier AS fare, avo AS "AVO", ravo AS "rAVO", vmt, evmt_perc, pool_per,
- pooled_discount*trip_multiplier AS pooled_discount, requests*trip_multiplier AS requests, repo_requests*trip_multiplier AS repo_requests, rejection_rate
-FROM case_dim d LEFT JOIN q USING (folder) LEFT JOIN t USING (folder)"""
+WITH asked AS (
+  SELECT folder, sum(fare) AS fares, sum(discount) FILTER (pooled_service = 1) AS reductions, count(*) FILTER (real) AS real_requests,
+   avg(1 - pooled_service) FILTER (real) AS alone, avg(pooled_service) FILTER (real) AS shared,
+   count(*) FILTER (NOT real AND assigned_vehicle IS NOT NULL) AS empty_moves, avg(CAST(assigned_vehicle IS NULL AS INTEGER)) FILTER (real) AS refused
+  FROM (SELECT *, service_type <> 99 AS real FROM tnc_request) GROUP BY folder),
+ driven AS (
+  SELECT folder, avg(eff) AS mean_people, avg(passengers) FILTER (carrying) AS mean_carried, sum(travel_distance) AS metres,
+   sum(travel_distance) FILTER (passengers = 0 OR service_type = 99) AS empty_metres, count(*) FILTER (service_type <> 99) AS real_moves,
+   count(*) FILTER (carrying AND passengers > 1) AS shared_moves
+  FROM (SELECT *, passengers > 0 AND service_type <> 99 AS carrying FROM h_trips) GROUP BY folder)
+SELECT folder, alone AS solo_perc, shared AS pooled_perc, trip_multiplier * fares AS fare, mean_people AS "AVO", mean_carried AS "rAVO",
+ metres / 1000 * 0.621371 AS vmt, empty_metres / nullif(metres, 0) AS evmt_perc, shared_moves::DOUBLE / nullif(real_moves, 0) AS pool_per,
+ trip_multiplier * reductions AS pooled_discount, trip_multiplier * real_requests AS requests, trip_multiplier * empty_moves AS repo_requests,
+ refused AS rejection_rate
+FROM case_dim LEFT JOIN asked USING (folder) LEFT JOIN driven USING (folder)"""
 R["elder_demo"] = f"""
 SELECT a.folder, sum(p.vehicles)::BIGINT AS vehicles, p.zone, b.mode, b.type, {AGE.format(a='p.age')} AS age_class, count(a.trip_id) AS trip_count,
  count(p.hh_id) AS household_count, sum(a.travel_distance)/{M} AS total_travel_distance_miles, sum(a.end_s - a.start_s)/60 AS total_ttime_mins,

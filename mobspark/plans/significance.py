@@ -11,6 +11,7 @@ from mobspark.functions.exprs import ratio, relabel, starred, starred_percent, s
 from mobspark.functions.stats import t_p_value
 from mobspark.operators.compare import ttest_from_stats
 
+# fixed values: published names of the metrics and their readable labels
 MEAN_METRICS = ["eVMT_perc", "wait_min", "ttime", "pooled", "mileage_AVO", "mileage_rAVO", "trip_AVO", "trip_rAVO"]
 SUM_METRICS = ["occupied_VMT", "VMT", "discount", "fare", "operating_cost", "revenue"]
 COUNT_METRICS = ["assigned_requests", "requests"]
