@@ -1,8 +1,7 @@
 """Byte-level BPE encoding and decoding by batched merge rounds (operator 9).
 
-A text is cut at white space into chunks whose tokens do not depend on their surroundings. The chunks that a worker
-has not met yet are cut into words by the tokenizer's pattern, and the symbols of all those words stand in one flat
-array. A round looks up every adjacent pair by binary search over the sorted pair keys, finds the lowest rank of each
+A text is cut into words by the tokenizer's pattern; their tokens do not depend on their surroundings. The symbols of
+all words that a worker has not met yet stand in one flat array. A round looks up every adjacent pair by binary search over the sorted pair keys, finds the lowest rank of each
 word and merges all its occurrences; rounds go on until no word has a known pair. Learned vocabularies are read from a
 tokenizer file and never trained.
 
@@ -15,6 +14,7 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,18 +25,17 @@ from pyspark.sql import types as T
 from mobspark.llm import common
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Chunks that a worker remembers; beyond it the memory starts afresh, which costs time only.
-REMEMBERED_CHUNKS = 250_000
+#: Words that a worker remembers; beyond it the memory starts afresh, which costs time only.
+REMEMBERED_WORDS = 250_000
 #: Characters of text that are handled together in a worker.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 500_000
 
 # fixed values: the word pattern of the byte-level pre-tokenizer, and Unicode's white space
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-# Python counts the separators 1C to 1F as white space, Unicode doesn't
-ODD = re.compile("[\x1c-\x1f]")
-CHUNK_ODD = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
+CHUNK = re.compile(f" ?[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+(?![^{WHITE_SPACE}])|[{WHITE_SPACE}]+")
+# the word pattern in Python's classes, letters first as most words are that; right where plain() holds
+PLAIN_WORD = re.compile(r" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 
 NEVER = np.iinfo(np.int32).max
 
@@ -134,11 +133,25 @@ def merge_words(v: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarr
     return symbols[order].astype(np.int32), np.searchsorted(word[order], np.arange(len(words) + 1))
 
 
-def words_of(chunk: str) -> list[str]:
-    """The chunk's words by the tokenizer's pattern; letters with or without a space before them are one word."""
-    if chunk.isalpha() or (chunk[0] == " " and chunk[1:].isalpha()):
-        return [chunk]
-    return _words().findall(chunk)
+def words_of(text: str) -> list[str]:
+    """The text's words by the tokenizer's pattern."""
+    if plain(text):
+        return PLAIN_WORD.findall(text)
+    # the pattern's own white space isn't that of the tokenizer either, so it sees chunks only
+    return [w for chunk in CHUNK.findall(text) for w in _words().findall(chunk)]
+
+
+def plain(text: str) -> bool:
+    """Whether Python's classes of letters, digits and white space are those of the tokenizer for this text."""
+    return not _odd().search(text)
+
+
+@lru_cache(maxsize=1)
+def _odd() -> re.Pattern:
+    """The separators 1C to 1F, white space to Python alone, and numbers that aren't decimal digits, to Python no digits;
+    beyond the basic plane, any character."""
+    numbers = [c for c in map(chr, range(1 << 16)) if c.isnumeric() and not (c.isdecimal() or c.isalpha())]
+    return re.compile("[\x1c-\x1f" + "".join(numbers) + "\U00010000-\U0010ffff]")
 
 
 @lru_cache(maxsize=1)
@@ -148,10 +161,10 @@ def _words():
     return regex.compile(WORD_PATTERN)
 
 
-class ChunkEncoder:
-    """Texts to ids; ``encode_chunks`` is asked for chunks that are not remembered."""
+class WordEncoder:
+    """Texts to ids; ``encode_words`` is asked for words that are not remembered."""
 
-    remembered = REMEMBERED_CHUNKS
+    remembered = REMEMBERED_WORDS
 
     def __init__(self, special: dict[str, int]):
         self.memory: dict[object, bytes] = {}
@@ -159,24 +172,20 @@ class ChunkEncoder:
         longest_first = sorted(special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
 
-    def encode_chunks(self, chunks: list[str]) -> Iterable[bytes]:
+    def encode_words(self, words: list[str]) -> Iterable[bytes]:
         raise NotImplementedError
 
-    def chunks(self, text: str) -> list:
+    def words(self, text: str) -> list:
         if self.cut and self.cut.search(text):
             out: list = []
             for k, part in enumerate(self.cut.split(text)):
-                out += [("special", part)] if k % 2 else self._plain(part)
+                out += [("special", part)] if k % 2 else words_of(part)
             return out
-        return self._plain(text)
-
-    @staticmethod
-    def _plain(text: str) -> list[str]:
-        return (CHUNK_ODD if ODD.search(text) else CHUNK).findall(text)
+        return words_of(text)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        cut = [self.chunks(t) if t else [] for t in texts]
+        cut = [self.words(t) if t else [] for t in texts]
         seen = set().union(*cut)
         if len(self.memory) > self.remembered:
             self.memory = {}
@@ -184,23 +193,20 @@ class ChunkEncoder:
             self.memory.update(self.special)
         missing = list(seen.difference(self.memory))
         if missing:
-            self.memory.update(zip(missing, self.encode_chunks(missing), strict=True))
+            self.memory.update(zip(missing, self.encode_words(missing), strict=True))
         get = self.memory.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
 
-class MergeEncoder(ChunkEncoder):
+class MergeEncoder(WordEncoder):
     def __init__(self, path: str):
         self.vocabulary = vocabulary(path)
         super().__init__(self.vocabulary.special)
 
-    def encode_chunks(self, chunks: list[str]) -> Iterable[bytes]:
-        words: dict[str, int] = {}
-        of_chunk = [[words.setdefault(w, len(words)) for w in words_of(c)] for c in chunks]
+    def encode_words(self, words: list[str]) -> Iterable[bytes]:
         ids, starts = merge_words(self.vocabulary, [w.encode("utf-8", "replace") for w in words])
         raw, begin = ids.tobytes(), (4 * starts).tolist()
-        for own in of_chunk:
-            yield b"".join([raw[begin[w]:begin[w + 1]] for w in own])
+        return [raw[a:b] for a, b in pairwise(begin)]
 
 
 @lru_cache(maxsize=2)

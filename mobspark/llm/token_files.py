@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import io
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobspark.llm import common
-from mobspark.llm.bpe import ChunkEncoder, byte_characters, default_tokenizer, groups, vocabulary, words_of
+from mobspark.llm.bpe import WordEncoder, byte_characters, default_tokenizer, groups, vocabulary
 
 #: Ids in a shard, after which the next document opens a new one.
 SHARD_IDS = 8_000_000
@@ -41,9 +42,9 @@ GAMMA = 2.0
 MANIFEST = "partition int, shard int, path string, width int, first_null boolean, first_id long, documents long, ids long"
 
 
-class LibraryEncoder(ChunkEncoder):
-    """Words of chunks that are not remembered go to the BPE model of the tokenizers library, in the characters that
-    stand for their bytes."""
+class LibraryEncoder(WordEncoder):
+    """Words that are not remembered go to the BPE model of the tokenizers library, in the characters that stand for
+    their bytes."""
 
     remembered = 800_000
 
@@ -54,11 +55,11 @@ class LibraryEncoder(ChunkEncoder):
         self.shown = dict(enumerate(byte_characters()))
         super().__init__(vocabulary(path).special)
 
-    def encode_chunks(self, chunks: list[str]) -> Iterator[bytes]:
+    def encode_words(self, words: list[str]) -> Iterator[bytes]:
         tokenize, shown = self.model.tokenize, self.shown
-        for c in chunks:
-            ids = [t.id for w in words_of(c) for t in tokenize(w.encode("utf-8", "replace").decode("latin-1").translate(shown))]
-            yield np.array(ids, np.int32).tobytes()
+        for w in words:
+            tokens = tokenize(w.encode("utf-8", "replace").decode("latin-1").translate(shown))
+            yield array("i", [t.id for t in tokens]).tobytes()
 
 
 @lru_cache(maxsize=2)
