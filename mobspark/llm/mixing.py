@@ -14,7 +14,9 @@ whole number is rounded, so rows that repeat a doc_id are taken alike.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
+from math import log1p
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mobspark.llm import common
-from mobspark.llm.word_features import WORD, WordHasher, choose, presence
+from mobspark.llm.word_features import REMEMBERED_WORDS, WORD, WordHasher, choose, presence
 
 #: Bounds of the classifier: labelled rows of each domain that it is fitted on, and word features that it keeps.
 ROWS_PER_DOMAIN = 3000
@@ -35,17 +37,19 @@ CLOSE, GAIN = 1e-4, 0.01
 HISTORY = 24
 TARGETS = {"high": 0.85, "low": 0.10, "toxic": 0.05}
 
-PUNCTUATION = np.frombuffer(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", np.uint8)
+#: Kinds of bytes: upper case, lower case, digits, space, line feed, punctuation, "!", "|", beyond ASCII.
+KINDS = np.array([[b in kind for b in range(256)] for kind in (
+    string.ascii_uppercase.encode(), string.ascii_lowercase.encode(), string.digits.encode(), b" ", b"\n", string.punctuation.encode(),
+    b"!", b"|", range(128, 256))], np.float64)
 
 
-def shape(text: str, words: list[str]) -> list[float]:
+def shape(text: str, words: list[str], distinct: int) -> list[float]:
     """Shares of kinds of characters, repetition, and length, none of which depends on the language's words."""
     raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
     n = max(len(raw), 1)
-    h = np.bincount(raw, minlength=256) / n
+    h = np.bincount(raw, minlength=256)
     return [
-        h[65:91].sum(), h[97:123].sum(), h[48:58].sum(), h[32], h[10], h[PUNCTUATION].sum(), h[33], h[124], h[128:].sum(),
-        float(np.log1p(len(raw))), len(set(words)) / max(len(words), 1), sum(map(len, words)) / max(len(words), 1),
+        *(KINDS @ h / n).tolist(), log1p(len(raw)), distinct / max(len(words), 1), sum(map(len, words)) / max(len(words), 1),
     ]
 
 
@@ -66,6 +70,25 @@ class Model:
         return p / p.sum(axis=1, keepdims=True)
 
 
+class WordHits:
+    """The columns of a set of words; only words that have any are remembered with them."""
+
+    def __init__(self, model: Model | None):
+        self.buckets, self.hasher = model.buckets if model else {}, WordHasher()
+        self.seen: set[str] = set()
+        self.active: dict[str, list[int]] = {}
+
+    def __call__(self, distinct: set[str]) -> list[int]:
+        if len(self.seen) > REMEMBERED_WORDS:
+            self.seen, self.active = set(), {}
+        if new := distinct - self.seen:
+            for w in new:
+                if own := [self.buckets[b] for b in self.hasher.of(w) if b in self.buckets]:
+                    self.active[w] = own
+            self.seen |= new
+        return list({c for w in self.active.keys() & distinct for c in self.active[w]})
+
+
 def fit(docs: np.ndarray, columns: np.ndarray, shapes: np.ndarray, labels: np.ndarray, domains: list[str], counts: np.ndarray,
         kept: np.ndarray) -> Model:
     """docs, columns: one entry for each of the buckets ``kept`` that a document has; counts: documents of each domain
@@ -111,7 +134,7 @@ def train(documents: DataFrame, labels: DataFrame, rows_per_domain: int = ROWS_P
             words = [WORD.findall(t.lower()) for t in texts]
             yield pa.RecordBatch.from_arrays([
                 batch.column(1), pa.array([sorted(hasher.buckets(w)) for w in words], pa.list_(pa.int32())),
-                pa.array([shape(t, w) for t, w in zip(texts, words, strict=True)], pa.list_(pa.float64())),
+                pa.array([shape(t, w, len(set(w))) for t, w in zip(texts, words, strict=True)], pa.list_(pa.float64())),
             ], names=["domain", "buckets", "shape"])
 
     sample = common.written(rows.mapInArrow(run, "domain string, buckets array<int>, shape array<double>"), "mixing-sample")
@@ -139,7 +162,7 @@ def posteriors(df: DataFrame, model: Model | None) -> DataFrame:
     passed = [f for f in source.schema.fields if f.name != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, hasher, seen = shared.value, WordHasher(), {}
+        model, hits_of = shared.value, WordHits(shared.value)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             tokens = [len(t.split()) for t in texts]
@@ -150,12 +173,8 @@ def posteriors(df: DataFrame, model: Model | None) -> DataFrame:
                 for i, t in enumerate(texts):
                     words = WORD.findall(t.lower())
                     distinct = set(words)
-                    if len(seen) > 200_000:
-                        seen = {}
-                    for w in distinct.difference(seen):
-                        seen[w] = [model.buckets[b] for b in hasher(w) if b in model.buckets]
-                    hits.append(list({c for w in distinct for c in seen[w]}))
-                    shapes[i] = shape(t, words)
+                    hits.append(hits_of(distinct))
+                    shapes[i] = shape(t, words, len(distinct))
                 p = model.posterior(hits, shapes)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(f.name) for f in passed], pa.array(tokens, pa.int64()), pa.array(list(p), pa.list_(pa.float64()))],

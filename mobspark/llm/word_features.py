@@ -26,10 +26,14 @@ class WordHasher:
         if found is None:
             if len(self.memory) > REMEMBERED_WORDS:
                 self.memory = {}
-            found = (zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS,)
-            if len(word) > PREFIX:
-                found += (zlib.crc32(b"^" + word[:PREFIX].encode("utf-8", "replace")) % BUCKETS,)
-            self.memory[word] = found
+            found = self.memory[word] = self.of(word)
+        return found
+
+    @staticmethod
+    def of(word: str) -> tuple[int, ...]:
+        found = (zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS,)
+        if len(word) > PREFIX:
+            found += (zlib.crc32(b"^" + word[:PREFIX].encode("utf-8", "replace")) % BUCKETS,)
         return found
 
     def buckets(self, words: list[str]) -> set[int]:
