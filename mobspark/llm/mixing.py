@@ -124,8 +124,9 @@ def train(documents: DataFrame, labels: DataFrame, rows_per_domain: int = ROWS_P
     if not counts:
         return None
     domains = sorted(counts)
-    chosen = common.bounded_sample(known, "domain", rows_per_domain)
-    rows = documents.select("doc_id", "text").join(chosen, "doc_id").select("text", "domain")
+    # written, so that its size can be checked and the texts of all documents needn't be shuffled for it
+    chosen = common.written(common.bounded_sample(known, "domain", rows_per_domain), "mixing-chosen")
+    rows = documents.select("doc_id", "text").join(common.broadcast_if_small(chosen, 16), "doc_id").select("text", "domain")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -138,6 +139,7 @@ def train(documents: DataFrame, labels: DataFrame, rows_per_domain: int = ROWS_P
             ], names=["domain", "buckets", "shape"])
 
     sample = common.written(rows.mapInArrow(run, "domain string, buckets array<int>, shape array<double>"), "mixing-sample")
+    common.drop_written(chosen)
     per_class, table = presence(sample, "domain", "buckets", domains)
     if not per_class.sum():
         return None
