@@ -138,8 +138,9 @@ def train(
     common.ship_package(documents.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("label"))
     counts = dict(known.groupBy("label").count().collect())
-    chosen = common.bounded_sample(known, "label", rows_per_class, key)
-    rows = documents.select(key, F.col(text).alias("text")).join(chosen, key).select("text", "label")
+    # written, so that its size can be checked and the texts of all documents needn't be shuffled for it
+    chosen = common.written(common.bounded_sample(known, "label", rows_per_class, key), "toxicity-chosen")
+    rows = documents.select(key, F.col(text).alias("text")).join(common.broadcast_if_small(chosen, 16), key).select("text", "label")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
@@ -149,6 +150,7 @@ def train(
                 [pa.array(found, pa.list_(pa.list_(pa.int32()))), batch.column(1).cast(pa.int32())], names=["bag", "label"])
 
     sample = common.written(rows.mapInArrow(bags, "bag array<array<int>>, label int"), "toxicity-sample")
+    common.drop_written(chosen)
     per_class, table = presence(sample.select("label", F.array_distinct(F.flatten("bag")).alias("b")), "label", "b", [0, 1])
     if not per_class.all():
         return Model({}, -60.0)
