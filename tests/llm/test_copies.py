@@ -92,6 +92,34 @@ def test_line_dedup_against_all_pairs(spark, monkeypatch, block):
     assert kept.columns == df.columns and {100, 101, 102} <= {r.doc_id for r in kept.collect()} and 103 not in {r.doc_id for r in kept.collect()}
 
 
+@pytest.mark.parametrize("block", [2000, 5])
+def test_limit_of_line_dedup_grows_with_length(spark, monkeypatch, block):
+    monkeypatch.setattr(lines, "BLOCK", block)
+    rnd = random.Random(3)
+    sizes = [93, 94, 95, 96, 97, 98, 127, 128, 129, 200, 333, 480, 1000, 1030]
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(n)) for n in sizes] + ["ab" * 60, "x" * 150]
+    made = [edited(rnd, x, n) for x in base for n in (0, 0, 2, 3, 4, 6, 10, 15, 31, 33)] + ["x" * 149 + "y"]
+    rnd.shuffle(made)
+    docs = [(i, "\n".join(made[i * 3:i * 3 + 3])) for i in range((len(made) + 2) // 3)]
+    distinct = sorted(set(made))
+    n_links, near = dict.fromkeys(distinct, 0), {}
+    for i, x in enumerate(distinct):
+        for y in distinct[i + 1:]:
+            most = max(2, min(min(len(x), len(y)) // 32, 31))
+            if abs(len(x) - len(y)) <= most:
+                near.setdefault(most, []).append(tuple(sorted((x, y), key=len)))
+    for most, pairs in near.items():
+        for pair, d in zip(pairs, lines.verified(pairs, most).tolist(), strict=True):
+            for x in pair if d <= most else ():
+                n_links[x] += 1
+    assert sum(n_links.values()) > 150
+    got = {r.doc_id: r.n_links for r in lines.deduplicate_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {d: sum(n_links[x] for x in t.split("\n")) for d, t in docs}
+    changed = base[9][:80] + "zzzzz" + base[9][85:]
+    pair = spark.createDataFrame([(1, base[9]), (2, changed)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in lines.deduplicate_lines(pair).collect()} == {1: 0, 2: 1}
+
+
 def test_line_dedup_of_null_and_repeated_ids_and_no_rows(spark):
     long = "a line that is long enough to be linked"
     df = spark.createDataFrame([(None, long), (1, long + "s"), (1, long + "s"), (2, "other\n" + long)], "doc_id long, text string")
