@@ -128,6 +128,16 @@ def test_line_dedup_of_null_and_repeated_ids_and_no_rows(spark):
     assert lines.deduplicate_lines(df.limit(0)).count() == 0
 
 
+def test_short_lines_go_if_equal_ones_stand_earlier(spark, tmp_path):
+    docs = [(1, "Home\n\n x"), (2, "Home\nHone\n\n  "), (3, " x\nHome"), (4, "a line of its own that is long enough\nHone")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.n_links, r.earlier) for r in lines.op1_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 0, []), 2: (1, 0, [1]), 3: (2, 0, [1]), 4: (1, 0, [2])}
+    kept = {r.doc_id: r.text for r in lines.without_repeated_lines(df).collect()}
+    assert kept == {1: "Home\n\n x", 2: "Hone\n\n  ", 4: "a line of its own that is long enough"}
+
+
 def test_cover_and_ranks():
     for period in (7, 32, 64):
         cover = suffixes.difference_cover(period)
