@@ -11,7 +11,8 @@ earlier start) is marked, for texts as UTF-8 bytes; strings are judged on the in
    windows are suffixes of the run's bytes, ordered by their first ``COVER`` bytes; longer ties are resolved by the ranks
    of the difference-cover sample, which are precomputed by doubling within the sample. So a sort never compares more
    than COVER bytes and its memory is bounded by the block. Neighbours that agree in ``length`` bytes are equal.
-4. Buckets with very many runs are dealt out window by window, by the hash of the window.
+4. Windows of buckets with very many runs are grouped by their bytes, by Spark, which combines copies within each task and
+   can split a group in the join that marks all copies but the first; no task holds the copies of a window.
 
 Shipping runs instead of suffixes keeps what is shuffled at about a fortieth of the corpus's windows.
 
@@ -322,18 +323,34 @@ def edge_bytes(edges: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 def edge_spans(edges: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """Repeated bytes within edge runs."""
     counts = edges.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_RUNS)
-    hot = counts.select("bucket", F.ceil(F.col("n") / HOT_RUNS).cast("int").alias("parts"))
-    rows = edge_bytes(edges, docs, length).join(hot, "bucket", "left")
+    hot = common.written(counts.select("bucket"), "suffix-hot")
+    if not hot.head(1):
+        return plain_spans(edges, docs, length)
+    few = common.broadcast_if_small(hot, 16)
+    plain = plain_spans(edges.join(few, "bucket", "left_anti"), docs, length)
+    return plain.union(hot_spans(edges.join(few, "bucket", "left_semi"), docs, length))
+
+
+def hot_spans(edges: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+    """Repeated windows of buckets with very many runs: all but the first of equal bytes and anchor."""
+    rows = common.written(edge_bytes(edges, docs, length), "suffix-hot-runs")
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.expr("cast((run >> 8) & 255 as int)"))))
+    windows = rows.select(
+        "bucket", (F.expr("run & 255") - F.col("k")).alias("off"), F.expr(f"substring(raw, k + 1, {length})").alias("raw"),
+        F.struct("doc_no", (F.expr("run >> 16") + F.col("k")).alias("place")).alias("at"))
+    keys = ["bucket", "off", "raw"]
+    first = windows.groupBy(*keys).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    first = common.written(first, "suffix-hot-first")
+    again = windows.join(common.broadcast_if_small(first, 24), keys).where("at <> first")
+    return again.select(
+        F.col("at.doc_no").alias("doc_no"), F.col("at.place").alias("span_begin"), (F.col("at.place") + length).alias("span_end"))
+
+
+def plain_spans(edges: DataFrame, docs: DataFrame, length: int) -> DataFrame:
+    """Repeated bytes within runs of buckets of bounded size, by sorting."""
     begin, more, off = F.expr("run >> 16"), F.expr("(run >> 8) & 255"), F.expr("run & 255")
-    rows = rows.select("bucket", "doc_no", begin.alias("place"), more.alias("more"), off.alias("off"), "raw", "parts")
-    plain = rows.where("parts IS NULL").withColumn("part", F.lit(0))
-    # of a hot bucket each window goes by itself, to the part that its bytes name
-    single = rows.where("parts IS NOT NULL").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("more").cast("int"))))
-    single = single.select(
-        "bucket", "doc_no", (F.col("place") + F.col("k")).alias("place"), F.lit(0).cast("bigint").alias("more"),
-        (F.col("off") - F.col("k")).cast("bigint").alias("off"), F.expr(f"substring(raw, k + 1, {length})").alias("raw"), "parts")
-    single = single.withColumn("part", F.pmod(F.xxhash64("raw", "off"), F.col("parts") * 64).cast("int"))
-    dealt = plain.unionByName(single).drop("parts").repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+    rows = edge_bytes(edges, docs, length).select("bucket", "doc_no", begin.alias("place"), more.alias("more"), off.alias("off"), "raw")
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -345,8 +362,8 @@ def edge_spans(edges: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 size += part.column("raw").nbytes
                 if size >= BLOCK:
                     table = pa.Table.from_batches(held).combine_chunks()
-                    key, sub = (table.column(k).to_numpy() for k in ("bucket", "part"))
-                    cut = int(np.argmax((key == key[-1]) & (sub == sub[-1])))
+                    key = table.column("bucket").to_numpy()
+                    cut = int(np.argmax(key == key[-1]))
                     if cut:
                         yield from spans(table.slice(0, cut))
                         held = table.slice(cut).to_batches()
@@ -355,9 +372,9 @@ def edge_spans(edges: DataFrame, docs: DataFrame, length: int) -> DataFrame:
             yield from spans(pa.Table.from_batches(held).combine_chunks())
 
     def spans(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, sub, doc, place, more, off = (table.column(k).to_numpy() for k in ("bucket", "part", "doc_no", "place", "more", "off"))
-        # parts of a hot bucket are buckets of their own; single runs of a bucket have nothing to meet
-        change = np.r_[True, (key[1:] != key[:-1]) | (sub[1:] != sub[:-1])]
+        key, doc, place, more, off = (table.column(k).to_numpy() for k in ("bucket", "doc_no", "place", "more", "off"))
+        # single runs of a bucket have nothing to meet
+        change = np.r_[True, key[1:] != key[:-1]]
         group = np.cumsum(change) - 1
         several = np.bincount(group)[group] > 1
         if not several.any():

@@ -189,6 +189,25 @@ def test_passages_against_all_strings(spark, monkeypatch, hot, chunk, block):
     assert sorted(got) == brute_passages(docs)
 
 
+def test_copies_of_a_passage_are_not_sorted_in_one_block(spark, monkeypatch):
+    for name, value in (("HOT_RUNS", 20), ("CHUNK", 700), ("BLOCK", 4000)):
+        monkeypatch.setattr(suffixes, name, value)
+    sort = suffixes.repeated_windows
+
+    def bounded(bucket, doc, place, more, off, raw, length):
+        assert len(raw) <= 100, f"{len(raw)} runs in one block"
+        return sort(bucket, doc, place, more, off, raw, length)
+
+    monkeypatch.setattr(suffixes, "repeated_windows", bounded)
+    rnd = random.Random(4)
+    word = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = word(130)
+    docs = [(i, word(90) + passage + word(90)) for i in range(400)]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest())
+           for r in suffixes.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()]
+    assert sorted(got) == brute_passages(docs)
+
+
 def test_passages_of_null_and_repeated_ids_and_no_rows(spark):
     text = " ".join(str(i * 7919) for i in range(60))
     df = spark.createDataFrame([(None, text), (1, text + "x"), (1, text + "x"), (2, text[5:])], "doc_id long, text string")
