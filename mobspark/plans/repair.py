@@ -13,6 +13,8 @@ from mobspark.operators.joins import left_join_spreading_nulls, one_row_per_case
 from mobspark.plans.common import Tables
 
 UNREPAIRED_SUFFIXES = ("dr", "nr")
+#: Column of the flagged tables: the repair should have cleared this row and did not.
+LEFT_OVER = "_left_over"
 
 
 def _repairable() -> Column:
@@ -24,18 +26,28 @@ def _repairable() -> Column:
     return ~skip
 
 
-def repaired_requests(t: Tables) -> DataFrame:
-    """Requests with party size 0 on repositioning rows."""
+def flagged_requests(t: Tables) -> DataFrame:
+    """Requests with party size 0 on repositioning rows, and whether a row that had to be cleared still isn't."""
     fix = _repairable() & is_repositioning("service_type")
-    return t["tnc_request"].withColumn("party_size", F.when(fix, F.lit(0)).otherwise(F.col("party_size")).cast("bigint"))
+    cleared = F.when(fix, F.lit(0)).otherwise(F.col("party_size")).cast("bigint")
+    return t["tnc_request"].withColumn("party_size", cleared).withColumn(LEFT_OVER, fix & (F.col("party_size") > 0))
 
 
-def repaired_trips(t: Tables) -> DataFrame:
-    """Vehicle trips with 0 passengers where the request is a repositioning request."""
+def repaired_requests(t: Tables) -> DataFrame:
+    return flagged_requests(t).drop(LEFT_OVER)
+
+
+def flagged_trips(t: Tables) -> DataFrame:
+    """Vehicle trips with 0 passengers where the request is a repositioning request, and whether such a row still has some."""
     marks = t["tnc_request"].where("service_type = 99").select("folder", "tnc_request_id", F.lit(True).alias("_repo"))
-    flagged = left_join_spreading_nulls(t["tnc_trip"], marks, "request", "tnc_request_id", "tnc_trip_id_int")
+    joined = left_join_spreading_nulls(t["tnc_trip"], marks, "request", "tnc_request_id", "tnc_trip_id_int")
     fix = _repairable() & F.coalesce("_repo", F.lit(False))
-    return flagged.withColumn("passengers", F.when(fix, F.lit(0)).otherwise(F.col("passengers")).cast("bigint")).drop("_repo")
+    cleared = F.when(fix, F.lit(0)).otherwise(F.col("passengers")).cast("bigint")
+    return joined.withColumn("passengers", cleared).withColumn(LEFT_OVER, fix & (F.col("passengers") > 0)).drop("_repo")
+
+
+def repaired_trips(t: Tables) -> DataFrame:
+    return flagged_trips(t).drop(LEFT_OVER)
 
 
 def repaired_tables(t: Tables) -> Tables:

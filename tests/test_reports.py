@@ -1,11 +1,15 @@
 """Hand-made edge cases of the reports."""
 
+from collections import ChainMap
+
 import pytest
 from pyspark.sql import functions as F
 
 from mobspark.functions import naming
 from mobspark.plans import demographics, finance, modes, repair, repositioning, ridehail, significance, transit
-from mobspark.registry import default_registry
+from mobspark.analysis import run_reports
+from mobspark.registry import Registry, Report, default_registry
+from mobspark.sources.store import ReportStore
 
 SCHEMAS = {
     "trip": "folder string, trip_id bigint, person bigint, origin bigint, destination bigint, mode bigint, start_s double, end_s double, travel_distance double, has_artificial_trip int",
@@ -280,3 +284,78 @@ def test_case_columns_survive_into_dashboard_tables(frame):
     activity = naming.add_city_fleet_weight(frame("folder string, activity_type string, age_class int, zone bigint, activity_duration double", ("gsc_300_nr_7", "WORK", 2, 1, 100.0), ("gsc_300_nr_7", "HOME", 2, 1, 100.0)))
     usage = one(demographics.demo_activity_time_usage(activity, elder))
     assert usage["SOV Time Budget"] == pytest.approx(0.8) and usage["SOV Time Budget Level"] == "2" and usage["Bus Time Budget Level"] == "No Data"
+
+
+def test_reports_read_reports_in_any_order(tables, params, spark):
+    t = tables() | {"tnc_request": spark.createDataFrame([("f", 1), ("f", 2), ("g", 3)], "folder string, tnc_request_id long")}
+    registry = Registry()
+    registry.register_sql("third", "SELECT folder, n + 1 AS n FROM {second}")
+    registry.register_sql("second", "SELECT folder, n * 10 AS n, '{{x}}' AS x FROM {first} JOIN {case_params} USING (folder)")
+    built = []
+    registry.register("first", lambda t, p: built.append(1) or t["tnc_request"].groupBy("folder").agg(F.count("*").alias("n")))
+    registry.register("also", lambda t, p: t["first"].select("folder"), needs=["first"])
+    assert registry.ordered() == ["first", "second", "third", "also"] and registry.helpers_of("third") == ["second"]
+    out = registry.build(t, params("f", "g"))
+    assert sorted((r.folder, r.n) for r in out["third"].collect()) == [("f", 21), ("g", 11)] and len(built) == 1
+    assert out["second"].first().x == "{x}"
+    # a report that isn't chosen is built for the one that reads it, a stored one is read
+    assert sorted(r.n for r in registry.build(t, params("f", "g"), ["third"])["third"].collect()) == [11, 21]
+    stored = ChainMap({"second": spark.createDataFrame([("f", 7)], "folder string, n long")}, t)
+    assert [r.n for r in registry.build(stored, params("f"), ["third"])["third"].collect()] == [8]
+
+
+def test_reports_that_depend_on_each_other_raise(tables, params):
+    registry = Registry()
+    registry.register_sql("a", "SELECT * FROM {b}")
+    registry.register_sql("b", "SELECT * FROM {c}")
+    registry.register_sql("c", "SELECT * FROM {a}")
+    with pytest.raises(ValueError, match="a -> b -> c -> a"):
+        registry.ordered()
+    hidden = Registry()
+    hidden.register("x", lambda t, p: t["y"])
+    hidden.register("y", lambda t, p: t["x"])
+    with pytest.raises(ValueError, match="depend on each other"):
+        hidden.build(tables(), params("f"), ["x"])
+    with pytest.raises(ValueError, match="no name"):
+        registry.register_sql("bad", "SELECT {0}")
+
+
+def test_a_run_recomputes_changed_cases_only_and_leaves_out_bad_ones(tables, params, spark, tmp_path, monkeypatch):
+    store, calls = ReportStore(spark, str(tmp_path)), []
+
+    def counted(t, p):
+        trips = t["tnc_trip"].groupBy("folder").agg(F.sum("passengers").alias("n"))
+        return trips.join(t["base"], "folder")
+
+    def base(t, p):
+        calls.append(sorted(r.folder for r in p.collect()))
+        return t["trip"].groupBy("folder").agg(F.count("*").alias("trips"))
+
+    registry = Registry([Report("counted", counted, needs=("base",)), Report("base", base)])
+
+    def run(extra=(), **options):
+        t = tables(
+            tnc_request=[request(1), request(2, kind=99), request(3, folder="g")],
+            tnc_trip=[move(1, 1, 2), move(2, 2, 3), move(3, 3, 4, folder="g")])
+        t["trip"] = spark.createDataFrame([("f", 1), ("g", 2), *extra], "folder string, trip_id long")
+        calls.clear()
+        out = run_reports(t, params("f", "g"), store, ["counted"], registry, **options)
+        return sorted((r.folder, r.n, r.trips) for r in out["counted"].collect())
+
+    assert run() == [("f", 2, 1), ("g", 4, 1)] and sorted(store.read("base").columns) == ["folder", "trips"]
+    run()
+    assert all(c == ["f", "g"] for c in calls)  # looked at for what it reads, not computed
+    before = store.versions("base"), store.versions("counted")
+    assert run() == [("f", 2, 1), ("g", 4, 1)] and (store.versions("base"), store.versions("counted")) == before
+    assert run([("g", 3)]) == [("f", 2, 1), ("g", 4, 2)] and ["g"] in calls and store.versions("counted") != before[1]
+
+    # a repair that misses a row of one case
+    from mobspark import analysis
+
+    def flawed(t):
+        return repair.flagged_trips(t).withColumn(repair.LEFT_OVER, F.col("folder") == "g")
+
+    monkeypatch.setattr(analysis, "flagged_trips", flawed)
+    with pytest.raises(ValueError, match="1 cases, of which the first is g"):
+        run([("f", 9), ("g", 4)], force=True)
+    assert run([("f", 8), ("f", 9)], force=True, skip_bad=True) == [("f", 2, 3), ("g", 4, 2)]

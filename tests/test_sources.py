@@ -154,3 +154,109 @@ def test_parameters_of_the_newest_finished_iteration(spark, tmp_path):
     files = scenario.read_model_files(spark, str(tmp_path), names, newest)
     got = scenario.params_by_folder(scenario.all_params(files), newest).collect()
     assert [(r.folder, r.trip_multiplier, r.fleet_size, r.pooling_discount) for r in got] == [("gsc_1_2", 2.0, 200, 0.3)]
+
+
+class _Lost(RuntimeError):
+    pass
+
+
+def test_a_run_that_fails_leaves_the_rows_before(spark, frame, tmp_path, monkeypatch):
+    report = store.ReportStore(spark, str(tmp_path))
+    cases = frame("folder string", ("a",), ("b",))
+    report.refresh("r", cases, lambda todo: todo.withColumn("v", F.lit(1)))
+
+    def rows():
+        return sorted((r.folder, r.v) for r in store.ReportStore(spark, str(tmp_path)).read("r").collect())
+
+    # in the middle of the write
+    broken = lambda todo: todo.withColumn("v", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        report.refresh("r", cases, broken, force=True)
+    assert rows() == [("a", 1), ("b", 1)] and report.versions("r") == [1]
+
+    # after the rows, before the commit
+    def lose(*a):
+        raise _Lost
+
+    with monkeypatch.context() as m:
+        m.setattr(report, "_commit", lose)
+        with pytest.raises(_Lost):
+            report.refresh("r", cases, lambda todo: todo.withColumn("v", F.lit(2)), force=True)
+    assert rows() == [("a", 1), ("b", 1)]
+    report.refresh("r", cases, lambda todo: todo.withColumn("v", F.lit(3)), force=True)
+    assert rows() == [("a", 3), ("b", 3)] and report.versions("r") == [1, 2]
+    assert sorted(r.v for r in report.read("r", version=1).collect()) == [1, 1]
+    assert report.vacuum("r") >= 2 and rows() == [("a", 3), ("b", 3)] and report.versions("r") == [2]
+    assert report.vacuum("r") == 0
+
+
+def test_two_writers_cannot_commit_the_same_version(spark, frame, tmp_path):
+    one, two = (store.ReportStore(spark, str(tmp_path)) for _ in range(2))
+    one.write("r", frame("folder string, v int", ("a", 1)))
+    known = one.versions("r")
+    two.versions = lambda key: known
+    one.write("r", frame("folder string, v int", ("a", 2)))
+    with pytest.raises(store.CommitConflict):
+        two.write("r", frame("folder string, v int", ("a", 3)))
+    assert [r.v for r in one.read("r").collect()] == [2]
+    assert not [p for p in (tmp_path / "r" / "versions").iterdir() if "draft" in p.name]
+
+
+def test_a_changed_input_recomputes_only_its_case(spark, frame, tmp_path):
+    report, calls = store.ReportStore(spark, str(tmp_path)), []
+
+    def run(trips, zones):
+        marks = store.fingerprints({"trip": trips, "zone": zones})
+        cases = store.combined(marks, ["trip"])
+
+        def compute(todo):
+            calls.append(sorted(r.folder for r in todo.collect()))
+            return trips.join(todo, "folder").groupBy("folder").agg(F.sum("v").alias("v"))
+
+        return sorted((r.folder, r.v) for r in report.refresh("r", cases, compute).collect())
+
+    def trips(*rows):
+        return frame("folder string, v bigint, m string", *rows)
+
+    zones = frame("folder string, zone int", ("a", 1))
+    first = [("a", 1, None), ("a", 2, "x"), ("b", 5, "y")]
+    assert run(trips(*first), zones) == [("a", 3), ("b", 5)]
+    assert run(trips(*reversed(first)), zones.union(zones)) == [("a", 3), ("b", 5)]  # the order and other tables don't count
+    assert run(trips(*first[:2], ("b", 6, "y")), zones) == [("a", 3), ("b", 6)]
+    assert run(trips(*first[:2], ("b", 6, "y"), ("b", 6, "y")), zones) == [("a", 3), ("b", 12)]  # repeated rows count
+    assert run(trips(*first[:2], ("b", 12, "y"), ("c", 1, "")), zones) == [("a", 3), ("b", 12), ("c", 1)]
+    assert calls == [["a", "b"], ["b"], ["b"], ["b", "c"]]
+
+
+def test_a_bad_case_stops_only_itself(spark, frame, tmp_path):
+    report, rejected = store.ReportStore(spark, str(tmp_path)), set()
+    cases = frame("folder string", ("a",), ("b",), ("c",))
+    values = {"a": 1, "b": 2, "c": 3}
+
+    def compute(todo):
+        rows = frame("folder string, v int, _off boolean", *[(k, v, v < 0) for k, v in values.items()])
+        return rows.join(todo, "folder")
+
+    report.refresh("r", cases, compute, bad=F.col("_off"), rejected=rejected)
+    values |= {"a": 10, "b": -1}
+    got = report.refresh("r", cases, compute, True, F.col("_off"), rejected)
+    assert rejected == {"b"} and got.columns == ["folder", "v"]
+    assert sorted((r.folder, r.v) for r in got.collect()) == [("a", 10), ("b", 2), ("c", 3)]
+    values["d"] = -5
+    more = cases.union(frame("folder string", ("d",)))
+    got = report.refresh("r", more, compute, bad=F.col("_off"), rejected=rejected)
+    assert rejected == {"b", "d"} and got.count() == 3
+    assert store.pending(more, report.finished("r")).collect()[0].folder == "d"
+
+
+def test_runs_with_other_columns_and_old_cases(spark, frame, tmp_path):
+    report = store.ReportStore(spark, str(tmp_path))
+    report.write("r", frame("folder string, v int", ("a", 1), ("b", 1)))
+    report.write("r", frame("folder string, v int, w string", ("b", 2, "new")))
+    assert sorted((r.folder, r.v, r.w) for r in report.read("r").collect()) == [("a", 1, None), ("b", 2, "new")]
+    report.replace("r", frame("v int", (5,)))
+    assert [tuple(r) for r in report.read("r").collect()] == [(5,)]
+    with pytest.raises(KeyError):
+        report.read("none")
+    plan = store.ReportStore(spark, str(tmp_path)).read("r", 2)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
