@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobspark.operators.joins import attach_case_rows
+from mobspark.operators.rank import add_parts
 
-LEVELS = 4  # steps from the whole case to single stop places, whatever their number
+COARSE = 16  # fine cells along each side of a coarse one; as many coarse ones along the side of a case
 
 # Squared distance of a position to the farthest and the nearest point of a box given by centre
 # (mx, my) and half sizes (hx, hy). SLACK keeps ties and zero distances alive against rounding.
@@ -19,14 +20,13 @@ _SLACK = "* 1.000000001D + 0.000001D"
 def nearest_stop(homes: DataFrame, stops: DataFrame) -> DataFrame:
     """Nearest stop of every distinct home position: folder, x, y, stop_id, distance.
 
-    Stops are put into nested cells of a grid over the ranks of their coordinates, so cells are as fine
-    as the stops are dense, a stray stop takes up no room, and at the last level every cell is one place.
-    A home starts with the whole case and at each level keeps only the child cells that can still hold
-    the nearest stop: a cell is dropped when its box (in true coordinates) is farther than the farthest
-    corner of some other candidate box. A parent's child boxes travel as one array, which gives the
-    bound before they become rows; with n stops it has at most n to the power 2 / LEVELS of them. Neither
-    a dense district nor a home far outside meets all stops. Homes, and stops, at the same place are
-    compared once; equal distances go to the lowest stop id.
+    Stops are put into a grid of 256 by 256 cells that are cut at the ranks of their coordinates, so cells are as fine as
+    the stops are dense and a stray stop takes up no room; 16 by 16 of them make a coarse cell. A home starts with the
+    whole case, keeps the coarse cells that can still hold the nearest stop, then the cells within those: one is dropped
+    when its box (in true coordinates) is farther than the farthest corner of some other candidate box. The boxes within a
+    parent, at most 256, travel as one array, and so do the stops of a cell, so no step makes a row for each stop. Neither a
+    dense district nor a home far outside meets all stops. Homes, and stops, at the same place are compared once; equal
+    distances go to the lowest stop id.
     """
     points = homes.where("x IS NOT NULL AND y IS NOT NULL").select("folder", "x", "y").distinct()
     places = (
@@ -34,53 +34,38 @@ def nearest_stop(homes: DataFrame, stops: DataFrame) -> DataFrame:
         .groupBy("folder", F.col("x").alias("sx"), F.col("y").alias("sy"))
         .agg(F.min("stop_id").alias("stop_id"))
     )
-    ranks = places.withColumns({
-        f"r{c}": F.dense_rank().over(Window.partitionBy("folder").orderBy(f"s{c}")) - 1 for c in ("x", "y")
-    })
-    most = F.max(F.greatest("rx", "ry")).over(Window.partitionBy("folder"))
-    # bits of the largest rank; at level l the first l / LEVELS of them name the cell
-    placed = ranks.withColumn("bits", F.length(F.bin(most.cast("bigint"))))
+    placed = add_parts(places, {"cx": "sx", "cy": "sy"}, "stop_id").withColumns(
+        {f"p{c}": F.floor(F.col(c) / COARSE).cast("int") for c in ("cx", "cy")})
+    cells = placed.groupBy("folder", "pcx", "pcy", "cx", "cy").agg(
+        F.min("sx").alias("x0"), F.max("sx").alias("x1"), F.min("sy").alias("y0"), F.max("sy").alias("y1"),
+        F.collect_list(F.struct("sx", "sy", "stop_id")).alias("stops"))
+    boxes = cells.select("folder", "pcx", "pcy", "cx", "cy", "x0", "x1", "y0", "y1")
+    coarse = boxes.groupBy("folder", "pcx", "pcy").agg(
+        F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
 
     # the search is heavy on computation and light on bytes: keep the configured parallelism
     partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     search = points.repartition(partitions, "x", "y").withColumn("best", F.lit(float("inf")))
-    home = Window.partitionBy("folder", "x", "y")
-    for level in range(1, LEVELS + 1):
-        children = _children(placed, level)
-        if level == 1:
-            joined = attach_case_rows(search, children.select("folder", "kids"), "inner")
-        else:
-            joined = search.join(children, ["folder", "cx", "cy"])
-        search = (
-            joined.withColumn("best", F.expr(f"least(best, array_min(transform(kids, k -> {_FAR})) {_SLACK})"))
-            .select("folder", "x", "y", "best", F.inline("kids"))
-            .where(f"{_NEAR} <= best")
-        )
-        if 1 < level < LEVELS:  # the rows of one home come from several parents now
-            search = search.withColumn("best", F.min("best").over(home)).where(f"{_NEAR} <= best")
-        search = search.select("folder", "x", "y", "best", "cx", "cy")
-    finest = placed.select("folder", *_cells_at(LEVELS), "sx", "sy", "stop_id")
+    search = _nearer(attach_case_rows(search, _gathered(coarse, ["folder"], ["pcx", "pcy"]), "inner"), ["pcx", "pcy"])
+    search = _nearer(search.join(_gathered(boxes, ["folder", "pcx", "pcy"], ["cx", "cy"]), ["folder", "pcx", "pcy"]), ["cx", "cy"])
+    hit = "array_min(transform(stops, s -> named_struct('d2', (x - s.sx) * (x - s.sx) + (y - s.sy) * (y - s.sy), 'stop_id', s.stop_id)))"
     return (
-        search.join(finest, ["folder", "cx", "cy"])
-        .withColumn("d2", F.expr("(x - sx) * (x - sx) + (y - sy) * (y - sy)"))
+        search.join(cells.select("folder", "cx", "cy", "stops"), ["folder", "cx", "cy"])
+        .select("folder", "x", "y", F.expr(hit).alias("hit"))
         .groupBy("folder", "x", "y")
-        .agg(F.min(F.struct("d2", "stop_id")).alias("hit"))
+        .agg(F.min("hit").alias("hit"))
         .select("folder", "x", "y", F.col("hit.stop_id").alias("stop_id"), F.sqrt("hit.d2").alias("distance"))
     )
 
 
-def _cells_at(level: int, names: tuple[str, str] = ("cx", "cy")) -> list[Column]:
-    drop = f"bits - CAST(ceil(bits * {level} / {LEVELS}) AS INT)"
-    return [F.expr(f"shiftright(r{c}, {drop})").alias(name) for c, name in zip(("x", "y"), names)]
+def _gathered(boxes: DataFrame, parent: list[str], own: list[str]) -> DataFrame:
+    """Boxes by their parent, as centre and half sizes."""
+    middle = {"mx": "(x0 + x1) / 2", "hx": "(x1 - x0) / 2", "my": "(y0 + y1) / 2", "hy": "(y1 - y0) / 2"}
+    kid = F.struct(*own, *[F.expr(f"{v} AS {k}") for k, v in middle.items()])
+    return boxes.groupBy(*parent).agg(F.collect_list(kid).alias("kids"))
 
 
-def _children(placed: DataFrame, level: int) -> DataFrame:
-    """Boxes of the occupied cells of a level, gathered by their parent cell."""
-    parents = ("pcx", "pcy")
-    cells = placed.select("folder", *_cells_at(level), *_cells_at(level - 1, parents), "sx", "sy").groupBy("folder", *parents, "cx", "cy").agg(
-        F.expr("(min(sx) + max(sx)) / 2 AS mx"), F.expr("(max(sx) - min(sx)) / 2 AS hx"),
-        F.expr("(min(sy) + max(sy)) / 2 AS my"), F.expr("(max(sy) - min(sy)) / 2 AS hy"),
-    )
-    return cells.groupBy("folder", *parents).agg(
-        F.collect_list(F.struct("cx", "cy", "mx", "hx", "my", "hy")).alias("kids")
-    ).withColumnsRenamed({"pcx": "cx", "pcy": "cy"})
+def _nearer(joined: DataFrame, own: list[str]) -> DataFrame:
+    """The boxes of each home's ``kids`` that can hold its nearest stop."""
+    bounded = joined.withColumn("best", F.expr(f"least(best, array_min(transform(kids, k -> {_FAR})) {_SLACK})"))
+    return bounded.select("folder", "x", "y", "best", F.inline("kids")).where(f"{_NEAR} <= best").select("folder", "x", "y", "best", *own)

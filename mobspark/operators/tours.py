@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,8 +56,8 @@ def add_sub_tours(trips: DataFrame, bucket_s: int = BUCKET_SECONDS) -> DataFrame
     )
 
 
-def tour_rollup(legs: DataFrame) -> DataFrame:
-    """One row per sub-tour from legs with ``sub_tour`` and ``seq``.
+def tour_rollup(legs: DataFrame, more: Mapping[str, str] | None = None) -> DataFrame:
+    """One row per sub-tour from legs with ``sub_tour`` and ``seq``; ``more`` are further aggregates (name -> SQL).
 
     first/last mean the first/last non-NULL value in leg order. The trip-level sums at the end let
     case-level ratios be taken from this frame without a second pass over the legs.
@@ -79,7 +81,7 @@ def tour_rollup(legs: DataFrame) -> DataFrame:
         pickup_distance_99=f"sum(CASE WHEN {pickup} AND {not_99} THEN travel_distance END)",
         pickup_legs_99=f"count(CASE WHEN {pickup} AND {not_99} THEN travel_distance END)",
         pickup_distance_3=f"sum(CASE WHEN {pickup} AND {not_3} THEN travel_distance END)",
-        pickup_legs_3=f"count(CASE WHEN {pickup} AND {not_3} THEN travel_distance END)",
+        pickup_legs_3=f"count(CASE WHEN {pickup} AND {not_3} THEN travel_distance END)", **(more or {}),
     ))
     return agg.withColumns({
         "pooled_tour": F.expr("requests_served > 1"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import (
     METRES_PER_MILE, QUARTILES, WALK_LIMIT_MIN, WALK_MPH, age_class, age_class_activity, count_if, income_quartile, level,
-    miles, ratio,
+    miles, named, ratio,
 )
 from mobspark.operators.joins import left_join_spreading_nulls
 from mobspark.operators.nearest import nearest_stop
@@ -27,15 +27,21 @@ UNKNOWN = "n/a"
 # ---- per-case reports -----------------------------------------------------------------------------
 
 def elder_demo(t: Tables) -> DataFrame:
-    """Trips, households, miles, minutes and income by home zone, mode, activity type and age class."""
+    """Trips, households, miles, minutes and income by home zone, mode, activity type and age class.
+
+    Trips are summed per person before the join to persons, so rows without a traveller are few by then.
+    """
     trips = t["trip"].where("has_artificial_trip = 0").select("folder", "trip_id", "person", "start_s", "end_s", "travel_distance")
     acts = t["activity"].select("folder", F.col("trip").alias("trip_id"), "mode", "type")
     people = residents(t).select("folder", "person", "age", "vehicles", "hh_id", "hh_income", "zone")
-    joined = trips.join(acts, ["folder", "trip_id"], "left").join(people, ["folder", "person"], "left")
-    return joined.groupBy("folder", "zone", "mode", "type", age_class("age").alias("age_class")).agg(
-        F.sum("vehicles").alias("vehicles"), F.count("trip_id").alias("trip_count"), F.count("hh_id").alias("household_count"),
-        (F.sum("travel_distance") / METRES_PER_MILE).alias("total_travel_distance_miles"),
-        (F.sum(F.col("end_s") - F.col("start_s")) / 60).alias("total_ttime_mins"), F.sum("hh_income").alias("hh_inc_total"),
+    by_person = trips.join(acts, ["folder", "trip_id"], "left").groupBy("folder", "person", "mode", "type").agg(*named(
+        n="count(1)", n_trips="count(trip_id)", metres="sum(travel_distance)", seconds="sum(end_s - start_s)"))
+    return by_person.join(people, ["folder", "person"], "left").groupBy(
+        "folder", "zone", "mode", "type", age_class("age").alias("age_class")).agg(
+        F.sum(F.col("vehicles") * F.col("n")).alias("vehicles"), F.sum("n_trips").alias("trip_count"),
+        F.coalesce(F.sum(F.when(F.col("hh_id").isNotNull(), F.col("n"))), F.lit(0)).alias("household_count"),
+        (F.sum("metres") / METRES_PER_MILE).alias("total_travel_distance_miles"), (F.sum("seconds") / 60).alias("total_ttime_mins"),
+        F.sum(F.col("hh_income") * F.col("n")).alias("hh_inc_total"),
     )
 
 
@@ -66,14 +72,17 @@ def household_rollup(t: Tables) -> DataFrame:
 
 
 def closest_stops(t: Tables) -> DataFrame:
-    """Households by walkable distance to the nearest stop, vehicles, ages and zone."""
+    """Households by walkable distance to the nearest stop, vehicles, ages and zone.
+
+    Without a stop in the case, or without coordinates of the home, no stop is in walking distance.
+    """
     homes = household_rollup(t).where("zone IS NOT NULL AND vehicles IS NOT NULL")
     hits = nearest_stop(homes, t["transit_stops"]).select("folder", "x", "y", "distance")
     minutes = miles("distance") / WALK_MPH * 60
     return (
-        homes.join(hits, ["folder", "x", "y"])
+        homes.join(hits, ["folder", "x", "y"], "left")
         .groupBy(
-            "folder", F.when(minutes > WALK_LIMIT_MIN, 0).otherwise(1).alias("walkable"), "vehicles",
+            "folder", F.when(minutes <= WALK_LIMIT_MIN, 1).otherwise(0).alias("walkable"), "vehicles",
             F.col("people_over_60").alias("over_60"), F.col("people_under_60").alias("under_60"), "zone",
         )
         .agg(F.count(F.lit(1)).alias("count"), F.coalesce(F.sum("income"), F.lit(0.0)).alias("total_income"))

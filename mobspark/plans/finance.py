@@ -25,22 +25,24 @@ SENIOR = 2
 
 
 def demo_financial_case_data(t: Tables, params: DataFrame, mode: str = "first") -> DataFrame:
-    """Revenue and cost of the operating models by age class and origin zone."""
+    """Revenue and cost of the operating models by age class and origin zone.
+
+    Requests are summed per person and zone before the join to persons.
+    """
     dist, time = F.col("skim_dist"), F.col("skim_time")
     pay = dist * PAY_PER_MILE + time * PAY_PER_MINUTE
     pooled = F.coalesce(F.col("pooled_service") == 1, F.lit(False))
     saev = dist * F.when(pooled, F.lit(SAEV_POOLED_PER_KM / MILES_PER_KM)).otherwise(F.lit(SAEV_SOLO_PER_KM / MILES_PER_KM))
     ages = t["person"].select("folder", "person", "age")
-    grouped = (
-        priced_requests(t, params, mode).where("origin_zone IS NOT NULL").join(ages, ["folder", "person"], "left")
-        .groupBy("folder", age_class("age").alias("age_class"), "origin_zone")
-        .agg(
-            F.sum(F.greatest(pay, F.lit(MINIMUM_PAY))).alias("pay"), F.count(F.when(pay < MINIMUM_PAY, 1)).alias("under"),
-            F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(dist * (MINIBUS_PER_KM / MILES_PER_KM)), F.lit(0.0)).alias("minibus"),
-            F.coalesce(F.sum(dist * (VAN_PER_KM / MILES_PER_KM)), F.lit(0.0)).alias("van"),
-            F.coalesce(F.sum(saev), F.lit(0.0)).alias("saev"), F.coalesce(F.sum("corrected fare"), F.lit(0.0)).alias("fare"),
-        )
+    sums = ["pay", "under", "n", "minibus", "van", "saev", "fare"]
+    by_person = priced_requests(t, params, mode).where("origin_zone IS NOT NULL").groupBy("folder", "person", "origin_zone").agg(
+        F.sum(F.greatest(pay, F.lit(MINIMUM_PAY))).alias("pay"), F.count(F.when(pay < MINIMUM_PAY, 1)).alias("under"),
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(dist * (MINIBUS_PER_KM / MILES_PER_KM)), F.lit(0.0)).alias("minibus"),
+        F.coalesce(F.sum(dist * (VAN_PER_KM / MILES_PER_KM)), F.lit(0.0)).alias("van"),
+        F.coalesce(F.sum(saev), F.lit(0.0)).alias("saev"), F.coalesce(F.sum("corrected fare"), F.lit(0.0)).alias("fare"),
     )
+    grouped = by_person.join(ages, ["folder", "person"], "left").groupBy(
+        "folder", age_class("age").alias("age_class"), "origin_zone").agg(*[F.sum(c).alias(c) for c in sums])
     requests = t["tnc_request"].where("service_type <> 99").groupBy("folder").agg(F.count(F.lit(1)).alias("all_requests"))
     revenue = trips_by_request(t).groupBy("folder").agg(
         *named(secs=f"sum({unless_repo('sec_pos')})", metres=f"sum({unless_repo('d_pos')})")

@@ -9,6 +9,7 @@ from mobspark.functions.exprs import METRES_PER_MILE, named, ratio
 from mobspark.operators.asof import next_service_trip
 from mobspark.operators.joins import attach_case_rows, left_join_spreading_nulls, one_row_per_case
 from mobspark.operators.tours import add_sub_tours, tour_rollup
+from mobspark.operators.vehicle_day import add_vehicle_day
 from mobspark.plans.common import Tables
 from mobspark.plans.ridehail import request_summary
 
@@ -85,11 +86,18 @@ def repositioning_by_hour(t: Tables, horizon_s: int = 3600) -> DataFrame:
     )
 
 
+def vehicle_legs(t: Tables) -> DataFrame:
+    """Trips of known tours with their request, and what ``repositioning_success_rate`` needs: sub-tours, and the next service
+    trip under both rules. Which rule holds is known per case only when all its trips were seen."""
+    status, kind = F.col("init_status"), F.col("service_type")
+    rules = {
+        "typed": ((kind == 99) & (status == -2), ~kind.eqNullSafe(99)), "untyped": (status == -3, ~status.eqNullSafe(-3)),
+    }
+    return add_vehicle_day(with_request(vehicle_trips(t), t), rules)
+
+
 def repositioning_success_rate(t: Tables, params: DataFrame) -> DataFrame:
     """Daily success rate with tour times and distances, occupancy and the request summary, per case."""
-    hourly = repositioning_by_hour(t).groupBy("folder").agg(
-        F.sum("num_repositioned").alias("repositioned"), F.sum("num_successful").alias("successful")
-    )
     time, skim, dist = "total_routed_travel_time", "total_skim_travel_time", "total_travel_distance"
     groups = {
         "repo99": "service_type = 99", "repo3": "init_status = -3", "pooled": "pooled_tour",
@@ -97,14 +105,21 @@ def repositioning_success_rate(t: Tables, params: DataFrame) -> DataFrame:
     }
     means = {f"{g}_{c}": f"avg(CASE WHEN {cond} THEN {c} END)" for g, cond in groups.items() for c in (time, skim, dist)}
     pickups = [f"pickup_{w}_{r}" for w in ("distance", "legs") for r in ("99", "3")]
-    daily = _tours(t).groupBy("folder").agg(*named(
+    counts = {}
+    for rule in ("typed", "untyped"):
+        counts[f"{rule}_repositioned"] = f"count_if({rule}_probe)"
+        counts[f"{rule}_successful"] = f"count_if({rule}_probe AND {rule}_next.zone = destination_zone)"
+    sub_tours = tour_rollup(vehicle_legs(t), counts)
+    daily = sub_tours.groupBy("folder").agg(*named(
         **means, typed="max(any_repositioning)", total_travel_time=f"sum({time})", total_travel_distance=f"sum({dist})",
         empty_distance=f"sum(CASE WHEN max_passengers = 0 THEN {dist} END)", pooled_tour_count="count_if(pooled_tour)",
         pd="sum(passenger_distance)", opd="sum(occupied_passenger_distance)", od="sum(occupied_distance)",
-        **{c: f"sum({c})" for c in pickups},
-    ))
+        **{c: f"sum({c})" for c in [*pickups, *counts]},
+    )).withColumns({
+        c: F.expr(f"CASE WHEN typed = 1 THEN typed_{c} ELSE untyped_{c} END") for c in ("repositioned", "successful")
+    })
     summary = request_summary(t, params)
-    wide = one_row_per_case([hourly, daily, summary]).where("typed IS NOT NULL")
+    wide = one_row_per_case([daily, summary]).where("typed IS NOT NULL")
 
     def by_rule(with_type: str, without: str) -> str:
         return f"CASE WHEN typed = 1 THEN {with_type} ELSE {without} END"

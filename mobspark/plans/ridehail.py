@@ -10,7 +10,7 @@ from mobspark.functions.exprs import (
     ratio, sum_if,
 )
 from mobspark.operators.asof import skim_lookup
-from mobspark.operators.joins import attach_case_rows, one_row_per_case
+from mobspark.operators.joins import attach_case_rows, left_join_spreading_nulls, one_row_per_case
 from mobspark.operators.shape import describe_long
 from mobspark.plans.common import Tables, residents, times_multiplier, trips_by_request, unless_repo
 
@@ -256,7 +256,7 @@ def requests_report(t: Tables, params: DataFrame, mode: str = "first") -> DataFr
     people = residents(t).select(
         "folder", "person", "zone", "vehicles", "disability", "race", "marital_status", F.col("hh_income").alias("income"), "age"
     )
-    return priced_requests(t, params, mode).join(people, ["folder", "person"], "left").select(
+    return left_join_spreading_nulls(priced_requests(t, params, mode), people, "person", "person", "request").select(
         "folder", "request", "request_time", "discount", "origin_zone", "destination_zone", "pooled_service", "zone", "vehicles",
         "disability", "race", "marital_status", "income", age_class("age").alias("age_class"), "skim_time", "skim_dist",
         "solo_equiv_fare_skim", "discount_rate", "corrected fare",

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mobspark.operators import asof, compare, joins, nearest, shape, tours
+from mobspark.operators import asof, compare, joins, nearest, rank, shape, tours, vehicle_day
 
 
 def rows(df, *sort):
@@ -255,3 +255,51 @@ def test_building_plans_starts_no_job(spark, frame):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     stages = [tracker.getStageInfo(s) for j in jobs for s in tracker.getJobInfo(j).stageIds]
     assert all(s is None or s.name.startswith("parquet at") for s in stages)
+
+
+def test_parts_are_even_and_in_order(spark):
+    rows = spark.range(20_000).selectExpr(
+        "CASE WHEN id % 10 < 8 THEN 'hot' ELSE concat('c', id % 10) END AS folder", "id",
+        # strays, very many equal values, and dense ones
+        "CASE WHEN id % 7 = 0 THEN 5D WHEN id = 3 THEN 1e12D ELSE pow(id % 9973, 1.5) END AS x", "CAST(hash(id) AS DOUBLE) AS y")
+    parted = rank.add_parts(rows, {"px": "x", "py": "y"}, "id")
+    assert set(parted.columns) == {"folder", "id", "x", "y", "px", "py"}
+    got = parted.toPandas()
+    assert len(got) == 20_000
+    for folder, g in got.groupby("folder"):
+        for part, by in (("px", ["x", "id"]), ("py", ["y", "id"])):
+            assert g.sort_values(by)[part].is_monotonic_increasing
+            assert g[part].between(0, rank.CLASSES).all() and g.groupby(part).size().max() < len(g) / 20, folder
+    again = rank.add_parts(rows.orderBy(F.desc("y")).repartition(7), {"px": "x", "py": "y"}, "id").toPandas()
+    assert got.sort_values("id").px.tolist() == again.sort_values("id").px.tolist()
+    assert rank.add_parts(rows.limit(0), {"p": "x"}, "id").collect() == []
+
+
+def test_vehicle_day_is_sub_tours_and_next_trips(spark, frame):
+    rnd = random.Random(8)
+    legs = []
+    for i in range(3000):
+        vehicle = None if rnd.random() < 0.03 else (0 if rnd.random() < 0.4 else rnd.randrange(6))
+        start = None if rnd.random() < 0.03 else float(rnd.choice([rnd.randrange(40_000), rnd.randrange(300), 59.9999999, 60.0, 120.00000049]))
+        legs.append(("ab"[i % 2], i, vehicle, None if rnd.random() < 0.02 else rnd.randrange(3), start, rnd.choice([0, 0, 1, 2, None]),
+                     rnd.choice([-3, -2, 1, None]), rnd.randrange(4)))
+    df = frame("folder string, tnc_trip_id_int bigint, vehicle bigint, tour bigint, start_s double, passengers bigint, init_status int, origin_zone bigint", *legs)
+    status = F.col("init_status")
+    rules = {"one": (status == -3, ~status.eqNullSafe(-3)), "two": (status == -2, status == 1)}
+    got = vehicle_day.add_vehicle_day(df.repartition(4), rules, 1800)
+    assert set(got.columns) == {*df.columns, "sub_tour", "seq", *(f"{r}_{x}" for r in rules for x in ("probe", "next"))}
+    want = {r.tnc_trip_id_int: (r.sub_tour, r.seq) for r in tours.add_sub_tours(df).collect()}
+    got = got.collect()
+    assert {r.tnc_trip_id_int: r.sub_tour for r in got} == {k: v[0] for k, v in want.items()}
+    by_tour = {}
+    for r in got:
+        by_tour.setdefault((r.folder, r.vehicle, r.tour), []).append((r.seq, r.tnc_trip_id_int))
+    for members in by_tour.values():
+        ids = [i for _, i in sorted(members)]
+        assert ids == sorted(ids, key=lambda i: (legs[i][4] is None, legs[i][4] or 0, i))
+    with_tour = df.where("tour IS NOT NULL")
+    for rule, (probe, service) in rules.items():
+        nxt = {r.tnc_trip_id_int: (r.next_trip, r.next_origin_zone) for r in asof.next_service_trip(with_tour, probe, service, 1800).collect()}
+        mine = {r.tnc_trip_id_int: r[f"{rule}_next"] for r in got if r[f"{rule}_probe"]}
+        assert {k: (v.id, v.zone) if v else (None, None) for k, v in mine.items()} == nxt
+        assert all(r[f"{rule}_next"] is None for r in got if not r[f"{rule}_probe"])

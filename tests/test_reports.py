@@ -359,3 +359,15 @@ def test_a_run_recomputes_changed_cases_only_and_leaves_out_bad_ones(tables, par
     with pytest.raises(ValueError, match="1 cases, of which the first is g"):
         run([("f", 9), ("g", 4)], force=True)
     assert run([("f", 8), ("f", 9)], force=True, skip_bad=True) == [("f", 2, 3), ("g", 4, 2)]
+
+
+def test_homes_without_a_stop_in_reach_stay_in_the_counts(tables):
+    homes = dict(
+        person=[("f", 1, 1, 70, None, 10.0, 0, 0, 0, False, 0), ("g", 2, 2, 30, None, 20.0, 0, 0, 0, False, 0), ("f", 3, 3, 70, None, 5.0, 0, 0, 0, False, 0)],
+        household=[("f", 1, 1, 10.0, 1, 1, 1), ("g", 2, 2, 20.0, 1, 1, 1), ("f", 3, 3, 5.0, 1, 1, 1)],
+        location=[("f", 1, 9, 0.0, 0.0), ("g", 2, 9, 0.0, 0.0), ("f", 3, 9, None, None)])
+    t = tables(**homes, transit_stops=[("f", 1, 0.0, 100.0)])
+    got = sorted((r.folder, r.walkable, r["count"], r.total_income) for r in demographics.closest_stops(t).collect())
+    assert got == [("f", 0, 1, 5.0), ("f", 1, 1, 10.0), ("g", 0, 1, 20.0)]
+    none = tables(**homes)
+    assert {r.walkable for r in demographics.closest_stops(none).collect()} == {0}
