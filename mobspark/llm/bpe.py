@@ -264,15 +264,17 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", tokenizer: st
     source = df.drop(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = dict(enumerate(vocabulary(path).bytes_of))
+        table = np.array([*vocabulary(path).bytes_of, b""], dtype=object)
         for batch in batches:
             column = batch.column(ids)
             # texts of a slice only at a time, so that a batch of long documents stays small
             for a in range(0, len(column), 512):
                 part = column.slice(a, 512)
-                texts = [
-                    b"".join([table.get(i, b"") for i in row or ()]).decode("utf-8", "replace") for row in part.to_pylist()
-                ]
+                flat = np.asarray(part.flatten().fill_null(-1)).astype(np.int64)
+                unknown = (flat < 0) | (flat >= len(table))
+                tokens = table[np.where(unknown, len(table) - 1, flat)].tolist()
+                ends = np.cumsum(np.asarray(part.value_lengths().fill_null(0)), dtype=np.int64).tolist()
+                texts = [b"".join(tokens[p:q]).decode("utf-8", "replace") for p, q in pairwise([0, *ends])]
                 yield _appended(batch.slice(a, len(part)), text, pa.array(texts, pa.string()))
 
     return source.mapInArrow(run, _with_column(source.schema, text, T.StringType()))
