@@ -260,3 +260,43 @@ def test_runs_with_other_columns_and_old_cases(spark, frame, tmp_path):
         report.read("none")
     plan = store.ReportStore(spark, str(tmp_path)).read("r", 2)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_tables_of_the_newest_finished_iterations(spark, frame, tmp_path, fmt):
+    def write(case, name, table, *values, finished=True):
+        below = tmp_path / case / name
+        df = frame("v bigint, folder string", *[(v, "of the table") for v in values]).coalesce(1)
+        df.write.format(fmt).option("header", "true").save(str(below / f"{table}.{fmt}"))
+        if finished:
+            touch(below / "finished")
+
+    write("gsc 1+x", "gsc 1+x_iteration_1", "trip", 1)
+    write("gsc 1+x", "gsc 1+x_iteration_2", "trip", 2, 3)
+    write("gsc 1+x", "gsc 1+x_iteration_3", "trip", 4, finished=False)
+    write("atx%20é", "abm_init_iteration", "trip", 5)
+    write("atx%20é", "abm_init_iteration", "stop", 6)
+    newest = catalog.latest_iteration(catalog.list_run_dirs(spark, str(tmp_path)))
+    schemas = {"trip": "v bigint, folder string", "none": "w int"}
+    t = catalog.read_iteration_tables(spark, str(tmp_path), ["trip", "stop", "none"], newest, schemas, fmt=fmt)
+    assert sorted((r.folder, r.v) for r in t["trip"].collect()) == [("atx%20é_0", 5), ("gsc 1+x_2", 2), ("gsc 1+x_2", 3)]
+    assert [(r.folder, int(r.v)) for r in t["stop"].collect()] == [("atx%20é_0", 6)] and t["none"].count() == 0
+    labels = {r.folder for r in scenario.case_folders(newest).collect()}
+    assert labels == {r.folder for r in t["trip"].collect()}
+    assert len(t["trip"].inputFiles()) == 2  # neither the older nor the unfinished iteration
+
+    # files of other cases aren't opened: these can't be read at all
+    few = catalog.read_iteration_tables(spark, str(tmp_path), ["trip"], newest, schemas, ["atx%20é_0"], fmt)["trip"]
+    assert len(few.inputFiles()) == 1 and few.count() == 1
+    for part in (tmp_path / "gsc 1+x" / "gsc 1+x_iteration_2" / f"trip.{fmt}").glob(f"part-*.{fmt}"):
+        part.chmod(0o600)
+        part.write_bytes(b"\x00\xffno table at all" * 9)
+        for crc in part.parent.glob(f".{part.name}.crc"):
+            crc.unlink()
+    again = catalog.read_iteration_tables(spark, str(tmp_path), ["trip"], newest, schemas, fmt=fmt)["trip"]
+    assert [r.v for r in again.where("folder = 'atx%20é_0'").select("v").collect()] == [5]
+    if fmt == "parquet":
+        with pytest.raises(Exception):  # noqa: B017
+            again.select("v").collect()
+    with pytest.raises(FileNotFoundError):
+        catalog.read_iteration_tables(spark, str(tmp_path), ["nowhere"], newest, fmt=fmt)
