@@ -11,14 +11,15 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from mobspark.functions import naming, stats  # noqa: E402
-from mobspark.operators import asof, compare, nearest, shape, tours  # noqa: E402
+from mobspark.functions import exprs, naming, stats  # noqa: E402
+from mobspark.operators import asof, compare, moments, nearest, shape, tours  # noqa: E402
 from mobspark.plans import demographics as demo  # noqa: E402
 from mobspark.plans import finance, modes, repair, repositioning, ridehail, significance, transit  # noqa: E402
 from mobspark.sources import catalog, scenario  # noqa: E402
 from mobspark.sources.driver_tables import DriverTables  # noqa: E402
 
 BASE_SUFFIX = "_nr"
+BASELINE_STRATEGY = "nr"
 BASELINE = ["nr_0"]  # strategy label of the base cases under the fleet-weight naming scheme
 
 
@@ -96,6 +97,24 @@ def _describe_long(r: _Run) -> DataFrame:
     )
 
 
+def _describe_merged(r: _Run) -> DataFrame:
+    """``describe_long`` by way of states for each hour and vehicle class, merged in two steps."""
+    requests = r.t["tnc_request"].withColumns({
+        "wait": F.col("pickup_time") - F.col("request_time"), "hour": F.floor(F.col("request_time") / 3600),
+        "class": F.col("tnc_request_id") % 7})
+    states = moments.moment_states(
+        requests, ["folder", "service_type", "hour", "class"], ["wait", "fare", "party_size"], F.col("assigned_vehicle").isNotNull())
+    hourly = moments.merge_states(states, ["folder", "service_type", "hour"])
+    return moments.describe_states(moments.merge_states(hourly, ["folder", "service_type"]))
+
+
+def _mode_names_all(r: _Run) -> DataFrame:
+    """Orders by every mode code there is, and some that are none."""
+    code = F.expr("CASE o_orderkey % 5 WHEN 0 THEN o_orderkey % 43 WHEN 4 THEN 9990 + o_orderkey % 13 ELSE 990 + o_orderkey % 37 END")
+    return r.t.raw("orders").select(code.alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n")).select(
+        "code", exprs.mode_name("code").alias("mode_name"), "n")
+
+
 def _capped_histogram(r: _Run) -> DataFrame:
     requests = r.t["tnc_request"].withColumn("distance", F.col("distance") / 5)
     return shape.capped_histogram(requests, ["folder", "service_type"], "distance")
@@ -169,6 +188,7 @@ _QUERIES: dict[str, Callable[[_Run], DataFrame]] = {
     "skim_periods": lambda r: asof.skim_periods(r.t["skim"]).select(
         "folder", F.posexplode("periods").alias("position", "period")),
     "mode_names": lambda r: modes.trips_by_mode_name(r.t),
+    "mode_names_all": _mode_names_all,
     "zone_master": lambda r: r.zones(),
     "parse_case_name_a": lambda r: naming.add_city_case_iteration(r.t["case_labels"]),
     "parse_case_name_b": lambda r: naming.add_city_fleet_weight(r.t["case_labels"]),
@@ -179,6 +199,7 @@ _QUERIES: dict[str, Callable[[_Run], DataFrame]] = {
     "next_service_trip": lambda r: repositioning.next_service_trips(r.t),
     "sub_tours": _sub_tours,
     "describe_long": _describe_long,
+    "describe_merged": _describe_merged,
     "capped_histogram": _capped_histogram,
     "pivot_expected": _pivot_expected,
     "melt_pivot": _melt_pivot,
@@ -222,6 +243,8 @@ _QUERIES: dict[str, Callable[[_Run], DataFrame]] = {
     # cross-case tables
     "tnc_ttests": lambda r: significance.tnc_ttests(r.summary(), base_suffix=BASE_SUFFIX),
     "tnc_ttests_base_cases": lambda r: significance.tnc_ttests(r.summary(), base_cases=["gsc_300_jar_7", "atx_500_nr_3"]),
+    "strategy_summary": lambda r: significance.strategy_summary(r.summary()),
+    "strategy_ttests": lambda r: significance.strategy_ttests(r.summary(), BASELINE_STRATEGY),
     "pattern_avg_avo": lambda r: transit.avg_avo(r.loads(), "pattern"),
     "trip_avg_avo": lambda r: transit.avg_avo(r.loads(), "trip"),
     "pattern_replaceable_cases": lambda r: transit.replaceable_cases(r.loads(), "pattern"),

@@ -107,6 +107,21 @@ R["mode_names"] = """
 SELECT folder, mode, CASE mode WHEN 0 THEN 'SOV' WHEN 1 THEN 'AUTO_NEST' WHEN 2 THEN 'HOV' WHEN 3 THEN 'TRUCK' WHEN 4 THEN 'BUS'
  WHEN 5 THEN 'RAIL' WHEN 6 THEN 'NONMOTORIZED_NEST' WHEN 7 THEN 'BICYCLE' WHEN 8 THEN 'WALK' WHEN 9 THEN 'TAXI' END AS mode_name,
  count(*) AS trips FROM trip GROUP BY folder, mode"""
+# fixed values: the published mode codes and names
+R["mode_names_all"] = """
+WITH names(code, name) AS (VALUES
+ (0, 'SOV'), (1, 'AUTO_NEST'), (2, 'HOV'), (3, 'TRUCK'), (4, 'BUS'), (5, 'RAIL'), (6, 'NONMOTORIZED_NEST'), (7, 'BICYCLE'), (8, 'WALK'), (9, 'TAXI'), 
+ (10, 'SCHOOLBUS'), (11, 'PARK_AND_RIDE'), (12, 'KISS_AND_RIDE'), (13, 'PARK_AND_RAIL'), (14, 'KISS_AND_RAIL'), (15, 'TNC_AND_RIDE'), (17, 'MD_TRUCK'), 
+ (18, 'HD_TRUCK'), (19, 'BPLATE'), (20, 'LD_TRUCK'), (21, 'RAIL_NEST'), (22, 'BUS40'), (23, 'BUS60'), (24, 'PNR_BIKE_NEST'), (25, 'RIDE_AND_UNPARK'), 
+ (26, 'RIDE_AND_REKISS'), (27, 'RAIL_AND_UNPARK'), (28, 'RAIL_AND_REKISS'), (29, 'MICROM'), (30, 'MICROM_NODOCK'), (31, 'MICROM_AND_TRANSIT'), 
+ (32, 'MICROM_NODOCK_AND_TRANSIT'), (33, 'ODDELIVERY'), (34, 'DUMMY REPOSITIONING'), (999, 'FAIL_MODE'), (1000, 'FAIL_ROUTE'), (1001, 'FAIL_REROUTE'), 
+ (1002, 'FAIL_UNPARK'), (1003, 'FAIL_UNPARK2'), (1004, 'FAIL_MODE1'), (1005, 'FAIL_MODE2'), (1006, 'FAIL_MODE3'), (1007, 'FAIL_ROUTE_ACTIVE'), 
+ (1008, 'FAIL_ROUTE_WALK_AND_TRANSI'), (1009, 'FAIL_ROUTE_DRIVE_TO_TRANSI'), (1010, 'FAIL_ROUTE_DRIVE_FROM_TRAN'), 
+ (1011, 'FAIL_ROUTE_TNC_AND_TRANSIT'), (1012, 'FAIL_ROUTE_TNC'), (1013, 'FAIL_ROUTE_SOV'), (1014, 'FAIL_ROUTE_MICROMOBILITY'), (1015, 'NO_MOVE'), 
+ (9999, 'UNSIMULATED')),
+ c AS (SELECT CASE o_orderkey % 5 WHEN 0 THEN o_orderkey % 43 WHEN 4 THEN 9990 + o_orderkey % 13 ELSE 990 + o_orderkey % 37 END AS code, count(*) AS n
+  FROM orders GROUP BY 1)
+SELECT c.code, name AS mode_name, n FROM c LEFT JOIN names ON names.code = c.code"""
 R["zone_master"] = """SELECT DISTINCT split_part(folder, '_', 1) AS "City", CAST(z.zone AS VARCHAR) AS zone FROM zone z"""
 R["parse_case_name_a"] = """
 SELECT case_id, folder, p[1] AS "City", CASE WHEN len(p) >= 3 THEN array_to_string(p[3:], '_') END AS "Iteration",
@@ -152,6 +167,11 @@ R["describe_long"] = " UNION ALL ".join(
     for m, v in ((m, f"CASE WHEN assigned_vehicle IS NOT NULL THEN ({e})::DOUBLE END") for m, e in
                  (("wait", "pickup_time - request_time"), ("fare", "fare"), ("party_size", "party_size")))
 ) + " UNION ALL SELECT folder, service_type, 'rows', count(*)::DOUBLE, NULL, NULL, NULL FROM tnc_request GROUP BY folder, service_type"
+R["describe_merged"] = " UNION ALL ".join(
+    f"SELECT folder, service_type, '{m}' AS \"Metric\", coalesce(sum({v}), 0)::DOUBLE AS \"Sum\", avg({v})::DOUBLE AS \"Mean\", stddev_samp({v}) AS \"StdDev\","
+    f" count({v})::DOUBLE AS \"SampleSize\" FROM tnc_request GROUP BY folder, service_type"
+    for m, v in ((m, f"CASE WHEN assigned_vehicle IS NOT NULL THEN ({e})::DOUBLE END") for m, e in
+                 (("wait", "pickup_time - request_time"), ("fare", "fare"), ("party_size", "party_size"))))
 _BIN = "CASE WHEN {v} > 5 THEN '5.0+' ELSE CAST(CAST(round_even({v}*10, 0) AS BIGINT)//10 AS VARCHAR) || '.' || CAST(CAST(round_even({v}*10, 0) AS BIGINT)%10 AS VARCHAR) END"
 
 
@@ -471,6 +491,16 @@ SELECT city, base_case, folder, metric, t AS "t-statistic", {_p_value('t', 'df')
 R["tnc_ttests"] = _ttests("left(a.folder, 3) = left(b.folder, 3) AND split_part(a.folder, '_', 2) = split_part(b.folder, '_', 2) "
                           "AND contains(b.folder, '_nr') AND NOT contains(a.folder, '_nr')")
 R["tnc_ttests_base_cases"] = _ttests("left(a.folder, 3) = left(b.folder, 3) AND b.folder IN ('gsc_300_jar_7', 'atx_500_nr_3') AND a.folder <> b.folder")
+R["strategy_summary"] = " UNION ALL ".join(
+    f"SELECT split_part(folder, '_', 1) AS city, split_part(folder, '_', 3) AS strategy, '{m}' AS \"Metric\", coalesce(sum(\"{m}\"), 0)::DOUBLE AS \"Sum\","
+    f" avg(\"{m}\")::DOUBLE AS \"Mean\", stddev_samp(\"{m}\") AS \"StdDev\", count(\"{m}\")::DOUBLE AS \"SampleSize\""
+    f" FROM tnc_stat_summary_helper WHERE assigned_vehicle IS NOT NULL GROUP BY 1, 2" for m in _METRICS)
+R["strategy_ttests"] = f"""
+WITH p AS (SELECT a.city, a.strategy, a."Metric" AS metric, b."Mean" AS m1, b."StdDev" AS s1, b."SampleSize" AS n1, a."Mean" AS m2, a."StdDev" AS s2,
+  a."SampleSize" AS n2, a."Mean" AS value FROM strategy_summary a JOIN strategy_summary b ON a."Metric" = b."Metric" AND a.city = b.city
+  AND b.strategy = 'nr' AND a.strategy <> 'nr'),
+ t AS MATERIALIZED (SELECT *, {_T} AS t, n1 + n2 - 2 AS df FROM p)
+SELECT city, strategy, metric, t AS "t-statistic", {_p_value('t', 'df')} AS "p-value", value FROM t"""
 _NUM = "regexp_replace(CAST(CAST(round_even({v}, {d}) AS DECIMAL(38,{d})) AS VARCHAR), '{trim}', '')"
 
 

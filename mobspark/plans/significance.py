@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mobspark.functions.exprs import ratio, relabel, starred, starred_percent, stars
 from mobspark.functions.stats import t_p_value
 from mobspark.operators.compare import ttest_from_stats
+from mobspark.operators.moments import describe_states, merge_states, states_of
 
 # fixed values: published names of the metrics and their readable labels
 MEAN_METRICS = ["eVMT_perc", "wait_min", "ttime", "pooled", "mileage_AVO", "mileage_rAVO", "trip_AVO", "trip_rAVO"]
@@ -47,6 +48,23 @@ def tnc_ttests(summary: DataFrame, base_cases: Sequence[str] | None = None, base
     )
 
 
+def strategy_summary(summary: DataFrame) -> DataFrame:
+    """The summary of all cases of a city and strategy taken together, from the stored summaries of the cases alone."""
+    parts = F.split("folder", "_")
+    named = summary.where(F.col("Metric").isin(*MEAN_METRICS, *SUM_METRICS)).select(
+        F.get(parts, 0).alias("city"), F.get(parts, 2).alias("strategy"), "Metric", "Sum", "Mean", "StdDev", "SampleSize")
+    return describe_states(merge_states(states_of(named), ["city", "strategy"]))
+
+
+def strategy_ttests(summary: DataFrame, base: str) -> DataFrame:
+    """t statistic and two-sided p-value of each strategy's requests against those of the city's base strategy, over all
+    fleet sizes and iterations; cities without the base strategy are left out."""
+    pooled = strategy_summary(summary).withColumnRenamed("strategy", "folder")
+    pairs = ttest_from_stats(pooled, F.col("folder") == base, ["city"], {m: "Mean" for m in (*MEAN_METRICS, *SUM_METRICS)})
+    return pairs.withColumn("p-value", t_p_value("t-statistic", "df")).select(
+        "city", F.col("folder").alias("strategy"), "metric", "t-statistic", "p-value", "value")
+
+
 def with_significance(ttests: DataFrame) -> DataFrame:
     """Readable metric names, significance stars and formatted values."""
     return ttests.where("value IS NOT NULL").withColumns({

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mobspark.operators import asof, compare, joins, nearest, rank, shape, tours, vehicle_day
+from mobspark.operators import asof, compare, joins, moments, nearest, rank, shape, tours, vehicle_day
 
 
 def rows(df, *sort):
@@ -303,3 +303,27 @@ def test_vehicle_day_is_sub_tours_and_next_trips(spark, frame):
         mine = {r.tnc_trip_id_int: r[f"{rule}_next"] for r in got if r[f"{rule}_probe"]}
         assert {k: (v.id, v.zone) if v else (None, None) for k, v in mine.items()} == nxt
         assert all(r[f"{rule}_next"] is None for r in got if not r[f"{rule}_probe"])
+
+
+def test_moments_merge_in_any_steps(spark, frame):
+    rnd = random.Random(4)
+    values = [("ab"[i % 2], i % 5, rnd.choice([None, rnd.gauss(1e9, 1e-2)]), float(i)) for i in range(4000)]
+    df = frame("k string, part int, far double, near double", *values, ("lone", 0, 2.5, None), ("none", 0, None, None))
+    direct = {(r.k, r.Metric): r for r in shape.describe_long(df, ["k"], ["far", "near"]).collect()}
+    states = moments.moment_states(df, ["k", "part"], ["far", "near"])
+    first = moments.merge_states(states.where("part < 2"), ["k"])
+    stored = moments.states_of(moments.describe_states(moments.merge_states(states.where("part >= 2"), ["k"])))
+    merged = moments.merge_states(first.unionByName(stored), ["k"])
+    got = {(r.k, r.Metric): r for r in moments.describe_states(merged).collect()}
+    assert got.keys() == direct.keys()
+    for key, r in got.items():
+        want = direct[key]
+        assert r.SampleSize == want.SampleSize
+        for c, close in (("Sum", 1e-12), ("Mean", 1e-14), ("StdDev", 1e-4 if key[1] == "far" else 1e-12)):
+            assert (r[c] is None) == (want[c] is None) and (r[c] is None or r[c] == pytest.approx(want[c], rel=close)), (key, c)
+    assert got["lone", "far"].StdDev is None and got["none", "far"].Mean is None and got["none", "far"].Sum == 0.0
+    far = [v[2] for v in values if v[0] == "a" and v[2] is not None]
+    mean = sum(x - 1e9 for x in far) / len(far)
+    exact = math.sqrt(sum((x - 1e9 - mean) ** 2 for x in far) / (len(far) - 1))
+    assert got["a", "far"].StdDev == pytest.approx(exact, rel=1e-3)  # squares of the values have lost all of it
+    assert moments.merge_states(states.limit(0), ["k"]).collect() == []
