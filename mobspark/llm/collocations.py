@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,10 +42,13 @@ MOST_PHRASES = 1 << 22
 #: Side of a tile, and pairs from which a tile is counted densely.
 SIDE = 1024
 DENSE = SIDE * SIDE // 8
-#: Pairs that a worker gathers before it counts them, and counts that it holds before it passes them on.
-GATHERED = 1 << 21
-HELD = 1 << 22
+#: Words that a worker cuts before it looks them up, pairs that it gathers before it counts them, and counts that it holds
+#: before it passes them on; rows that it passes on at once.
+CUT_WORDS = 1 << 18
+GATHERED = 1 << 19
+HELD = 1 << 20
 HELD_TEXTS = 200_000
+PASSED = 1 << 16
 
 UNKNOWN = "und"
 # fixed values: capitals, piece ends and blanks of the cut; byte FF, which no text holds, marks the ends
@@ -94,7 +98,7 @@ class Dictionary:
 
     def __init__(self, words: list[bytes], complete: bool):
         self.size = len(words)
-        self.words = words
+        self.joined = b" ".join(words)  # no word holds a blank
         self.complete = [complete]
         self.keys: list[np.ndarray] = []  # of each length from 2 on: prefix id * size + word id, ascending
         self.ids: list[np.ndarray] = []
@@ -105,8 +109,24 @@ class Dictionary:
         self.ids.append(order.astype(np.int32))
         self.complete.append(complete)
 
+    def words(self) -> list[bytes]:
+        return self.joined.split(b" ") if self.size else []
+
     def number(self) -> dict[bytes, int]:
-        return dict(zip(self.words, range(self.size), strict=True))
+        return dict(zip(self.words(), range(self.size), strict=True))
+
+    def spelled(self, keys: np.ndarray, length: int) -> list[str]:
+        """Texts of phrases of ``length`` words, given as prefix id * size + word id."""
+        words = np.array([w.decode() for w in self.words()], dtype=object)
+        out = None
+        for m in range(length, 1, -1):
+            prefix, last = keys // self.size, words[keys % self.size]
+            out = last if out is None else last + " " + out
+            if m > 2:
+                by_id = np.empty(len(self.ids[m - 3]), np.int64)
+                by_id[self.ids[m - 3]] = self.keys[m - 3]
+                keys = by_id[prefix]
+        return (words[prefix] + " " + out).tolist()
 
     def phrases(self, length: int, prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Ids of the phrases of ``length`` words that begin with ``prefix``; -1 where one isn't known."""
@@ -172,10 +192,9 @@ class _Counts:
         return out
 
 
-def phrase_counts(texts: DataFrame, dictionaries: dict[str, Dictionary], other: Dictionary | None, length: int) -> DataFrame:
+def phrase_counts(texts: DataFrame, shared: Broadcast, length: int) -> DataFrame:
     """(lang, key, phrase, n) of phrases of ``length`` words whose shorter ends may be frequent: under prefix id * words +
-    word id, or, where the dictionary doesn't hold an end, under their text. ``other`` is for languages without one."""
-    shared = texts.sparkSession.sparkContext.broadcast((dictionaries, other))
+    word id, or, where the dictionary doesn't hold an end, under their text. ``shared``: the dictionaries by language, and one for languages without, or None."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, other = shared.value
@@ -186,19 +205,14 @@ def phrase_counts(texts: DataFrame, dictionaries: dict[str, Dictionary], other:
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, c in counts.items():
                 keys, n = c.taken()
-                if len(keys):
-                    yield _rows([lang] * len(keys), keys, None, n)
+                for a in range(0, len(keys), PASSED):
+                    yield _rows([lang] * len(keys[a : a + PASSED]), keys[a : a + PASSED], None, n[a : a + PASSED])
             if spelled:
                 langs, phrases = zip(*spelled, strict=True)
                 yield _rows(list(langs), None, [p.decode() for p in phrases], np.fromiter(spelled.values(), np.int64, len(spelled)))
                 spelled.clear()
 
-        for batch in batches:
-            by_lang: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if text and (lang in known or other is not None):
-                    by_lang.setdefault(lang, []).extend(tokens(text))
-                    by_lang[lang].append(END)
+        def count(by_lang: dict[str, list[bytes]]) -> None:
             for lang, found in by_lang.items():
                 d = known.get(lang, other)
                 if lang not in numbers:
@@ -217,8 +231,22 @@ def phrase_counts(texts: DataFrame, dictionaries: dict[str, Dictionary], other:
                 counts[lang].add(ids[sure], word[sure + length - 1])
                 if not all(d.complete):
                     _spell(spelled, lang, found, d, word, ids, length, sure)
-            if len(spelled) >= HELD_TEXTS or sum(len(c.keys) + c.gathered for c in counts.values()) >= HELD:
-                yield from flush()
+
+        for batch in batches:
+            by_lang: dict[str, list[bytes]] = {}
+            cut = 0
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if text and (lang in known or other is not None):
+                    found = tokens(text)
+                    by_lang.setdefault(lang, []).extend(found)
+                    by_lang[lang].append(END)
+                    cut += len(found)
+                if cut >= CUT_WORDS:
+                    count(by_lang)
+                    by_lang, cut = {}, 0
+                    if len(spelled) >= HELD_TEXTS or sum(len(c.keys) + c.gathered for c in counts.values()) >= HELD:
+                        yield from flush()
+            count(by_lang)
         yield from flush()
 
     parts = _counted("lang string, key long, phrase string, n long", texts, run)
@@ -257,6 +285,37 @@ def _rows(langs: list[str], keys: np.ndarray | None, phrases: list[str] | None,
         names=["lang", "key", "phrase", "n"])
 
 
+def spelled_out(counted: DataFrame, shared: Broadcast, length: int) -> DataFrame:
+    """(lang, phrase, n, key): what ``phrase_counts`` gave, with all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, _ = shared.value
+        # whole tables of texts are small by now; ids become texts for many rows at once
+        for table in _gathered(batches):
+            langs = table.column("lang").to_numpy(zero_copy_only=False)
+            keys = table.column("key").fill_null(-1).to_numpy()
+            phrases = table.column("phrase").to_numpy(zero_copy_only=False).copy()
+            for lang in {*langs[keys >= 0].tolist()}:
+                at = np.flatnonzero((langs == lang) & (keys >= 0))
+                phrases[at] = known[lang].spelled(keys[at], length)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(table.column("n").to_numpy(), pa.int64()),
+                 pa.array(keys, pa.int64(), mask=keys < 0)], names=["lang", "phrase", "n", "key"])
+
+    return counted.mapInArrow(run, "lang string, phrase string, n long, key long")
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= PASSED:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _most_frequent(level: DataFrame, column: str, most: int) -> tuple[dict[str, pa.Array], bool]:
     """Values of ``column`` by language, by falling count: all, or the ``most`` most frequent ones."""
     rows = level.select("lang", column, "n")
@@ -285,20 +344,11 @@ def frequent_phrases(texts: DataFrame, min_count: int = MIN_COUNT, max_words: in
     dictionaries = {lang: Dictionary([w.encode() for w in a.to_pylist()], complete) for lang, a in ids.items()}
     # languages that the bound leaves without any word still have phrases to count
     other = None if complete else Dictionary([], False)
-    named = word_ids = _id_table(spark, {lang: (np.arange(d.size), d.words) for lang, d in dictionaries.items()}, "word")
     for length in range(2, max_words + 1):
-        counted = common.written(phrase_counts(texts, dictionaries, other, length).where(F.col("n") >= min_count), "phrases-counted")
-        sizes = spark.createDataFrame([(lang, d.size) for lang, d in dictionaries.items()], "lang string, width long")
-        split = counted.where("key IS NOT NULL").join(F.broadcast(sizes), "lang").select(
-            "lang", "key", "n", F.expr("key div width").alias("prefix"), (F.col("key") % F.col("width")).alias("last"))
-        prefixes = named.select("lang", F.col("id").alias("prefix"), F.col("word").alias("begin"))
-        ends = word_ids.select("lang", F.col("id").alias("last"), F.col("word").alias("end"))
-        level = common.written(
-            split.join(prefixes, ["lang", "prefix"]).join(ends, ["lang", "last"]).select(
-                "lang", F.concat_ws(" ", "begin", "end").alias("phrase"), "n", "key").unionByName(
-                counted.where("key IS NULL").select("lang", "phrase", "n", F.lit(None).cast("long").alias("key"))),
-            f"phrases-{length}")
-        common.drop_written(counted)
+        shared = spark.sparkContext.broadcast((dictionaries, other))
+        counted = phrase_counts(texts, shared, length).where(F.col("n") >= min_count)
+        level = common.written(spelled_out(counted, shared, length), f"phrases-{length}")
+        shared.destroy()
         levels.append(level)
         if length < max_words:
             keyed = level.where("key IS NOT NULL")
@@ -308,23 +358,9 @@ def frequent_phrases(texts: DataFrame, min_count: int = MIN_COUNT, max_words: in
                 d.add(keys[lang].to_numpy() if lang in keys else np.zeros(0, np.int64), complete)
             if other is not None:
                 other.add(np.zeros(0, np.int64), complete)
-            numbered = _id_table(spark, {lang: (np.arange(len(k)), k) for lang, k in keys.items()}, "key")
-            named = keyed.join(numbered, ["lang", "key"]).select("lang", "id", F.col("phrase").alias("word"))
     return [x.select("lang", "phrase", "n") for x in levels], totals
 
 
-def _id_table(spark: SparkSession, ids: dict[str, tuple[np.ndarray, object]], column: str) -> DataFrame:
-    """(lang, id, column) of a dictionary as a written table."""
-    kind = pa.string() if column == "word" else pa.int64()
-    tables = []
-    for lang, (numbers, values) in ids.items():
-        values = pa.array([v.decode() for v in values], kind) if column == "word" else values
-        tables.append(pa.table({"lang": pa.array([lang] * len(numbers), pa.string()), "id": pa.array(numbers, pa.int64()), column: values}))
-    schema = pa.schema([("lang", pa.string()), ("id", pa.int64()), (column, kind)])
-    whole = pa.concat_tables(tables) if tables else schema.empty_table()
-    return common.written(spark.createDataFrame(whole), "phrases-ids")
-
-
 def mine(df: DataFrame, lang: str = "lang", text: str = "text", min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, top: int = TOP,
          covered: int = COVERED, most_words: int = MOST_WORDS, most_phrases: int = MOST_PHRASES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score) of each language's first ``top`` phrases."""
