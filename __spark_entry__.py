@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+from collections import ChainMap
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from mobspark.functions import exprs, naming, stats  # noqa: E402
-from mobspark.operators import asof, compare, moments, nearest, shape, tours  # noqa: E402
+from mobspark.operators import asof, compare, moments, nearest, shape, skim_tiles, tours  # noqa: E402
 from mobspark.plans import demographics as demo  # noqa: E402
 from mobspark.plans import finance, modes, repair, repositioning, ridehail, significance, transit  # noqa: E402
 from mobspark.sources import catalog, scenario  # noqa: E402
@@ -79,6 +80,16 @@ def _skim_lookup(r: _Run) -> DataFrame:
     return asof.skim_lookup(requests, r.t["skim"]).drop("request_time")
 
 
+def _skim_lookup_tiled(r: _Run) -> DataFrame:
+    requests = r.t["tnc_request"].select("folder", "tnc_request_id", "request_time", "origin_zone", "destination_zone")
+    return skim_tiles.tiled_lookup(requests, skim_tiles.tile_skim(r.t["skim"], 16), side=16).drop("request_time")
+
+
+def _requests_tiled(r: _Run) -> DataFrame:
+    tiled = ChainMap({"skim_tiles": skim_tiles.tile_skim(r.t["skim"])}, r.t)
+    return ridehail.requests_report(tiled, r.params)
+
+
 def _dq_guard(r: _Run) -> DataFrame:
     """The guard on the tables as they come, and on the repaired ones."""
     raw, repaired = repair.repair_check(r.t), repair.repair_check(repair.repaired_tables(r.t))
@@ -196,6 +207,8 @@ _QUERIES: dict[str, Callable[[_Run], DataFrame]] = {
     # operators
     "nearest_stop": _nearest_stop,
     "skim_lookup": _skim_lookup,
+    "skim_lookup_tiled": _skim_lookup_tiled,
+    "requests_tiled": _requests_tiled,
     "next_service_trip": lambda r: repositioning.next_service_trips(r.t),
     "sub_tours": _sub_tours,
     "describe_long": _describe_long,

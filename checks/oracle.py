@@ -491,6 +491,8 @@ SELECT city, base_case, folder, metric, t AS "t-statistic", {_p_value('t', 'df')
 R["tnc_ttests"] = _ttests("left(a.folder, 3) = left(b.folder, 3) AND split_part(a.folder, '_', 2) = split_part(b.folder, '_', 2) "
                           "AND contains(b.folder, '_nr') AND NOT contains(a.folder, '_nr')")
 R["tnc_ttests_base_cases"] = _ttests("left(a.folder, 3) = left(b.folder, 3) AND b.folder IN ('gsc_300_jar_7', 'atx_500_nr_3') AND a.folder <> b.folder")
+R["skim_lookup_tiled"] = "SELECT * FROM skim_lookup"
+R["requests_tiled"] = "SELECT * FROM requests"
 R["strategy_summary"] = " UNION ALL ".join(
     f"SELECT split_part(folder, '_', 1) AS city, split_part(folder, '_', 3) AS strategy, '{m}' AS \"Metric\", coalesce(sum(\"{m}\"), 0)::DOUBLE AS \"Sum\","
     f" avg(\"{m}\")::DOUBLE AS \"Mean\", stddev_samp(\"{m}\") AS \"StdDev\", count(\"{m}\")::DOUBLE AS \"SampleSize\""

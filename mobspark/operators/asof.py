@@ -56,12 +56,9 @@ def skim_periods(skim: DataFrame) -> DataFrame:
     return skim.groupBy("folder").agg(F.sort_array(F.collect_set("period")).alias("periods"))
 
 
-def skim_lookup(requests: DataFrame, skim: DataFrame, mode: str = "first", periods: DataFrame | None = None) -> DataFrame:
-    """Add ``skim_period``, ``skim_time`` (minutes) and ``skim_dist`` (miles) to requests.
-
-    The period is the smallest one not before the request minute; after the last period it is NULL.
-    ``mode="last"`` takes the last period of the day for every request.
-    """
+def with_skim_period(requests: DataFrame, skim: DataFrame, mode: str = "first", periods: DataFrame | None = None) -> DataFrame:
+    """Add ``skim_period``: the smallest one not before the request minute, NULL after the last; with ``mode="last"`` the last
+    period of the day for every request."""
     with_periods = attach_case_rows(requests, skim_periods(skim) if periods is None else periods)
     minute = F.col("request_time") / 60.0
     if mode == "first":
@@ -70,12 +67,14 @@ def skim_lookup(requests: DataFrame, skim: DataFrame, mode: str = "first", perio
         period = F.array_max("periods")
     else:
         raise ValueError("mode must be 'first' or 'last'")
+    return with_periods.withColumn("skim_period", period).drop("periods")
+
+
+def skim_lookup(requests: DataFrame, skim: DataFrame, mode: str = "first", periods: DataFrame | None = None) -> DataFrame:
+    """Add ``skim_period`` (see ``with_skim_period``), ``skim_time`` (minutes) and ``skim_dist`` (miles) to requests."""
     values = skim.select(
         "folder", F.col("period").alias("skim_period"), "origin_zone", "destination_zone",
         F.col("time_min").alias("skim_time"), (F.col("dist_m") / METRES_PER_MILE).alias("skim_dist"),
     )
-    return (
-        with_periods.withColumn("skim_period", period)
-        .drop("periods")
-        .join(values, ["folder", "skim_period", "origin_zone", "destination_zone"], "left")
-    )
+    return with_skim_period(requests, skim, mode, periods).join(
+        values, ["folder", "skim_period", "origin_zone", "destination_zone"], "left")

@@ -13,6 +13,14 @@ from mobspark.operators.joins import attach_case_rows, left_join_spreading_nulls
 Tables = Mapping[str, DataFrame]
 
 
+def optional(t: Tables, name: str) -> DataFrame | None:
+    """A table that need not be there, also of tables that are made when they are asked for."""
+    try:
+        return t[name]
+    except KeyError:
+        return None
+
+
 def residents(t: Tables) -> DataFrame:
     """One row per person with household attributes and home zone (left joins throughout).
 

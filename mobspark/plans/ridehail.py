@@ -12,7 +12,8 @@ from mobspark.functions.exprs import (
 from mobspark.operators.asof import skim_lookup
 from mobspark.operators.joins import attach_case_rows, left_join_spreading_nulls, one_row_per_case
 from mobspark.operators.shape import describe_long
-from mobspark.plans.common import Tables, residents, times_multiplier, trips_by_request, unless_repo
+from mobspark.operators.skim_tiles import tiled_lookup
+from mobspark.plans.common import Tables, optional, residents, times_multiplier, trips_by_request, unless_repo
 
 DEMOGRAPHICS = ["PERSONS", "WORKERS", "EDUCATION", "GENDER", "RACE", "ZONE", "INC_LVL", "AGE_LVL"]
 SUMMARY_METRICS = [
@@ -233,13 +234,18 @@ def tnc_stat_summary(t: Tables, params: DataFrame) -> DataFrame:
 # ---- fares from the skim ------------------------------------------------------------------------
 
 def priced_requests(t: Tables, params: DataFrame, mode: str = "first") -> DataFrame:
-    """Service requests with skim time and distance, solo-equivalent fare, discount and corrected fare."""
+    """Service requests with skim time and distance, solo-equivalent fare, discount and corrected fare.
+
+    The skim is looked up in the table ``skim_tiles`` (see ``tile_skim``) if there is one, else in ``skim``.
+    """
     requests = t["tnc_request"].where("service_type <> 99").select(
         "folder", F.col("tnc_request_id").alias("request"), "person", "request_time", F.col("discount").alias("_own"),
         "origin_zone", "destination_zone", "pooled_service",
     )
     prices = params.select("folder", "per_minute", "per_mile", "base_fare", "assignment_strategy", "pooling_discount")
-    priced = attach_case_rows(skim_lookup(requests, t["skim"], mode, t.get("skim_periods")), prices)
+    periods, tiles = t.get("skim_periods"), optional(t, "skim_tiles")
+    looked_up = skim_lookup(requests, t["skim"], mode, periods) if tiles is None else tiled_lookup(requests, tiles, mode, periods)
+    priced = attach_case_rows(looked_up, prices)
     solo = F.col("skim_time") * F.col("per_minute") + F.col("skim_dist") * F.col("per_mile") + F.col("base_fare")
     rate = F.when(F.col("assignment_strategy") == "default", F.col("pooling_discount")).otherwise(F.col("_own"))
     pooled = F.col("pooled_service") == 1

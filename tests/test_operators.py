@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from mobspark.operators import asof, compare, joins, moments, nearest, rank, shape, tours, vehicle_day
+from mobspark.operators import asof, compare, joins, moments, nearest, rank, shape, skim_tiles, tours, vehicle_day
 
 
 def rows(df, *sort):
@@ -327,3 +327,24 @@ def test_moments_merge_in_any_steps(spark, frame):
     exact = math.sqrt(sum((x - 1e9 - mean) ** 2 for x in far) / (len(far) - 1))
     assert got["a", "far"].StdDev == pytest.approx(exact, rel=1e-3)  # squares of the values have lost all of it
     assert moments.merge_states(states.limit(0), ["k"]).collect() == []
+
+
+@pytest.mark.parametrize("side", [1, 4, 16])
+def test_tiled_look_up_equals_the_join(spark, frame, side):
+    rnd = random.Random(side)
+    zones = [*range(-3, 20), 1000, 10**12]
+    pairs = [(o, d) for o in zones for d in zones if rnd.random() < 0.9 or (0 <= o < 16 and 0 <= d < 16)]
+    skim = frame("folder string, period int, origin_zone bigint, destination_zone bigint, time_min double, dist_m double",
+                 *[(f, p, o, d, rnd.choice([None, rnd.random()]), rnd.random()) for f in "ab" for p in (360, 600) for o, d in pairs], ("a", 600, None, 1, 1.0, 1.0))
+    requests = frame("folder string, id bigint, request_time double, origin_zone bigint, destination_zone bigint",
+                     *[(rnd.choice("abc"), i, rnd.choice([None, 3600.0 * rnd.randrange(14)]), rnd.choice([None, 77, *zones]), rnd.choice([None, -9, *zones])) for i in range(800)])
+    tiles = skim_tiles.tile_skim(skim, side)
+    got = skim_tiles.tiled_lookup(requests, tiles, side=side)
+    want = asof.skim_lookup(requests, skim)
+    assert got.columns == [*requests.columns, "skim_period", "skim_time", "skim_dist"]
+    assert rows(got) == rows(want.select(*got.columns))
+    last = skim_tiles.tiled_lookup(requests, tiles, "last", side=side)
+    assert rows(last) == rows(asof.skim_lookup(requests, skim, "last").select(*last.columns))
+    full = {r.full for r in tiles.collect()}
+    assert full == ({True} if side == 1 else {True, False}) and tiles.count() <= skim.count() / (side if side > 1 else 1)
+    assert skim_tiles.tile_skim(skim.limit(0)).count() == 0
