@@ -34,9 +34,14 @@ from mobspark.llm import common
 LENGTH = 100
 GRAM = 32
 COVER = 32
-#: Bytes of text that a worker hashes at once, and bytes of runs that are sorted as one block.
+#: Longest ``length`` that the content hash of runs covers.
+LONGEST = 3 * GRAM + GRAM // 2
+#: Bytes of text that a worker hashes at once.
 CHUNK = 1 << 20
-BLOCK = 3 << 20
+#: Working memory of a block of runs that is sorted at once, and how much of it a byte of a run's slot takes: the byte, its
+#: rank, the cover sample's words, orders and ranks, and the keys of the windows.
+BLOCK = 96 << 20
+WORK_PER_BYTE = 52
 #: Runs of one bucket beyond which its windows are dealt out.
 HOT_RUNS = 5000
 
@@ -185,12 +190,17 @@ _COVER = difference_cover(COVER)
 _STEPS = common_steps(_COVER, COVER)
 
 
+def slot_bytes(longest: int) -> int:
+    """Room for a run of ``longest`` bytes in a block."""
+    return (longest + 4 * COVER) // COVER * COVER
+
+
 def repeated_windows(bucket: np.ndarray, doc: np.ndarray, place: np.ndarray, more: np.ndarray, off: np.ndarray, raw: list[bytes],
                      length: int) -> Iterator[tuple[int, int, int]]:
     """(doc, begin, end) of the bytes of runs whose windows also start in an earlier run of the block."""
     longest = max(map(len, raw))
     # each run stands so that its anchor falls on a multiple of COVER: windows that can be equal have equal residues
-    slot = (longest + 4 * COVER) // COVER * COVER
+    slot = slot_bytes(longest)
     home = np.arange(len(raw)) * slot + (2 * COVER + length) // COVER * COVER
     data = np.zeros(int(home[-1]) + slot + 2 * longest + 8 * COVER, np.uint8)
     start = home - off
@@ -354,20 +364,21 @@ def plain_spans(edges: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        # a run has at most 2 * length - GRAM bytes, a bucket at most HOT_RUNS runs
+        most = max(1, BLOCK // (WORK_PER_BYTE * slot_bytes(2 * length - GRAM)))
         size = 0
         for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                part = batch.slice(a, 2000)
-                held.append(part)
-                size += part.column("raw").nbytes
-                if size >= BLOCK:
+            for a in range(0, batch.num_rows, 1000):
+                held.append(batch.slice(a, 1000))
+                size += len(held[-1])
+                if size >= most:
                     table = pa.Table.from_batches(held).combine_chunks()
                     key = table.column("bucket").to_numpy()
                     cut = int(np.argmax(key == key[-1]))
                     if cut:
                         yield from spans(table.slice(0, cut))
                         held = table.slice(cut).to_batches()
-                        size = sum(b.column("raw").nbytes for b in held)
+                        size = sum(map(len, held))
         if held:
             yield from spans(pa.Table.from_batches(held).combine_chunks())
 
@@ -419,8 +430,9 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept): the stretches [begin, end) that go and the bytes that stay, for each row."""
-    if not 2 * GRAM <= length <= 3 * GRAM + GRAM:
-        raise ValueError(f"length has to be from {2 * GRAM} to {4 * GRAM}")
+    # the content hash covers three stretches of 2 * GRAM bytes of a run, which has 2 * length - GRAM bytes at most
+    if not 2 * GRAM <= length <= LONGEST:
+        raise ValueError(f"length has to be from {2 * GRAM} to {LONGEST}")
     common.ship_package(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
