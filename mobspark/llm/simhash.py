@@ -23,7 +23,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mobspark.llm import common
@@ -67,17 +67,20 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     return int(set_[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
+                 text_hash: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long; and the text's ``text_hash`` if asked for."""
     common.ship_package(docs.sparkSession)
+    also = [F.xxhash64("text").alias("text_hash")] if text_hash else []
+    kind = "doc_id long, fp long" + ", text_hash long" * text_hash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.array([fingerprint(t.as_py(), shingle_words) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(values), *batch.columns[2:]], names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).select("*", *also).mapInArrow(run, kind)
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -347,10 +350,25 @@ def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that are the first of their component (smallest doc_id; of rows that repeat it, one).
+    """One document of each component: the one with the smallest doc_id; of rows that repeat it, the one with the smallest
+    hash of its text.
 
-    Rows without a doc_id cannot be named as members of a component and stay.
+    So rows of different texts that share an id, and belong to different components, all have a say in their own one.
+    Rows that are equal in both count as one document, and of those the one stays whose columns come first as JSON. Rows
+    without a doc_id cannot be named as members of a component and stay.
     """
-    first = near_duplicates(docs.where("doc_id IS NOT NULL")).select(F.col("component_id").alias("doc_id")).distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    known = docs.where("doc_id IS NOT NULL")
+    own = common.written(fingerprints(known, text_hash=True), "simhash")
+    joined = common.connected_components(links(own.select("fp").distinct(), MAX_DISTANCE)).withColumnRenamed("node", "fp")
+    named = own.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    first = named.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("first")).select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    first = common.written(first.distinct(), "simhash-kept")
+    # the row travels in one column, so that its names can't clash with those used here
+    rows = known.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"), F.struct(*docs.columns).alias("row"))
+    same = (F.col("own_id") == F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash"))
+    kept = rows.join(common.broadcast_if_small(first, 32), same, "left_semi")
+    if own.groupBy("doc_id", "text_hash").count().where("count > 1").head(1):
+        place = F.row_number().over(Window.partitionBy("own_id", "own_hash").orderBy(F.to_json("row")))
+        kept = kept.withColumn("place", place).where("place = 1")
+    return kept.select("row.*").unionByName(docs.where("doc_id IS NULL"))

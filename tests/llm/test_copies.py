@@ -282,3 +282,36 @@ def test_fingerprints_and_odd_documents(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == df.columns and ids.count(3) == 1 and None in ids and not {1, 2, 4, 11} & set(ids)
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_groups_whose_rows_share_an_id_keep_a_row_each(spark):
+    one, two = "first words that make one group of copies here", "quite other words for the second group of rows"
+    rows = [(3, one, "a"), (3, two, "b"), (4, one, "c"), (5, two, "d"), (3, one, "e"), (3, one, "A"), (None, one, "n"), (9, None, "z"), (9, "", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, place string")
+    for parts in (1, 3):
+        got = sorted((r.doc_id or 0, r.text or "", r.place) for r in simhash.keep_first(df.repartition(parts)).collect())
+        blank = [r for r in got if not r[1]]
+        assert [r for r in got if r[1]] == [(0, one, "n"), (3, one, "A"), (3, two, "b")] and len(blank) == 1 and blank[0][0] == 9
+    assert simhash.keep_first(df.limit(0)).columns == df.columns
+
+
+def test_length_of_passages_is_bounded_by_what_the_content_hash_covers(spark):
+    rng = np.random.default_rng(6)
+    length, size = suffixes.LONGEST, 2 * suffixes.LONGEST - suffixes.GRAM
+    raw = rng.integers(97, 123, size).astype(np.uint8)
+
+    def content(data):
+        valid = np.ones(len(data) - length + 1, bool)
+        return {(int(b), int(m)): int(c) for b, m, _, _, c in zip(*suffixes.window_runs(data, valid, length), strict=True)}
+
+    before = content(raw)
+    for k in range(size):
+        changed = raw.copy()
+        changed[k] ^= 1
+        for (begin, more), c in content(changed).items():
+            if (begin, more) in before and begin <= k < begin + more + length:
+                assert c != before[begin, more]
+    df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    assert suffixes.remove_repeats(df, length=length).count() == 1
+    with pytest.raises(ValueError):
+        suffixes.remove_repeats(df, length=length + 1)
