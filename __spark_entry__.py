@@ -196,6 +196,7 @@ _QUERIES: dict[str, Callable[[_Run], DataFrame]] = {
     "repositioning_interval": lambda r: scenario.repositioning_interval(r.t["model_files"]),
     "config_audit": lambda r: scenario.config_audit(
         r.t["model_files"], ["Operator_1", "Fleet_Base", "Operator_1_TNC_FLEET_SIZE"], scenario.FLEET_FILES),
+    "config_differences": lambda r: scenario.config_differences(r.t["model_files"]),
     "skim_periods": lambda r: asof.skim_periods(r.t["skim"]).select(
         "folder", F.posexplode("periods").alias("position", "period")),
     "mode_names": lambda r: modes.trips_by_mode_name(r.t),

@@ -100,6 +100,12 @@ R["config_audit"] = """
 SELECT case_name, file_name, 'Operator_1_TNC_FLEET_SIZE' AS key,
  json_extract_string(content, '$.Operator_1.Fleet_Base.Operator_1_TNC_FLEET_SIZE') AS value
 FROM model_files WHERE file_name = 'SAEVFleetModel_optimization.json'"""
+R["config_differences"] = """
+WITH leaves AS (SELECT m.file_name, t.fullkey AS path, t.atom ->> '$' AS value FROM model_files m, json_tree(m.content) t WHERE t.type NOT IN ('OBJECT', 'ARRAY')),
+ v AS (SELECT file_name, path, value, count(*) AS n FROM leaves GROUP BY ALL),
+ p AS (SELECT file_name, path, sum(n)::BIGINT AS n_cases, count(*) AS n_values, min(value) AS first_value, max(value) AS last_value FROM v GROUP BY ALL)
+SELECT p.file_name, path, n_cases, n_files - n_cases AS n_missing, n_values, first_value, last_value
+FROM p JOIN (SELECT file_name, count(*) AS n_files FROM model_files GROUP BY 1) f ON p.file_name = f.file_name WHERE n_values > 1 OR n_files > n_cases"""
 R["skim_periods"] = """
 SELECT folder, CAST(row_number() OVER (PARTITION BY folder ORDER BY period) - 1 AS INTEGER) AS position, period
 FROM (SELECT DISTINCT folder, period FROM skim)"""

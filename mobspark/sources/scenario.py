@@ -139,3 +139,48 @@ def config_audit(files: DataFrame, path: Sequence[str], file_names: Sequence[str
     """One JSON path's value for every case and file; a missing key is a NULL row."""
     chosen = files if file_names is None else files.where(F.col("file_name").isin(*file_names))
     return chosen.select("case_name", "file_name", F.lit(path[-1]).alias("key"), json_value("content", path).alias("value"))
+
+
+MAX_DEPTH = 12
+
+
+def json_leaves(files: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
+    """(case_name, file_name, path, value): every leaf of the files' JSON as text, and empty objects and lists.
+
+    Levels are opened one by one without a shuffle. What lies deeper than ``depth`` is a leaf as JSON text, so nothing is
+    lost. JSON null is NULL; a file that is no JSON is one leaf. Of keys that repeat in an object the last counts.
+    """
+    value, path = F.col("value"), F.col("path")
+    rows = files.select("case_name", "file_name", F.lit("$").alias("path"), F.trim("content").alias("value"))
+
+    def inner(e: Column) -> Column:
+        plain = e["key"].rlike("^[A-Za-z_][A-Za-z0-9_]*$")
+        key = F.when(plain, e["key"]).otherwise(F.concat(F.lit('"'), F.replace(e["key"], F.lit('"'), F.lit('\\"')), F.lit('"')))
+        return F.struct(F.concat(path, F.lit("."), key).alias("path"), e["value"].alias("value"))
+
+    own = F.array(F.struct(path.alias("path"), value.alias("value")))
+    entries, items = F.map_entries(F.from_json(value, "map<string,string>")), F.from_json(value, "array<string>")
+    kids = (
+        F.when(value.startswith("{") & (F.size(entries) > 0), F.transform(entries, inner))
+        .when(value.startswith("[") & (F.size(items) > 0), F.transform(
+            items, lambda x, i: F.struct(F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("value"))))
+        .otherwise(own)
+    )
+    for _ in range(depth):
+        rows = rows.select("case_name", "file_name", F.explode(kids).alias("kid")).select("case_name", "file_name", "kid.path", "kid.value")
+    return rows
+
+
+def config_differences(files: DataFrame, file_names: Sequence[str] | None = None, depth: int = MAX_DEPTH) -> DataFrame:
+    """All paths in which the cases that have a file differ: file_name, path, n_cases with the path, n_missing without it, n_values
+    (different ones, JSON null among them), and the first and last value as text.
+
+    Values are counted per path and value first, so a path that all cases share is one row by the time it is compared.
+    """
+    chosen = files if file_names is None else files.where(F.col("file_name").isin(*file_names))
+    cases = chosen.groupBy("file_name").agg(F.count(F.lit(1)).alias("n_files"))
+    values = json_leaves(chosen, depth).groupBy("file_name", "path", "value").agg(F.count(F.lit(1)).alias("n"))
+    paths = values.groupBy("file_name", "path").agg(
+        F.sum("n").alias("n_cases"), F.count(F.lit(1)).alias("n_values"), F.min("value").alias("first_value"), F.max("value").alias("last_value"))
+    return paths.join(cases, "file_name").withColumn("n_missing", F.col("n_files") - F.col("n_cases")).where(
+        "n_values > 1 OR n_missing > 0").select("file_name", "path", "n_cases", "n_missing", "n_values", "first_value", "last_value")

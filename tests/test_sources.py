@@ -300,3 +300,19 @@ def test_tables_of_the_newest_finished_iterations(spark, frame, tmp_path, fmt):
             again.select("v").collect()
     with pytest.raises(FileNotFoundError):
         catalog.read_iteration_tables(spark, str(tmp_path), ["nowhere"], newest, fmt=fmt)
+
+
+def test_paths_in_which_cases_differ(spark, frame):
+    files = frame(
+        "case_name string, file_name string, content string",
+        ("a", "x.json", '{"same": 1, "num": 0.50, "a b": {"list": [1, {"k": "t"}, []], "gone": null}, "text": "{not json"}'),
+        ("b", "x.json", '  {"same": 1, "num": 0.5, "a b": {"list": [1, {"k": "u"}], "gone": 3}, "text": "{not json", "\\"q": {}}'),
+        ("a", "y.json", "no json"), ("b", "y.json", "no json"), ("c", "z.json", None))
+    got = {(r.file_name, r.path): (r.n_cases, r.n_missing, r.n_values, r.first_value, r.last_value) for r in scenario.config_differences(files).collect()}
+    assert ("x.json", "$.num") not in got  # one number, written in two ways
+    assert got == {
+        ("x.json", '$."a b".list[1].k'): (2, 0, 2, "t", "u"), ("x.json", '$."a b".list[2]'): (1, 1, 1, "[]", "[]"),
+        ("x.json", '$."a b".gone'): (2, 0, 2, "3", "3"), ("x.json", '$."\\"q"'): (1, 1, 1, "{}", "{}")}
+    shallow = scenario.config_differences(files, ["x.json"], depth=1).collect()
+    assert '$."a b"' in {r.path for r in shallow}
+    assert scenario.config_differences(files.limit(0)).collect() == []
