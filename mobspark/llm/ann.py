@@ -5,14 +5,16 @@ cell is the pair of its halves' centroids; every vector is indexed, under its ce
 of their summed distance, with a heap over the two sorted lists, until the cells it met hold the wanted share of all
 vectors, and the vectors of those cells are ranked by their exact inner products.
 
-For nearness by inner product the distance of a query half to a centroid is taken as minus their inner product, by
-which the pairs that promise the largest sums come first.
+Distances are squared Euclidean ones, so their sum is the distance of the query to the joined centroids. For vectors of unit
+length, as embeddings are, the nearest by distance have the largest inner products. For vectors of very different lengths
+the walk can go by the summed inner products instead (``by_distance=False``).
 
 Cells are dealt out by the first centroid and cut into blocks; a task ranks one block of vectors for one block of
 queries and passes on the best of each query. Copies of a vector stand for it by their smallest ids only, which is all
 that a result can hold, and equal queries are searched once.
 
-Null, zero and non-finite vectors take no part. Rows that repeat a vec_id count once, with the
+Null, zero and non-finite vectors take no part, nor do pairs whose inner product overflows. Vectors of one component or of
+several widths raise ValueError. Rows that repeat a vec_id count once, with the
 smallest of their vectors.
 """
 
@@ -31,10 +33,10 @@ from mobspark.llm import common, vectors
 K = 20
 #: Vectors that the centroids are fitted on, centroids of each half, rounds of k-means.
 SAMPLE = 20_000
-CENTROIDS = 32
+CENTROIDS = 64
 ROUNDS = 12
 #: Share of all vectors whose cells a query visits, and vectors that it visits at least.
-SHARE = 0.6
+SHARE = 0.5
 LEAST = 2000
 
 
@@ -72,9 +74,11 @@ class Codebooks:
     def cells(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return nearest(rows[:, :self.split], self.first), nearest(rows[:, self.split:], self.second)
 
-    def walk(self, query: np.ndarray) -> Iterator[tuple[int, int]]:
-        """Pairs of centroids in the order of summed distance."""
+    def walk(self, query: np.ndarray, by_distance: bool = False) -> Iterator[tuple[int, int]]:
+        """Pairs of centroids in the order of summed distance, or of summed inner products, largest first."""
         a, b = -(self.first @ query[:self.split]), -(self.second @ query[self.split:])
+        if by_distance:  # but for the query's own square, which all pairs share
+            a, b = 2 * a + (self.first**2).sum(axis=1), 2 * b + (self.second**2).sum(axis=1)
         i_of, j_of = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
         heap, seen = [(a[i_of[0]] + b[j_of[0]], 0, 0)], {(0, 0)}
         while heap:
@@ -108,7 +112,8 @@ def indexed(rows: DataFrame, books: Codebooks, components: int) -> DataFrame:
     return rows.select("vec_id", "v").mapInArrow(run, "vec_id long, v array<double>, c1 int, c2 int")
 
 
-def routes(queries: DataFrame, books: Codebooks, counts: dict[tuple[int, int], int], components: int, share: float, least: int) -> DataFrame:
+def routes(queries: DataFrame, books: Codebooks, counts: dict[tuple[int, int], int], components: int, share: float, least: int,
+           by_distance: bool) -> DataFrame:
     """(qkey, v, c1, c2s): the cells that a query visits, by their first centroid."""
     shared = queries.sparkSession.sparkContext.broadcast((books, counts))  # counts: CENTROIDS squared numbers
     wanted = max(least, share * sum(counts.values()))
@@ -120,7 +125,7 @@ def routes(queries: DataFrame, books: Codebooks, counts: dict[tuple[int, int], i
             at, firsts, seconds = [], [], []
             for q, row in enumerate(rows):
                 met, cells = 0, {}
-                for c1, c2 in books.walk(row):
+                for c1, c2 in books.walk(row, by_distance):
                     if n := counts.get((c1, c2), 0):
                         cells.setdefault(c1, []).append(c2)
                         met += n
@@ -134,10 +139,13 @@ def routes(queries: DataFrame, books: Codebooks, counts: dict[tuple[int, int], i
                 pa.array(seconds, pa.list_(pa.int32())),
             ], names=["qkey", "v", "c1", "c2s"])
 
-    return queries.select("qkey", "v").mapInArrow(run, "qkey long, v array<double>, c1 int, c2s array<int>")
+    # a walk is much work for a row of few bytes: keep the configured parallelism
+    partitions = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return queries.select("qkey", "v").repartition(partitions, "qkey").mapInArrow(run, "qkey long, v array<double>, c1 int, c2s array<int>")
 
 
-def search(df: DataFrame, k: int = K, share: float = SHARE, least: int = LEAST, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+def search(df: DataFrame, k: int = K, share: float = SHARE, least: int = LEAST, vec_id: str = "vec_id", vector: str = "embedding",
+           by_distance: bool = True) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k nearest that were found for every query."""
     spark = df.sparkSession
     common.ship_package(spark)
@@ -159,7 +167,7 @@ def search(df: DataFrame, k: int = K, share: float = SHARE, least: int = LEAST,
     blocks = F.lit(1)
     for c1, m in first.items():
         blocks = F.when(F.col("c1") == c1, vectors.block_count(m, vectors.VECTOR_BLOCK)).otherwise(blocks)
-    probes = routes(vectors.distinct_queries(queries), books, counts, components, share, least)
+    probes = routes(vectors.distinct_queries(queries), books, counts, components, share, least, by_distance)
     query_blocks = vectors.block_count(n // vectors.QUERY_STEP, vectors.QUERY_BLOCK)
     left = index.withColumn("vb", F.pmod(F.xxhash64("vec_id"), blocks).cast("int")).withColumn("qb", vectors.every_block(query_blocks))
     right = probes.withColumn("qb", vectors.block_of("qkey", query_blocks)).withColumn(
@@ -174,10 +182,16 @@ def search(df: DataFrame, k: int = K, share: float = SHARE, least: int = LEAST,
         lists = asked.column("c2s").combine_chunks()
         at, to = np.repeat(np.arange(len(q)), np.asarray(lists.value_lengths())), np.asarray(lists.flatten())
         visited[at[to < visited.shape[1]], to[to < visited.shape[1]]] = True
-        scores = np.where(visited[:, cell], q @ rows.T, -np.inf)
-        r, c = vectors.best_of(ids, scores, k + 1)
-        # the measure itself, component by component in order, as a later reader would compute it
-        exact = np.einsum("ij,ij->i", q[r], rows[c])
+        with np.errstate(over="ignore", invalid="ignore"):
+            scores = q @ rows.T
+            scores = np.where(visited[:, cell] & np.isfinite(scores), scores, -np.inf)
+            # what rounding may have put below the k + 1 best goes on, too; ranks are given by the measure itself
+            cut = np.partition(scores, -k - 1, axis=1)[:, -k - 1] if scores.shape[1] > k + 1 else np.full(len(q), -np.inf)
+            margin = 1e-14 * components * np.sqrt((q**2).sum(axis=1)) * np.sqrt((rows**2).sum(axis=1).max())
+            r, c = np.nonzero((scores > -np.inf) & (scores >= (cut - np.nan_to_num(margin, posinf=0.0))[:, None]))
+            # component by component in order, as a later reader would compute it
+            exact = np.einsum("ij,ij->i", q[r], rows[c])
+        r, c, exact = r[np.isfinite(exact)], c[np.isfinite(exact)], exact[np.isfinite(exact)]
         return pa.table({"qkey": asked.column("qkey").to_numpy()[r], "vec_id": ids[c], "score": exact})
 
     none = pa.table({"qkey": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
