@@ -20,7 +20,7 @@ from __future__ import annotations
 import io
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -33,8 +33,11 @@ from pyspark.sql import functions as F
 from mobspark.llm import common
 from mobspark.llm.bpe import WordEncoder, byte_characters, default_tokenizer, groups, vocabulary
 
-#: Ids in a shard, after which the next document opens a new one.
-SHARD_IDS = 8_000_000
+#: Ids in a shard, after which the next document opens a new one. The manifest has a row for each shard: some 400,000 for
+#: 100 TB of text.
+SHARD_IDS = 64_000_000
+#: Ids that a task reads back.
+READ_IDS = 16_000_000
 END_ID = 0
 MAGIC = b"MPHIDX01"
 GAMMA = 2.0
@@ -42,29 +45,55 @@ GAMMA = 2.0
 MANIFEST = "partition int, shard int, path string, width int, first_null boolean, first_id long, documents long, ids long"
 
 
+class _Remembered(dict):
+    """Ids by word; a word that isn't there yet is encoded when it is asked for."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.make(word)
+        return ids
+
+
 class LibraryEncoder(WordEncoder):
     """Words that are not remembered go to the BPE model of the tokenizers library, in the characters that stand for
     their bytes."""
 
-    remembered = 800_000
+    remembered = 600_000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special: tuple[tuple[str, int], ...] | None = None):
+        """``special``: the added tokens and their ids, if they are known, so that the file is read by the library alone."""
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path).model
         self.shown = dict(enumerate(byte_characters()))
-        super().__init__(vocabulary(path).special)
+        self.blank = self.shown[0x20]
+        super().__init__(vocabulary(path).special if special is None else dict(special))
+
+    def encode_word(self, word: str) -> bytes:
+        if word.isascii() and word.isprintable():  # all but the blank stand for themselves
+            shown = word.replace(" ", self.blank)
+        else:
+            shown = word.encode("utf-8", "replace").decode("latin-1").translate(self.shown)
+        tokens = self.model.tokenize(shown)
+        return array("i", [t.id for t in tokens]).tobytes()
 
     def encode_words(self, words: list[str]) -> Iterator[bytes]:
-        tokenize, shown = self.model.tokenize, self.shown
-        for w in words:
-            tokens = tokenize(w.encode("utf-8", "replace").decode("latin-1").translate(shown))
-            yield array("i", [t.id for t in tokens]).tobytes()
+        return map(self.encode_word, words)
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        if not self.memory or len(self.memory) > self.remembered:
+            self.memory = _Remembered(self.encode_word)
+            self.memory.update(self.special)
+        get = self.memory.__getitem__
+        return [b"".join(map(get, self.words(t))) if t else b"" for t in texts]
 
 
 @lru_cache(maxsize=2)
-def library_encoder(path: str) -> LibraryEncoder:
-    return LibraryEncoder(path)
+def library_encoder(path: str, special: tuple[tuple[str, int], ...] | None = None) -> LibraryEncoder:
+    return LibraryEncoder(path, special)
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -215,6 +244,7 @@ def write_shards(
     common.ship_package(spark)
     path = tokenizer or default_tokenizer()
     width = 2 if vocabulary(path).size <= 1 << 16 and end_id < 1 << 16 else 4
+    special = tuple(vocabulary(path).special.items())
     files, root = _open(folder)
     files.create_dir(root, recursive=True)
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -222,11 +252,12 @@ def write_shards(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        encoder, writer, made = library_encoder(path), None, []
+        encoder, writer, made = library_encoder(path, special), None, []
         last, nth = None, 0
         end = np.array([end_id], np.int32)
-        for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        # texts of a slice only at a time, so that a batch of long documents stays small
+        for part in (batch.slice(a, 512) for batch in batches for a in range(0, len(batch), 512)):
+            docs, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
             for a, b in groups(texts):
                 for doc, raw in zip(docs[a:b], encoder.encode(texts[a:b]), strict=True):
                     again = last is not None and last[0] == doc
@@ -315,7 +346,9 @@ def read_by_key(manifest: DataFrame, keys: DataFrame, key: str = "doc_id") -> Da
     if not shards:
         return spark.createDataFrame([], "doc_id long, nth long, start long, n_tokens long, ids binary")
     routed = numbered.mapInArrow(route, "at int, doc_id long, count long")
-    dealt = routed.repartitionByRange(F.col("at"), F.col("doc_id")).sortWithinPartitions("at", "doc_id")
+    # keys are few bytes, the payloads that they stand for are not
+    tasks = max(1, -(-int(before[-1]) // READ_IDS))
+    dealt = routed.repartitionByRange(tasks, F.col("at"), F.col("doc_id")).sortWithinPartitions("at", "doc_id")
     return dealt.mapInArrow(read, "doc_id long, nth long, start long, n_tokens long, ids binary")
 
 
