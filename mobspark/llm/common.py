@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import io
 import os
 import shutil
@@ -97,6 +98,17 @@ def drop_written(df: DataFrame | None) -> None:
         delete_folder(df.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so whenever the driver's memory is collected, which a driver with little to do may not do for half an hour; to
+    be called after a large plan's result was written. The first round lets go of the plans, the second of their shuffles.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, most_mb: int, source: DataFrame | None = None) -> DataFrame:
     """Hint to broadcast a table if the files of ``source`` (by default itself), a written table that it is a projection
     of, are checked to hold at most ``most_mb``; beyond it Spark shuffles."""
