@@ -79,6 +79,7 @@ def mode_combo(bus: DataFrame, ridehail: DataFrame, distribution: DataFrame, mea
 
     ``measure`` is ``dist`` (miles) or ``cnt`` (trips). Rail and bus are whole numbers.
     """
+    # fixed values: the published column names
     noun = {"dist": "Distance", "cnt": "Trips"}[measure]
     vehicular = {"dist": "Vehicular Mileage", "cnt": "Vehicular Trips"}[measure]
     occupancy = {"dist": "mileage_avo", "cnt": "trip_avo"}[measure]
@@ -122,6 +123,7 @@ def mode_combo_shift(
 
     ``combo`` carries the case columns. ``treatment=None`` compares every non-baseline strategy.
     """
+    # fixed values: the published column names
     noun = {"dist": "Distance", "cnt": "Trips"}[measure]
     vehicular = {"dist": "Vehicular Mileage", "cnt": "Vehicular Trips"}[measure]
     trip_word = {"dist": "Mileage", "cnt": "Trip"}[measure]
