@@ -10,7 +10,9 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -98,6 +100,18 @@ def drop_written(df: DataFrame | None) -> None:
         delete_folder(df.sparkSession, path)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, which hands back the memory that it no longer uses when a task ends: Spark keeps its Python workers for the
+    tasks of later stages, and what their allocators hold on to counts for the executor."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+    return wrapped
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more.
 
