@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from mobspark.functions import exprs, naming, stats  # noqa: E402
-from mobspark.operators import asof, compare, moments, nearest, shape, skim_tiles, tours  # noqa: E402
+from mobspark.operators import asof, compare, joins, moments, nearest, shape, skim_tiles, tours  # noqa: E402
 from mobspark.plans import demographics as demo  # noqa: E402
 from mobspark.plans import finance, modes, repair, repositioning, ridehail, significance, transit  # noqa: E402
 from mobspark.sources import catalog, scenario  # noqa: E402
@@ -72,7 +72,7 @@ class _Run:
 def _nearest_stop(r: _Run) -> DataFrame:
     places = r.t["location"]
     hits = nearest.nearest_stop(places, r.t["transit_stops"])
-    return places.join(hits, ["folder", "x", "y"]).select("folder", "location", "stop_id", "distance")
+    return joins.join_by_shuffle(places, hits, ["folder", "x", "y"]).select("folder", "location", "stop_id", "distance")
 
 
 def _skim_lookup(r: _Run) -> DataFrame:

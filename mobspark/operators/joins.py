@@ -8,20 +8,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def join_by_shuffle(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join with a table that grows with the data: both sides are dealt out by key and sorted, neither is broadcast.
+
+    The planner broadcasts a table whose estimate is small, and estimates from the size of files: packed, before rows are
+    multiplied by ``explode``, and for columns read in part only. A table of some MB there can be a GB of rows in the driver and
+    in every executor. Sorted partitions spill, and the adaptive execution still splits skewed ones.
+    """
+    return left.join(right.hint("merge"), list(on), how)
+
 
 def left_join_spreading_nulls(left: DataFrame, right: DataFrame, left_key: str, right_key: str, row_id: str) -> DataFrame:
     """Left join on (folder, key) that spreads left rows without a key over many partitions.
 
     A NULL key never matches but would hash every such row of a case to one task. The salt is 0
     for real keys on both sides, so matches are unchanged; NULL rows get a salt from ``row_id``.
-    Dominant real keys are left to the adaptive skew join, which splits the left side.
+    Dominant real keys are left to the adaptive skew join, which splits the left side. Neither side is broadcast.
     """
     spread = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salt = F.when(F.col(left_key).isNull(), F.pmod(F.xxhash64(row_id), F.lit(spread))).otherwise(F.lit(0)).cast("int")
     # pmod(.., 1) is always 0 but is not folded, so the salt stays part of the shuffle key
     salted_right = right.withColumnRenamed(right_key, "_key").withColumn("_salt", F.pmod(F.hash("_key"), F.lit(1)))
     salted_left = left.withColumn("_key", F.col(left_key)).withColumn("_salt", salt)
-    return salted_left.join(salted_right, ["folder", "_key", "_salt"], "left").drop("_key", "_salt")
+    return join_by_shuffle(salted_left, salted_right, ["folder", "_key", "_salt"], "left").drop("_key", "_salt")
 
 
 def attach_case_rows(fact: DataFrame, case_rows: DataFrame, how: str = "left") -> DataFrame:

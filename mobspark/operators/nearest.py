@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mobspark.operators.joins import attach_case_rows
+from mobspark.operators.joins import attach_case_rows, join_by_shuffle
 from mobspark.operators.rank import add_parts
 
 COARSE = 16  # fine cells along each side of a coarse one; as many coarse ones along the side of a case
@@ -47,10 +47,10 @@ def nearest_stop(homes: DataFrame, stops: DataFrame) -> DataFrame:
     partitions = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     search = points.repartition(partitions, "x", "y").withColumn("best", F.lit(float("inf")))
     search = _nearer(attach_case_rows(search, _gathered(coarse, ["folder"], ["pcx", "pcy"]), "inner"), ["pcx", "pcy"])
-    search = _nearer(search.join(_gathered(boxes, ["folder", "pcx", "pcy"], ["cx", "cy"]), ["folder", "pcx", "pcy"]), ["cx", "cy"])
+    search = _nearer(join_by_shuffle(search, _gathered(boxes, ["folder", "pcx", "pcy"], ["cx", "cy"]), ["folder", "pcx", "pcy"]), ["cx", "cy"])
     hit = "array_min(transform(stops, s -> named_struct('d2', (x - s.sx) * (x - s.sx) + (y - s.sy) * (y - s.sy), 'stop_id', s.stop_id)))"
     return (
-        search.join(cells.select("folder", "cx", "cy", "stops"), ["folder", "cx", "cy"])
+        join_by_shuffle(search, cells.select("folder", "cx", "cy", "stops"), ["folder", "cx", "cy"])
         .select("folder", "x", "y", F.expr(hit).alias("hit"))
         .groupBy("folder", "x", "y")
         .agg(F.min("hit").alias("hit"))

@@ -11,7 +11,7 @@ from mobspark.functions.exprs import (
     METRES_PER_MILE, QUARTILES, WALK_LIMIT_MIN, WALK_MPH, age_class, age_class_activity, count_if, income_quartile, level,
     miles, named, ratio,
 )
-from mobspark.operators.joins import left_join_spreading_nulls
+from mobspark.operators.joins import join_by_shuffle, left_join_spreading_nulls
 from mobspark.operators.nearest import nearest_stop
 from mobspark.operators.shape import melt, pivot_expected
 from mobspark.plans.common import Tables, residents
@@ -34,9 +34,9 @@ def elder_demo(t: Tables) -> DataFrame:
     trips = t["trip"].where("has_artificial_trip = 0").select("folder", "trip_id", "person", "start_s", "end_s", "travel_distance")
     acts = t["activity"].select("folder", F.col("trip").alias("trip_id"), "mode", "type")
     people = residents(t).select("folder", "person", "age", "vehicles", "hh_id", "hh_income", "zone")
-    by_person = trips.join(acts, ["folder", "trip_id"], "left").groupBy("folder", "person", "mode", "type").agg(*named(
+    by_person = join_by_shuffle(trips, acts, ["folder", "trip_id"], "left").groupBy("folder", "person", "mode", "type").agg(*named(
         n="count(1)", n_trips="count(trip_id)", metres="sum(travel_distance)", seconds="sum(end_s - start_s)"))
-    return by_person.join(people, ["folder", "person"], "left").groupBy(
+    return join_by_shuffle(by_person, people, ["folder", "person"], "left").groupBy(
         "folder", "zone", "mode", "type", age_class("age").alias("age_class")).agg(
         F.sum(F.col("vehicles") * F.col("n")).alias("vehicles"), F.sum("n_trips").alias("trip_count"),
         F.coalesce(F.sum(F.when(F.col("hh_id").isNotNull(), F.col("n"))), F.lit(0)).alias("household_count"),
@@ -50,7 +50,7 @@ def activity_times(t: Tables) -> DataFrame:
     by_person = t["activity"].where("mode = 'NO_MOVE'").groupBy("folder", "person", "type").agg(F.sum("duration").alias("d"))
     people = residents(t).select("folder", "person", "age", "zone")
     return (
-        by_person.join(people, ["folder", "person"], "left")
+        join_by_shuffle(by_person, people, ["folder", "person"], "left")
         .groupBy("folder", F.col("type").alias("activity_type"), age_class_activity("age").alias("age_class"), "zone")
         .agg(F.sum("d").alias("activity_duration"))
     )
@@ -65,7 +65,7 @@ def household_rollup(t: Tables) -> DataFrame:
         t["household"].select("folder", "household", "location", "workers", "vehicles"),
         t["location"].select("folder", F.col("location").alias("loc"), "x", "y", "zone"), "location", "loc", "household",
     ).withColumn("hh_id", F.col("household"))
-    return members.join(homes, ["folder", "household"], "left").groupBy("folder", F.col("hh_id").alias("household"), "x", "y", "zone").agg(
+    return join_by_shuffle(members, homes, ["folder", "household"], "left").groupBy("folder", F.col("hh_id").alias("household"), "x", "y", "zone").agg(
         F.min("workers").alias("workers"), F.min("vehicles").alias("vehicles"), F.sum("over").alias("people_over_60"),
         F.sum("under").alias("people_under_60"), F.sum("inc").alias("income"),
     )
@@ -80,7 +80,7 @@ def closest_stops(t: Tables) -> DataFrame:
     hits = nearest_stop(homes, t["transit_stops"]).select("folder", "x", "y", "distance")
     minutes = miles("distance") / WALK_MPH * 60
     return (
-        homes.join(hits, ["folder", "x", "y"], "left")
+        join_by_shuffle(homes, hits, ["folder", "x", "y"], "left")
         .groupBy(
             "folder", F.when(minutes <= WALK_LIMIT_MIN, 1).otherwise(0).alias("walkable"), "vehicles",
             F.col("people_over_60").alias("over_60"), F.col("people_under_60").alias("under_60"), "zone",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import METRES_PER_MILE, MILES_PER_KM, age_class, level, named, ratio
-from mobspark.operators.joins import one_row_per_case
+from mobspark.operators.joins import join_by_shuffle, one_row_per_case
 from mobspark.plans.common import Tables, trips_by_request, unless_repo
 from mobspark.plans.ridehail import priced_requests
 
@@ -41,7 +41,7 @@ def demo_financial_case_data(t: Tables, params: DataFrame, mode: str = "first")
         F.coalesce(F.sum(dist * (VAN_PER_KM / MILES_PER_KM)), F.lit(0.0)).alias("van"),
         F.coalesce(F.sum(saev), F.lit(0.0)).alias("saev"), F.coalesce(F.sum("corrected fare"), F.lit(0.0)).alias("fare"),
     )
-    grouped = by_person.join(ages, ["folder", "person"], "left").groupBy(
+    grouped = join_by_shuffle(by_person, ages, ["folder", "person"], "left").groupBy(
         "folder", age_class("age").alias("age_class"), "origin_zone").agg(*[F.sum(c).alias(c) for c in sums])
     requests = t["tnc_request"].where("service_type <> 99").groupBy("folder").agg(F.count(F.lit(1)).alias("all_requests"))
     revenue = trips_by_request(t).groupBy("folder").agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mobspark.functions.exprs import METRES_PER_MILE, age_class, mode_name, purpose_flags, ratio, row_total
 from mobspark.operators.compare import shift, with_baseline
+from mobspark.operators.joins import join_by_shuffle
 from mobspark.operators.shape import pivot_expected
 from mobspark.plans.common import Tables, residents, times_multiplier
 
@@ -22,7 +23,7 @@ def _resident_trips(t: Tables) -> DataFrame:
     trips = t["trip"].where("end_s - start_s > 2").select(
         "folder", "person", "origin", "destination", "mode", "travel_distance", "has_artificial_trip"
     )
-    return trips.join(residents(t).where("hh_id IS NOT NULL"), ["folder", "person"])
+    return join_by_shuffle(trips, residents(t).where("hh_id IS NOT NULL"), ["folder", "person"])
 
 
 def _purposes() -> dict[str, Column]:

@@ -10,7 +10,7 @@ from mobspark.functions.exprs import (
     ratio, sum_if,
 )
 from mobspark.operators.asof import skim_lookup
-from mobspark.operators.joins import attach_case_rows, left_join_spreading_nulls, one_row_per_case
+from mobspark.operators.joins import attach_case_rows, join_by_shuffle, left_join_spreading_nulls, one_row_per_case
 from mobspark.operators.shape import describe_long
 from mobspark.operators.skim_tiles import tiled_lookup
 from mobspark.plans.common import Tables, optional, residents, times_multiplier, trips_by_request, unless_repo
@@ -128,7 +128,7 @@ def demographic_tnc_stats(t: Tables, params: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         *[F.sum(v).alias(f"s_{k}") for k, v in measures.items()], *[F.count(v).alias(f"n_{k}") for k, v in measures.items()],
     )
-    named = by_person.join(residents(t), ["folder", "person"], "left").select(
+    named = join_by_shuffle(by_person, residents(t), ["folder", "person"], "left").select(
         "folder", "n", "vehicles", *[f"{p}_{k}" for k in measures for p in ("s", "n")], *_demographic_columns()
     )
 

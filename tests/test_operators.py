@@ -348,3 +348,15 @@ def test_tiled_look_up_equals_the_join(spark, frame, side):
     full = {r.full for r in tiles.collect()}
     assert full == ({True} if side == 1 else {True, False}) and tiles.count() <= skim.count() / (side if side > 1 else 1)
     assert skim_tiles.tile_skim(skim.limit(0)).count() == 0
+
+
+def test_join_by_shuffle_broadcasts_neither_side(spark, frame, tmp_path):
+    left = frame("folder string, k bigint, a int", ("f", 1, 1), ("f", 1, 2), ("f", 2, 3), ("f", None, 4))
+    right = frame("folder string, k bigint, b int", ("f", 1, 10), ("f", 1, 11), ("f", None, 12), ("g", 2, 13))
+    right.write.parquet(f"{tmp_path}/right")
+    right = spark.read.parquet(f"{tmp_path}/right")  # files have a small estimate
+    assert "BroadcastExchange" in left.join(right, ["folder", "k"])._jdf.queryExecution().executedPlan().toString()
+    for how in ("inner", "left"):
+        got = joins.join_by_shuffle(left, right, ["folder", "k"], how)
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert rows(got) == rows(left.join(right, ["folder", "k"], how))

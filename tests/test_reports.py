@@ -371,3 +371,28 @@ def test_homes_without_a_stop_in_reach_stay_in_the_counts(tables):
     assert got == [("f", 0, 1, 5.0), ("f", 1, 1, 10.0), ("g", 0, 1, 20.0)]
     none = tables(**homes)
     assert {r.walkable for r in demographics.closest_stops(none).collect()} == {0}
+
+
+GROWING = {"person", "household", "trip_id", "_key", "x", "cx", "pcx"}  # keys of tables that grow with the data
+
+
+def broadcast_keys(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    joined = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    return {key.split("#")[0] for line in joined for key in line.split("[", 1)[1].split("]", 1)[0].split(", ")}
+
+
+def test_tables_that_grow_with_the_data_are_not_broadcast(spark, tables, params, tmp_path):
+    """However small their estimates are, as those of these files."""
+    for name, df in tables().items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    t, p = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in SCHEMAS}, params("f")
+    reports = {
+        "elder_demo": demographics.elder_demo(t), "activity_times": demographics.activity_times(t),
+        "household_rollup": demographics.household_rollup(t), "closest_stops": demographics.closest_stops(t),
+        "requests": ridehail.requests_report(t, p), "tnc_skim_demo": ridehail.tnc_skim_demo(t, p),
+        "vehicle_ownership": ridehail.vehicle_ownership_stats(t), "demographic_tnc_stats": ridehail.demographic_tnc_stats(t, p),
+        "distance": modes.mode_distribution_distance(t, p), "counts": modes.mode_distribution_counts(t, p),
+        "zones": modes.mode_distribution_zones(t, p), "finance": finance.demo_financial_case_data(t, p),
+    }
+    assert {name: keys for name, df in reports.items() if (keys := broadcast_keys(df) & GROWING)} == {}
