@@ -12,7 +12,9 @@ give, so each slice is a node with a local list of scores. For every query
    still reach the cutoff are scored exactly.
 
 A task handles one slice of a block of vectors for a block of queries, so lists are made where the vectors are and only
-entries travel. Copies of a vector stand for it by their smallest ids only, which is all that a result can hold, and
+entries travel. In phase 1 the blocks share the gathered places between them, so the lists of a query don't grow with the
+number of blocks. In phase 2 the entries of a block from all slices meet as lists in one task, which passes on the few that can
+still be in a result. Copies of a vector stand for it by their smallest ids only, which is all that a result can hold, and
 equal queries are searched once. All scores are whole numbers and exact.
 
 Null and non-finite vectors take no part (zero vectors do). Rows that repeat a vec_id count once, with
@@ -34,7 +36,12 @@ SLICES = 2
 #: Local scores that a slice gathers in phase 1; more give a better cutoff, and any number a right result.
 GATHER = 128
 
+#: Queries whose entries of a block of vectors meet in one task.
+MEETING_BLOCK = 512
+
 ENTRY = "qkey long, slice int, ids array<long>, scores array<long>, least long"
+SENT = f"{ENTRY}, vb int, tau long"
+MET = "qkey long, vec_id long, known long, told long, n_slices long"
 
 
 def whole(rows: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -58,6 +65,34 @@ def _list_rows(query: np.ndarray, keys: np.ndarray, ids: np.ndarray, scores: np.
     })
 
 
+def meet(sent: pa.Table, k: int, slices: int) -> pa.Table:
+    """The entries of a block of vectors by query and vector, summed over the slices: of vectors that all slices sent the
+    k + 1 best of each query, of the others those whose upper bound reaches the query's cutoff ``tau``."""
+    lists = sent.column("ids").combine_chunks()
+    each = np.asarray(lists.value_lengths())
+    ids, scores = np.asarray(lists.flatten()), np.asarray(sent.column("scores").combine_chunks().flatten())
+    qkey, told, tau = (np.repeat(sent.column(c).to_numpy(), each) for c in ("qkey", "least", "tau"))
+    order = np.lexsort((ids, qkey))
+    ids, scores, qkey, told, tau = ids[order], scores[order], qkey[order], told[order], tau[order]
+    first = np.flatnonzero(np.r_[True, (qkey[1:] != qkey[:-1]) | (ids[1:] != ids[:-1])][:len(ids)])
+    if len(first):
+        known, told, n = np.add.reduceat(scores, first), np.add.reduceat(told, first), np.diff(np.r_[first, len(ids)])
+    else:
+        known, told, n = scores, told, ids
+    qkey, ids, tau = qkey[first], ids[first], tau[first]
+    done = np.flatnonzero(n == slices)
+    done = done[np.lexsort((ids[done], -known[done], qkey[done]))]
+    nth = np.arange(len(done)) - np.searchsorted(qkey[done], qkey[done])
+    at = np.r_[done[nth <= k], np.flatnonzero((n < slices) & (upper_bound(known, told, n, tau, slices) >= tau))]
+    return pa.table({"qkey": qkey[at], "vec_id": ids[at], "known": known[at], "told": told[at], "n_slices": n[at]})
+
+
+def upper_bound(known, told, n_slices, tau, slices: int):
+    """The highest score of a vector that ``n_slices`` slices sent (arrays or columns): what is missing stays below the shares
+    of those slices, which are tau less the shares of the others."""
+    return known + tau - told - (slices - n_slices)
+
+
 def _products(own: pa.Table, asked: pa.Table, column: str) -> np.ndarray:
     """Local scores; exact in doubles as long as they stay below 2**53."""
     components = len(own.column(column)[0])
@@ -90,17 +125,19 @@ def search(df: DataFrame, k: int = K, scale: int = SCALE, slices: int = SLICES,
     of_block = asked.withColumn("qb", vectors.block_of("qkey", query_blocks))
     right = sliced(of_block, components, slices).withColumn("vb", vectors.every_block(blocks))
     keys = ["slice", "vb", "qb"]
+    local = min(gather, -(-2 * gather // blocks))  # twice its share of what is gathered, since blocks differ
     empty = pa.table({
         "qkey": pa.array([], pa.int64()), "slice": pa.array([], pa.int32()), "ids": pa.array([], pa.list_(pa.int64())),
         "scores": pa.array([], pa.list_(pa.int64())), "least": pa.array([], pa.int64()),
     })
+    no_entry = empty.append_column("vb", pa.array([], pa.int32())).append_column("tau", pa.array([], pa.int64()))
 
     # phase 1
     def local_best(own: pa.Table, asked: pa.Table) -> pa.Table:
         if not own.num_rows or not asked.num_rows:
             return empty
         s, ids = _products(own, asked, "part"), own.column("vec_id").to_numpy()
-        r, c = vectors.best_of(ids, s, gather)
+        r, c = vectors.best_of(ids, s, local)
         return _list_rows(r, asked.column("qkey").to_numpy(), ids[c], s[r, c].astype(np.int64), asked.column("slice").to_numpy(),
                           s.min(axis=1).astype(np.int64))
 
@@ -125,18 +162,18 @@ def search(df: DataFrame, k: int = K, scale: int = SCALE, slices: int = SLICES,
     # phase 2
     def sufficient(own: pa.Table, asked: pa.Table) -> pa.Table:
         if not own.num_rows or not asked.num_rows:
-            return empty
+            return no_entry
         s, ids = _products(own, asked, "part"), own.column("vec_id").to_numpy()
         share = asked.column("share").to_numpy()
         r, c = np.nonzero(s >= share[:, None])
-        return _list_rows(r, asked.column("qkey").to_numpy(), ids[c], s[r, c].astype(np.int64), asked.column("slice").to_numpy(), share)
+        found = _list_rows(r, asked.column("qkey").to_numpy(), ids[c], s[r, c].astype(np.int64), asked.column("slice").to_numpy(), share)
+        block = np.full(len(share), own.column("vb")[0].as_py(), np.int32)
+        return found.append_column("vb", pa.array(block)).append_column("tau", asked.column("tau"))
 
     told = right.join(cut, "qkey").withColumn("share", F.col("shares")[F.col("slice")]).drop("shares")
-    sent = left.groupBy(*keys).cogroup(told.groupBy(*keys)).applyInArrow(sufficient, ENTRY)
-    sent = common.written(sent.where(F.size("ids") > 0), "topk-sent")
-    met = sent.select("qkey", "slice", F.col("least").alias("share"), F.explode(F.arrays_zip("ids", "scores")).alias("x"))
-    met = met.groupBy("qkey", F.col("x.ids").alias("vec_id")).agg(
-        F.sum("x.scores").alias("known"), F.sum("share").alias("told"), F.count(F.lit(1)).alias("n_slices"))
+    sent = left.groupBy(*keys).cogroup(told.groupBy(*keys)).applyInArrow(sufficient, SENT).where(F.size("ids") > 0)
+    meeting = vectors.block_of("qkey", vectors.block_count(n // vectors.QUERY_STEP, MEETING_BLOCK))
+    met = sent.groupBy("vb", meeting.alias("mb")).applyInArrow(lambda entries: meet(entries, k, slices), MET)
     met = common.written(met, "topk-met")
     done = met.where(F.col("n_slices") == slices).select("qkey", "vec_id", F.col("known").alias("score"))
     better = done.withColumn("r", place).where(F.col("r") == k + 1).select("qkey", F.col("score").alias("higher"))
@@ -144,8 +181,7 @@ def search(df: DataFrame, k: int = K, scale: int = SCALE, slices: int = SLICES,
     # phase 3
     cutoff = cut.join(better, "qkey", "left").select("qkey", "tau", F.greatest("tau", "higher").alias("cutoff"))
     open_ = met.where(F.col("n_slices") < slices).join(cutoff, "qkey")
-    # what is missing stays below the shares of those slices, which are tau less the shares of the others
-    bound = F.col("known") + F.col("tau") - F.col("told") - (F.lit(slices) - F.col("n_slices"))
+    bound = upper_bound(F.col("known"), F.col("told"), F.col("n_slices"), F.col("tau"), slices)
     rest = _scored(open_.where(bound >= F.col("cutoff")).select("qkey", "vec_id"), rows, asked, blocks, query_blocks)
     return vectors.ranked(done.unionByName(rest), queries, k)
 

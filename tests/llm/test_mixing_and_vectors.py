@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from mobspark.llm import ann, mixing, registered, topk, vectors
+from mobspark.llm import ann, common, mixing, registered, topk, vectors
 
 
 def test_rates_reach_the_targets(spark):
@@ -84,6 +85,52 @@ def test_topk_against_brute_force(spark, monkeypatch, slices, gather, blocks):
     assert got == brute(ids, v, 5, True)
 
 
+def test_topk_passes_on_no_more_with_more_blocks(spark, monkeypatch):
+    sizes = {}
+
+    def written(df, kind, plain=common.written):
+        out = plain(df, kind)
+        if kind == "topk-gathered":
+            sizes[kind] = out.groupBy("qkey", "slice").agg(F.sum(F.size("ids")).alias("n")).agg(F.max("n")).first()[0]
+        elif kind == "topk-met":
+            sizes[kind] = out.where("n_slices = 2").groupBy("qkey").count().agg(F.max("count")).first()[0]
+        return out
+
+    monkeypatch.setattr(topk.common, "written", written)
+    monkeypatch.setattr(vectors, "VECTOR_BLOCK", 30)
+    df, rows = table(spark, 300)
+    found = topk.search(df, k=2, gather=30).count()
+    blocks = -(-(len(rows) + 1) // 30)
+    assert found == 2 * (len([r for r in rows if r[0] % 20 == 0]) + 1)  # and the zero vector
+    assert sizes["topk-gathered"] <= 2 * 30 + blocks and sizes["topk-met"] <= 3 * blocks
+
+
+def test_entries_of_a_block_meet_as_in_sql():
+    rng = np.random.default_rng(8)
+    k, slices = 3, 2
+    tau = {q: int(rng.integers(20, 60)) for q in range(5)}
+    share = {(q, s): tau[q] // 2 + (s and tau[q] % 2) for q in range(5) for s in range(2)}
+    sent = [(q, s, sorted(rng.choice(40, size=int(rng.integers(0, 30)), replace=False).tolist())) for q in range(5) for s in range(2)]
+    sent = [(q, s, ids, (share[q, s] + rng.integers(0, 9, size=len(ids))).tolist(), share[q, s], 0, tau[q]) for q, s, ids in sent]
+    names = ["qkey", "slice", "ids", "scores", "least", "vb", "tau"]
+    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.int64()]
+    table = pa.table([pa.array(c, kind) for c, kind in zip(zip(*sent, strict=True), kinds, strict=True)], names=names)
+    met = {}
+    for q, _, ids, scores, told, _, _ in sent:
+        for i, x in zip(ids, scores, strict=True):
+            old = met.get((q, i), (0, 0, 0))
+            met[q, i] = (old[0] + x, old[1] + told, old[2] + 1)
+    want = set()
+    for q in range(5):
+        done = sorted((-x, i) for (p, i), (x, _, n) in met.items() if p == q and n == slices)[:k + 1]
+        want |= {(q, i, *met[q, i]) for _, i in done}
+        want |= {(q, i, x, told, n) for (p, i), (x, told, n) in met.items()
+                 if p == q and n < slices and x + tau[q] - told - (slices - n) >= tau[q]}
+    got = topk.meet(table, k, slices).to_pylist()
+    assert {tuple(r.values()) for r in got} == want and len(got) == len(want)
+    assert topk.meet(table.slice(0, 0), k, slices).num_rows == 0
+
+
 def test_multi_index_search(spark, monkeypatch):
     monkeypatch.setattr(vectors, "VECTOR_BLOCK", 60)
     monkeypatch.setattr(vectors, "QUERY_BLOCK", 4)
