@@ -254,7 +254,7 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", tokenizer: str |
             for a, b in groups(texts):
                 yield _appended(batch.slice(a, b - a), ids, _list_array(encoder.encode(texts[a:b])))
 
-    return source.mapInArrow(run, _with_column(source.schema, ids, T.ArrayType(T.IntegerType())))
+    return source.mapInArrow(common.tidy(run), _with_column(source.schema, ids, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", tokenizer: str | None = None) -> DataFrame:
@@ -277,7 +277,7 @@ def decode(df: DataFrame, ids: str = "ids", text: str = "decoded", tokenizer: st
                 texts = [b"".join(tokens[p:q]).decode("utf-8", "replace") for p, q in pairwise([0, *ends])]
                 yield _appended(batch.slice(a, len(part)), text, pa.array(texts, pa.string()))
 
-    return source.mapInArrow(run, _with_column(source.schema, text, T.StringType()))
+    return source.mapInArrow(common.tidy(run), _with_column(source.schema, text, T.StringType()))
 
 
 def op9_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -138,7 +138,7 @@ def train(documents: DataFrame, labels: DataFrame, rows_per_domain: int = ROWS_P
                 pa.array([shape(t, w, len(set(w))) for t, w in zip(texts, words, strict=True)], pa.list_(pa.float64())),
             ], names=["domain", "buckets", "shape"])
 
-    sample = common.written(rows.mapInArrow(run, "domain string, buckets array<int>, shape array<double>"), "mixing-sample")
+    sample = common.written(rows.mapInArrow(common.tidy(run), "domain string, buckets array<int>, shape array<double>"), "mixing-sample")
     common.drop_written(chosen)
     per_class, table = presence(sample, "domain", "buckets", domains)
     if not per_class.sum():
@@ -183,7 +183,7 @@ def posteriors(df: DataFrame, model: Model | None) -> DataFrame:
                 names=[*[f.name for f in passed], "n_tokens", "posterior"])
 
     kind = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in passed)
-    return source.mapInArrow(run, f"{kind}n_tokens long, posterior array<double>")
+    return source.mapInArrow(common.tidy(run), f"{kind}n_tokens long, posterior array<double>")
 
 
 def domain_targets(targets: dict[str, float], model: Model | None) -> tuple[list[str], np.ndarray]:

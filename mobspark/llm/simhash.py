@@ -80,7 +80,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(values), *batch.columns[2:]], names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).select("*", *also).mapInArrow(run, kind)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).select("*", *also).mapInArrow(common.tidy(run), kind)
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -101,7 +101,7 @@ def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
                 pa.array([BITS * BITS, *range(BITS * BITS)], pa.int32()), pa.array([n, *total.ravel().astype(np.int64).tolist()], pa.int64()),
             ], names=["cell", "n"])
 
-    rows = fps.select("fp").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect()
+    rows = fps.select("fp").mapInArrow(common.tidy(run), "cell int, n long").groupBy("cell").agg(F.sum("n")).collect()
     counts = dict(rows)
     return counts.get(BITS * BITS, 0), np.array([counts.get(i, 0) for i in range(BITS * BITS)], float).reshape(BITS, BITS)
 
@@ -219,7 +219,7 @@ def probes(fps: DataFrame, partitions: list[tuple[list[int], int]]) -> DataFrame
             pa.array(np.full(len(fp), i, np.int32)), pa.array(value.view(np.int64)), pa.array(fp.view(np.int64)), pa.array(np.full(len(fp), own)),
         ], names=["part", "value", "fp", "own"])
 
-    return fps.select("fp").mapInArrow(run, "part int, value long, fp long, own boolean")
+    return fps.select("fp").mapInArrow(common.tidy(run), "part int, value long, fp long, own boolean")
 
 
 def _links(fp: np.ndarray, start: np.ndarray, size: np.ndarray, owned: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -327,7 +327,7 @@ def links(fps: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
             x, y = np.concatenate(out_a), np.concatenate(out_b)
             yield pa.RecordBatch.from_arrays([pa.array(values[x].view(np.int64)), pa.array(values[y].view(np.int64))], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(common.tidy(run), "a long, b long")
 
 
 def near_duplicates(

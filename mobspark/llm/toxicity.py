@@ -149,7 +149,7 @@ def train(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found, pa.list_(pa.list_(pa.int32()))), batch.column(1).cast(pa.int32())], names=["bag", "label"])
 
-    sample = common.written(rows.mapInArrow(bags, "bag array<array<int>>, label int"), "toxicity-sample")
+    sample = common.written(rows.mapInArrow(common.tidy(bags), "bag array<array<int>>, label int"), "toxicity-sample")
     common.drop_written(chosen)
     per_class, table = presence(sample.select("label", F.array_distinct(F.flatten("bag")).alias("b")), "label", "b", [0, 1])
     if not per_class.all():
@@ -167,7 +167,7 @@ def train(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array(plain, pa.int32()), pa.array(hits, pa.list_(pa.list_(pa.int32())))], names=["label", "plain", "hits"])
 
-    found = sample.mapInArrow(chosen_only, "label int, plain int, hits array<array<int>>").toArrow()
+    found = sample.mapInArrow(common.tidy(chosen_only), "label int, plain int, hits array<array<int>>").toArrow()
     common.drop_written(sample)
     return fit(
         found.column("label").to_numpy().astype(int), found.column("plain").to_numpy().astype(float), found.column("hits").to_pylist(), kept,
@@ -193,7 +193,7 @@ def score(df: DataFrame, model: Model, text: str = "text", names: tuple[str, str
                 names=[*batch.schema.names, *names])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields)
-    return source.mapInArrow(run, f"{kind}, {names[0]} double, {names[1]} array<struct<begin: int, end: int, score: double>>")
+    return source.mapInArrow(common.tidy(run), f"{kind}, {names[0]} double, {names[1]} array<struct<begin: int, end: int, score: double>>")
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
