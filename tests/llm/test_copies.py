@@ -128,6 +128,25 @@ def test_line_dedup_of_null_and_repeated_ids_and_no_rows(spark):
     assert lines.deduplicate_lines(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [2000, 20])
+def test_groups_of_near_lines_give_a_row_for_each_line(spark, monkeypatch, block):
+    monkeypatch.setattr(lines, "BLOCK", block)
+    rnd = random.Random(5)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(size)) for size in (100, 100, 30)]
+    near = sorted({edited(rnd, base[k], rnd.randrange(4), "abcdefgh") for k, n in ((0, 45), (1, 12), (2, 40)) for _ in range(n)})
+    rnd.shuffle(near)
+    df = spark.createDataFrame([(i // 3, x, i) for i, x in enumerate(near)], "doc_id long, text string, text_hash long").repartition(3)
+    found = {(r.h1, r.h2): (r.n_links, tuple(r.nearest)) for r in lines.links(df).collect()}
+    want = {}
+    for i, a in enumerate(near):
+        linked = [k for k, b in enumerate(near) if k != i and abs(len(a) - len(b)) <= 3
+                  and edit_distance(a, b) <= lines.limit(min(len(a), len(b)), lines.MAX_EDITS)]
+        if linked:
+            h1, h2 = lines.halves([lines.line_digest(a)])[0].tolist()
+            want[h1, h2] = len(linked), (min(linked) // 3, min(linked), 0)
+    assert len(want) > 60 and found == want
+
+
 def test_short_lines_go_if_equal_ones_stand_earlier(spark, tmp_path):
     docs = [(1, "Home\n\n x"), (2, "Home\nHone\n\n  "), (3, " x\nHome"), (4, "a line of its own that is long enough\nHone")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
