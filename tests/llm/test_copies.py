@@ -49,6 +49,15 @@ def test_banded_distance_and_meetings(most):
             assert lines.first_meeting(a, b, most) in set(lines.segment_keys(a, most)) & set(lines.segment_keys(b, most))
 
 
+def test_distances_of_pairs_with_few_and_with_many_different_characters():
+    rnd = random.Random(9)
+    few = [(a, edited(rnd, a, k)) for k in range(9) for a in ["".join(rnd.choice("abcdefgh") for _ in range(60))]]
+    many = [(a, edited(rnd, a, k, "\U0001f600z")) for k in range(9) for a in ["".join(chr(300 + rnd.randrange(900)) for _ in range(400))]]
+    for pairs in (few, many, few + many):
+        pairs = [tuple(sorted(p, key=len)) for p in pairs]
+        assert lines.verified(pairs, 9).tolist() == [min(edit_distance(a, b), 10) for a, b in pairs]
+
+
 def brute_lines(docs, min_chars, edits):
     """docs: (doc_id, text) in order; kept text, removed and links of each."""
     first, near, n_links = {}, {}, {}
@@ -147,6 +156,45 @@ def test_groups_of_near_lines_give_a_row_for_each_line(spark, monkeypatch, block
     assert len(want) > 60 and found == want
 
 
+def test_lines_that_share_a_string_only_are_told_apart_before_their_texts_travel(spark):
+    rnd = random.Random(11)
+    shared = "a passage that many of the lines hold"
+    made = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size)) + shared for size in [300] * 20 + [3000, 9000]]
+    near = [made[0], edited(rnd, made[0], 9), made[-1], edited(rnd, made[-1], 31)]
+    profiles = lines.line_profiles(near)
+    assert lines.may_link(profiles[::2], profiles[1::2], 2).all()
+    assert not lines.may_link(*lines.line_profiles(made[-2:]).reshape(2, 1), 2).any()
+    df = spark.createDataFrame([(i, x, i) for i, x in enumerate(made)], "doc_id long, text string, text_hash long")
+    met = lines.meetings(lines.segments(df, lines.MIN_CHARS, 2), 2).distinct().collect()
+    assert len([r for r in met if r.own == lines.PAIR]) <= 2 and not lines.links(df).count()
+
+
+@pytest.mark.parametrize("rounds", [16, 1, 1000])
+def test_strings_that_lines_take(monkeypatch, rounds):
+    monkeypatch.setattr(lines, "ROUNDS", rounds)
+    rnd = random.Random(rounds)
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.choice([96, 97, 130, 400, 1100]))) for letters in ["ab", "abcdefgh é", "x\U0001f600"] for _ in range(25)]
+    texts += ["y" * 2000, "ab" * 60, "abc" * 40 + "z" * 40]
+    for text, rows in zip(texts, lines.gram_rows(texts, 2), strict=True):
+        at = {}
+        for p in range(len(text) - lines.GRAM + 1):
+            at.setdefault(text[p:p + lines.GRAM], []).append(p)
+        hashes = {g: h for g, h in zip(at, (int(lines.gram_hashes(np.array([*map(ord, g)], np.uint32))[0]) for g in at), strict=True)}
+        want, starts = {}, []
+        for g in sorted(at, key=hashes.get):
+            if len(starts) > lines.limit(len(text), 2):
+                break
+            free = [p for p in at[g] if all(abs(p - q) >= lines.GRAM for q in starts)]
+            while free:
+                starts.append(free[0])
+                want[hashes[g]] = True
+                free = [p for p in free if p - starts[-1] >= lines.GRAM]
+            want.setdefault(hashes[g], False)
+        else:
+            want = want if len(starts) > lines.limit(len(text), 2) else dict.fromkeys(hashes.values(), True)
+        assert rows == want and lines.gram_rows([text], 2) == [want]
+
+
 def test_short_lines_go_if_equal_ones_stand_earlier(spark, tmp_path):
     docs = [(1, "Home\n\n x"), (2, "Home\nHone\n\n  "), (3, " x\nHome"), (4, "a line of its own that is long enough\nHone")]
     df = spark.createDataFrame(docs, "doc_id long, text string")
