@@ -169,6 +169,44 @@ def test_lines_that_share_a_string_only_are_told_apart_before_their_texts_travel
     assert len([r for r in met if r.own == lines.PAIR]) <= 2 and not lines.links(df).count()
 
 
+def test_index_travels_packed_and_only_rows_that_meet_get_a_profile(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 9)))
+    made = [" ".join(word() for _ in range(rng.choice((5, 12, 60)))) for _ in range(150)]
+    made += [made[k][:30] + "\u20ac" + made[k][30:] for k in range(0, 60, 3)] + made[:20]
+    made = [x for x in made if len(x) >= lines.MIN_CHARS]
+    docs = [(i, "\n".join(made[i::7]), i) for i in range(7)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, text_hash long").repartition(3)
+    rows, profiles, border = set(), {}, lines.long_from(2)
+    for line in set(made):
+        h1 = int(lines.halves([lines.line_digest(line)])[0, 0])
+        profiles[h1] = int(lines.line_profiles([line])[0])
+        if len(line) < border + 2:
+            cuts = zip(lines.segment_keys(line, 2), lines.look_ups(len(line), 2), strict=True)
+            rows |= {(int.from_bytes(key, "big", signed=True), h1, own) for key, (_, _, seed, own) in cuts if seed < border * 3}
+        if len(line) >= border:
+            rows |= {(int(np.uint64(key).view(np.int64)), h1, own) for key, own in lines.gram_rows([line], 2)[0].items()}
+    by_key: dict[int, set] = {}
+    for key, h1, own in rows:
+        by_key.setdefault(key, set()).add((h1, own))
+    meet = {key for key, of in by_key.items() if len({h1 for h1, _ in of}) > 1 and any(own for _, own in of)}
+    want = {(key, h1, own * lines.OWN + profiles[h1]) for key, h1, own in rows if key in meet}
+    assert 0 < len(want) < len(rows) / 2
+    index = lines.segments(df, lines.MIN_CHARS, 2)
+    assert {tuple(r) for r in index.collect()} == want
+    common.drop_written(index)
+    monkeypatch.setattr(lines, "CHUNK", 1000)
+    monkeypatch.setattr(lines, "PACKED_ROWS", 100)
+    for bits in (1, 5):
+        got = lines.packed_segments(df, lines.MIN_CHARS, 2, bits).collect()
+        parts = [(r, lines.unpacked(r["rows"], r["packed"])) for r in got]
+        lower, upper = ([x for r, x in parts if (r["bucket"] >> bits) == k] for k in (0, 1))
+        back = lambda keys: (keys * lines.GATHER).view(np.int64).tolist()
+        assert {x for key, h1, own in lower for x in zip(back(key), h1.tolist(), own.tolist(), strict=True)} == rows
+        assert dict(x for h1, told, _ in upper for x in zip(back(h1), told.tolist(), strict=True)) == profiles
+        assert sum(len(r["packed"]) for r in got) <= sum(16 * r["rows"] + r["rows"] // 8 + 1 for r in got)
+
+
 @pytest.mark.parametrize("rounds", [16, 1, 1000])
 def test_strings_that_lines_take(monkeypatch, rounds):
     monkeypatch.setattr(lines, "ROUNDS", rounds)
