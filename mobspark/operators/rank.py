@@ -28,8 +28,20 @@ def split_points(df: DataFrame, keys: Mapping[str, Column], group: str = "folder
         F.sort_array(F.collect_list(F.when(F.col("axis") == name, F.col("m.k")))).alias(name) for name in keys])
 
 
-def _reached_by(key: Column) -> Callable[[Column], Column]:
-    return lambda cut: cut <= key
+def split_keys(parts: Mapping[str, str], tie: str) -> dict[str, Column]:
+    """The keys by which ``add_parts`` cuts: a value, and the column ``tie`` where values are equal."""
+    return {name: F.struct(F.col(c).cast("double").alias("v"), F.col(tie).alias("t")) for name, c in parts.items()}
+
+
+def add_reached(df: DataFrame, parts: Mapping[str, tuple[str, Callable[[Column], Column]]]) -> DataFrame:
+    """``df`` with the number of elements that a condition holds for, which are the first ones of a sorted array of CLASSES at
+    most (new name -> column of the array, condition); by bisection."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(CLASSES.bit_length()))])
+
+    def bisected(cuts: str, reached: Callable[[Column], Column]) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda n, step: n + F.when(reached(F.get(cuts, n + step - 1)), step).otherwise(0))
+
+    return df.withColumns({name: bisected(*part) for name, part in parts.items()})
 
 
 def add_parts(df: DataFrame, parts: Mapping[str, str], tie: str, group: str = "folder") -> DataFrame:
@@ -39,8 +51,8 @@ def add_parts(df: DataFrame, parts: Mapping[str, str], tie: str, group: str = "f
     Parts are ranges of the value, and of the column ``tie`` where values are equal, so one value of very many rows is cut,
     too. All that is gathered for a group is a row with its split points.
     """
-    keys = {name: F.struct(F.col(c).cast("double").alias("v"), F.col(tie).alias("t")) for name, c in parts.items()}
+    keys = split_keys(parts, tie)
     cuts = split_points(df, {f"_cuts_{name}": k for name, k in keys.items()}, group)
-    placed = attach_case_rows(df, cuts, "inner").withColumns(
-        {name: F.size(F.filter(f"_cuts_{name}", _reached_by(k))) for name, k in keys.items()})
+    placed = attach_case_rows(df, cuts, "inner")
+    placed = add_reached(placed, {name: (f"_cuts_{name}", lambda cut, k=k: cut <= k) for name, k in keys.items()})
     return placed.drop(*[f"_cuts_{name}" for name in parts])

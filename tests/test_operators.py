@@ -241,6 +241,22 @@ def test_nearest_with_a_stray_stop(frame):
     assert got.count() == len(homes)
 
 
+def test_homes_meet_few_coarse_cells(frame, monkeypatch):
+    rnd = random.Random(5)
+    stops = [("a", i, rnd.random() * 1000, rnd.random() * 1000) for i in range(4000)]
+    homes = [("a", rnd.random() * 1000, rnd.random() * 1000) for _ in range(300)]
+    met = []
+
+    def counted(left, right, on, how="inner"):
+        if list(on) == ["folder", "pcx", "pcy"]:
+            met.append(left.count())
+        return joins.join_by_shuffle(left, right, on, how)
+
+    monkeypatch.setattr(nearest, "join_by_shuffle", counted)
+    check_nearest(frame, homes, stops)
+    assert len(met) == 1 and met[0] < 2 * len(homes)
+
+
 def test_building_plans_starts_no_job(spark, frame):
     import __spark_entry__ as entry
 
