@@ -243,8 +243,8 @@ def test_nearest_with_a_stray_stop(frame):
 
 def test_homes_meet_few_coarse_cells(frame, monkeypatch):
     rnd = random.Random(5)
-    stops = [("a", i, rnd.random() * 1000, rnd.random() * 1000) for i in range(4000)]
-    homes = [("a", rnd.random() * 1000, rnd.random() * 1000) for _ in range(300)]
+    stops = [("a", i, rnd.random() * 1000, rnd.random() * 1000) for i in range(20_000)]
+    homes = [("a", rnd.random() * 1000, rnd.random() * 1000) for _ in range(100)]
     met = []
 
     def counted(left, right, on, how="inner"):
